@@ -6,28 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablerich.operators.naming import strip
+from tablerich.operators.naming import keep_if, strip
+from tablerich.session import spread
 
 # Limits of a request.
 MAX_URLS = 20
 # Entities decoded; the ampersand is last so nothing is decoded twice.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-# (pattern, replacement), applied in order. The syntax is common to Java and RE2.
+# (pattern, replacement), applied in order. Patterns are common to Java and RE2; ``$1`` is the group.
+# A heading first becomes a mark with its level, which plain replacement turns into ``#`` signs.
 _TO_MARKDOWN = (
-    (r"(?is)<script\b.*?</script\s*>", " "),
-    (r"(?is)<style\b.*?</style\s*>", " "),
-    (r"(?is)<title\b.*?</title\s*>", " "),
-    (r"(?s)<!--.*?-->", " "),
-    (r"(?i)<h1\b[^>]*>", "\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n### "),
-    (r"(?i)<h4\b[^>]*>", "\n#### "),
-    (r"(?i)<h5\b[^>]*>", "\n##### "),
-    (r"(?i)<h6\b[^>]*>", "\n###### "),
-    (r"(?i)<li\b[^>]*>", "\n- "),
+    (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>|<!--.*?-->", " "),
+    (r"<[hH]([1-6])\b[^>]*>", "\n\x01$1 "),
+    (r"<(?:li|LI)\b[^>]*>", "\n- "),
     (r"(?i)</?(?:p|div|br|tr|ul|ol|table|article|section|nav|header|footer|h[1-6])\b[^>]*>", "\n"),
     (r"<[^>]+>", ""),
 )
+_HEADINGS = {f"\x01{level} ": "#" * level + " " for level in range(1, 7)}
 _TIDY = ((r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"))
 
 
@@ -41,6 +36,8 @@ def to_markdown(html: Column) -> Column:
     c = html
     for pattern, replacement in _TO_MARKDOWN:
         c = F.regexp_replace(c, pattern, replacement)
+    for mark, signs in _HEADINGS.items():
+        c = F.replace(c, F.lit(mark), F.lit(signs))
     c = decode_entities(c)
     for pattern, replacement in _TIDY:
         c = F.regexp_replace(c, pattern, replacement)
@@ -49,7 +46,7 @@ def to_markdown(html: Column) -> Column:
 
 def title_of(html: Column) -> Column:
     found = strip(decode_entities(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
-    return F.when(found != "", found)
+    return keep_if(found, lambda t: t != "")
 
 
 def publish_date_of(html: Column) -> Column:
@@ -64,23 +61,22 @@ def truncate(c: Column, n: int, mark: str = "...") -> Column:
 
 def sentences(text: Column) -> Column:
     marked = F.regexp_replace(text, r"([.!?])\s+", "$1\n")
-    return F.filter(F.transform(F.split(marked, r"\n+"), strip), lambda s: s != "")
+    return F.array_remove(F.transform(F.split(marked, r"\n+"), strip), "")
 
 
 def focused_excerpts(text: Column, keywords: Sequence[str], k: int = 3) -> Column:
     """The ``k`` sentences with most keyword hits, in text order; computed inside the row."""
     words = [w.lower() for w in keywords]
-    low = lambda s: F.lower(s)
-    hits = lambda s: sum(
-        (
-            (F.length(low(s)) - F.length(F.replace(low(s), F.lit(w), F.lit("")))) / F.lit(len(w))
-            for w in words
-        ),
-        F.lit(0),
-    ).cast("int")
+
+    def hits(low: Column) -> Column:
+        found = F.lit(0)
+        for w in words:
+            found = found + F.floor((F.length(low) - F.length(F.replace(low, F.lit(w), F.lit("")))) / len(w))
+        return found
+
+    lowered = F.transform(sentences(text), lambda s, i: F.struct(F.lower(s).alias("low"), i.alias("pos"), s.alias("text")))
     scored = F.transform(
-        sentences(text),
-        lambda s, i: F.struct((-hits(s)).alias("worse"), i.alias("pos"), s.alias("text")),
+        lowered, lambda x: F.struct((-hits(x["low"])).alias("worse"), x["pos"].alias("pos"), x["text"].alias("text"))
     )
     best = F.slice(F.array_sort(F.filter(scored, lambda x: x["worse"] < 0)), 1, k)
     in_order = F.array_sort(F.transform(best, lambda x: F.struct(x["pos"].alias("pos"), x["text"].alias("text"))))
@@ -97,10 +93,11 @@ def extract(
     """
     wanted = requests.select(F.col(url)).distinct()
     known = pages.select(F.col(url).alias("_u"), F.col(html).alias("_h"))
-    joined = wanted.join(known, F.col(url) == F.col("_u"), "left").withColumn("_text", to_markdown(F.col("_h")))
-    missing = F.col("_u").isNull()
-    empty = ~missing & (F.coalesce("_text", F.lit("")) == "")
-    results = joined.filter(~missing & ~empty)
+    # An inner join lets Spark send a small request list to the pages instead of moving the pages.
+    # ``explode`` of one element keeps the test for empty text from being pushed below and run again there.
+    found = spread(known.join(wanted, F.col("_u") == F.col(url)), sized_by=known).select(
+        "*", F.explode(F.array(to_markdown(F.col("_h")))).alias("_text")
+    )
     columns = [F.col(url), title_of(F.col("_h")).alias("title"), publish_date_of(F.col("_h")).alias("publish_date")]
     if excerpts:
         columns.append(
@@ -109,10 +106,12 @@ def extract(
     if full_content is not False:
         text = F.col("_text") if full_content is True else F.left("_text", F.lit(int(full_content)))
         columns.append(text.alias("full_content"))
-    errors = joined.filter(missing | empty).select(
-        url,
-        F.when(missing, "not_found").otherwise("empty_content").alias("error_type"),
-        F.when(missing, 404).otherwise(200).alias("http_status_code"),
-        F.lit(None).cast("string").alias("content"),
+    missing = wanted.join(pages.select(F.col(url).alias("_u")), F.col(url) == F.col("_u"), "left_anti")
+    failed = missing.select(url, F.lit("not_found").alias("error_type"), F.lit(404).alias("http_status_code")).unionByName(
+        found.filter(F.col("_text") == "").select(
+            url, F.lit("empty_content").alias("error_type"), F.lit(200).alias("http_status_code")
+        )
     )
+    errors = failed.withColumn("content", F.lit(None).cast("string"))
+    results = found.filter(F.col("_text") != "")
     return results.select(*columns), errors

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablerich.operators.naming import strip
+
 Inputs = Mapping[str, "str | Column"]
 
 
@@ -69,6 +71,4 @@ def parse_inline_rows(df: DataFrame, text: str, key: str) -> DataFrame:
 def comma_list(values: Column) -> Column:
     """One flat array from an ``array<string>`` of comma-separated texts; blanks dropped."""
     parts = F.flatten(F.transform(values, lambda v: F.split(v, ",")))
-    return F.filter(
-        F.transform(parts, lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != ""
-    )
+    return F.array_remove(F.transform(parts, strip), "")

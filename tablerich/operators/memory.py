@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tablerich.operators.search import score_documents
+from tablerich.operators.search import Corpus, rank_documents
 
 # Fixed values.
 KINDS = ("task", "monitor", "discovery")
@@ -71,11 +71,11 @@ def recent_per_scope(entries: DataFrame, limit: int = 10, updated: str = "update
 
 
 def relevant(entries: DataFrame, query: str, text: str, limit: int = 10) -> DataFrame:
-    """Entries by BM25 relevance to ``query``; ties by scope and id."""
+    """Entries by BM25 relevance to ``query``; ties by scope, kind and id."""
     if len(query) > MAX_QUERY_CHARS:
         raise ValueError(f"query must have at most {MAX_QUERY_CHARS} characters")
-    scored = score_documents(entries, text, query)
-    return scored.filter(F.col("score") > 0).orderBy(F.desc("score"), "scope", "id").limit(_check_limit(limit))
+    corpus = Corpus(entries, ("scope", "kind", "id"), text)
+    return rank_documents(corpus, [query], limit=_check_limit(limit)).drop("query_no")
 
 
 def evict(entries: DataFrame, evicted: DataFrame) -> DataFrame:

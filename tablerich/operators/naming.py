@@ -58,20 +58,29 @@ class OutputColumn:
         return T.StructField(self.name, self.spark_type, True, {"description": self.description})
 
 
+# Every character that counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Drop white space of every kind at both ends (``trim`` drops spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Drop white space of every kind at both ends (plain ``trim`` drops spaces only)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
+
+
+def keep_if(c: Column, test) -> Column:
+    """``c`` where ``test(c)`` holds, else null; ``c`` is computed once, which ``when(test(c), c)`` would not do."""
+    return F.get(F.filter(F.array(c), test), F.lit(0))
 
 
 def name_of(description: Column) -> Column:
     """Column name derived from a free-text description."""
     base = strip(F.regexp_replace(description, r"(?s)[(\[{].*$", ""))
-    name = F.regexp_replace(F.regexp_replace(F.lower(base), r"[ -]", "_"), r"[^\p{L}\p{N}_]", "")
-    return (
-        F.when(name == "", F.lit("column"))
-        .when(name.rlike(r"^\p{L}"), name)
-        .otherwise(F.concat(F.lit("col_"), name))
-    )
+    kept = F.regexp_replace(F.translate(F.lower(base), " -", "__"), r"[^\p{L}\p{N}_]+", "")
+    named = F.regexp_replace(kept, r"^$", "column")
+    return F.regexp_replace(named, r"^(?=[^\p{L}])", "col_")
 
 
 def derive_name(description: str) -> str:
@@ -138,6 +147,16 @@ def schema_entries(schema_text: Column) -> Column:
     )
 
 
+# What can be text of a type at all. A failing cast costs far more than this test.
+_PLAUSIBLE = {
+    T.LongType: r"^\s*[+-]?\d+\s*$",
+    T.DoubleType: r"(?i)^\s*[+-]?(?:\d|\.\d|inf|nan)",
+    T.BooleanType: r"(?i)^\s*(?:t|true|y|yes|1|f|false|n|no|0)\s*$",
+    T.TimestampType: r"^\s*[+-]?\d{4}",
+    T.DateType: r"^\s*[+-]?\d{4}",
+}
+
+
 def cast_declared(c: Column, type_name: str) -> Column:
     """Text to a declared type; text that does not fit becomes null."""
     spark_type = DECLARED_TYPES.get(type_name, T.StringType())
@@ -145,4 +164,4 @@ def cast_declared(c: Column, type_name: str) -> Column:
         return F.from_json(c, spark_type)
     if isinstance(spark_type, T.StringType):
         return c
-    return c.try_cast(spark_type)
+    return F.when(c.rlike(_PLAUSIBLE[type(spark_type)]), c.try_cast(spark_type))

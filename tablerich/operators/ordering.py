@@ -3,7 +3,7 @@
 A window with no partition key, or with one hot key, sorts everything in a single task. Here rows are
 range-partitioned on the whole order (a hot leading value is cut between its rows), sorted inside
 each partition, and only one small row per partition takes part in the global step. The partitioned
-rows are checkpointed, because a second evaluation could draw other range bounds.
+rows are written once, because a second evaluation could draw other range bounds.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
             }
         )
     )
-    fixed = cut_lineage(ranged)
+    fixed = cut_lineage(ranged, "numbered")
     # One row per partition.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -46,7 +46,7 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_n
 def batch_ids(df: DataFrame, order: Sequence[str | Column], size: int = 100) -> DataFrame:
     """Add ``batch_id``: 1, 2, … with ``size`` rows each, in the given order."""
     numbered = number_rows(df, order, "_rn")
-    return numbered.withColumn("batch_id", F.ceil(F.col("_rn") / F.lit(size))).drop("_rn")
+    return numbered.withColumn("batch_id", F.expr(f"(_rn - 1) div {int(size)} + 1")).drop("_rn")
 
 
 def batch_slice(df: DataFrame, order: Sequence[str | Column], batch: int, size: int = 100) -> DataFrame:
@@ -110,7 +110,7 @@ def with_previous(
         if last is not None:
             yield last.assign(previous=None, first=False, _edge="tail")
 
-    scanned = cut_lineage(ranged.mapInPandas(scan, schema))
+    scanned = cut_lineage(ranged.mapInPandas(scan, schema), "scanned")
     # At most two rows per partition: its first row, and its last row to carry over.
     edges = scanned.filter(F.col("_edge").isNotNull())
     earlier = Window.orderBy("_part", F.col("_edge")).rowsBetween(Window.unboundedPreceding, -1)

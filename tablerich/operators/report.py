@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablerich.operators.extract import focused_excerpts
-from tablerich.operators.naming import strip
+from tablerich.operators.naming import keep_if, strip
 from tablerich.operators.search import Corpus, query_terms, rank_documents
 
 MAX_QUESTION_CHARS = 15_000
@@ -67,7 +67,7 @@ def executive_summary(text: Column) -> Column:
     """Text before the first ``##`` heading without the title line; null when 20 characters or less."""
     lead = strip(F.regexp_replace(strip(text), r"(?ms)^##\s.*", ""))
     body = strip(F.regexp_replace(lead, r"^# [^\n]*", ""))
-    return F.when(F.length(body) > MIN_SUMMARY_CHARS, body)
+    return keep_if(body, lambda b: F.length(b) > MIN_SUMMARY_CHARS)
 
 
 def content_summary(content: Column) -> Column:

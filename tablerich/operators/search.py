@@ -1,7 +1,7 @@
 """Ranked text search over a corpus table: BM25, domain, date, location and excerpt policies.
 
 A request holds a few queries typed by a user, so their terms are literals in the plan. Each document
-is scored from its own row: no posting table, no join, and nothing but the best rows is shuffled.
+is scored from its own row: there is no posting table, and only the best rows of each task are shuffled.
 """
 
 from __future__ import annotations
@@ -13,12 +13,15 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablerich.session import cut_lineage, spread
+
 K1 = 1.2
 B = 0.75
 TITLE_BOOST = 0.5
 MAX_TERMS = 1000
 # Limits of a request and names of modes.
 MAX_DOMAINS = 200
+MAX_RESULTS = 1000
 MAX_OBJECTIVE_CHARS = 5000
 MIN_EXCERPT_CHARS = 1000
 DEFAULT_TOTAL_CHARS = 60_000
@@ -36,84 +39,74 @@ SEARCH_MODES = {
 
 @dataclass(frozen=True)
 class Corpus:
-    """A table of documents and the columns that play each part."""
+    """A table of documents and the columns that play each part; ``id`` names one column or several."""
 
     df: DataFrame
-    id: str
+    id: str | tuple[str, ...]
     text: str
     url: str | None = None
     title: str | None = None
     date: str | None = None
     location: str | None = None
 
+    @property
+    def keys(self) -> list[str]:
+        return [self.id] if isinstance(self.id, str) else list(self.id)
+
 
 def tokens(text: Column) -> Column:
     """Lower-case words of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def query_terms(query: str) -> list[str]:
     return sorted(set(re.findall(r"[^\W_]+", query.lower())))
 
 
-def _frequencies(words: Column, terms: Sequence[str]) -> Column:
-    """Occurrences of each term, as an array in term order."""
-    return F.array(*[F.size(words) - F.size(F.array_remove(words, t)) for t in terms])
-
+def _frequencies(words: str, terms: Sequence[str]) -> Column:
+    """Occurrences of each term in an array column, in term order. Terms hold letters and digits only."""
+    return F.expr("array(" + ", ".join(f"size({words}) - size(array_remove({words}, '{t}'))" for t in terms) + ")")
 
-def _counted(df: DataFrame, text: str, terms: Sequence[str], title: str | None) -> DataFrame:
-    """Add the document length ``_len``, term counts ``_tf`` and, with a title, its counts ``_ht``."""
-    out = df.withColumn("_words", tokens(F.coalesce(F.col(text), F.lit(""))))
-    # Many terms: keep only the matching words first.
-    hits = F.col("_words")
-    if len(terms) > 16:
-        hits = F.filter(hits, lambda w: w.isin(*terms))
-    out = out.withColumns({"_len": F.size("_words"), "_hits": hits})
-    out = out.withColumn("_tf", _frequencies(F.col("_hits"), terms))
-    if title:
-        out = out.withColumn("_titlewords", tokens(F.col(title)))
-        out = out.withColumn("_ht", _frequencies(F.col("_titlewords"), terms)).drop("_titlewords")
-    return out.drop("_words", "_hits")
-
-
-def _statistics(counted: DataFrame, n_terms: int) -> Column:
-    """One struct for the corpus, as an uncorrelated scalar subquery."""
-    found = [F.count_if(F.col("_tf")[i] > 0) for i in range(n_terms)]
-    return counted.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("docs"), F.avg("_len").alias("avg_len"), F.array(*found).alias("df")
-        ).alias("s")
-    ).scalar()
 
+def count_terms(corpus: Corpus, terms: Sequence[str], titled: bool = False) -> DataFrame:
+    """Per document: its key, length ``_len`` and term counts ``_tf`` (``_ht`` for the title).
 
-def _idf(i: int) -> Column:
-    n, df = F.col("_s.docs"), F.col("_s.df")[i]
-    return F.log(1 + (n - df + 0.5) / (df + 0.5))
+    The text is read and split once; the counts, a small part of its size, are kept in the shared
+    folder for the two steps that need them: corpus statistics and scores.
+    """
+    text = {"_text": corpus.text, "_title": corpus.title} if titled else {"_text": corpus.text}
+    narrow = corpus.df.select(*corpus.keys, *[F.coalesce(c, F.lit("")).alias(n) for n, c in text.items()])
+    out = spread(narrow).withColumn("_text", tokens(F.col("_text")))
+    # With many terms, first keep the words that match any.
+    hits = F.col("_text") if len(terms) <= 16 else F.filter("_text", lambda w: w.isin(*terms))
+    out = out.withColumns({"_len": F.size("_text"), "_text": hits})
+    columns = [*corpus.keys, "_len", _frequencies("_text", terms).alias("_tf")]
+    if titled:
+        out = out.withColumn("_title", tokens(F.col("_title")))
+        columns.append(_frequencies("_title", terms).alias("_ht"))
+    return cut_lineage(out.select(*columns), "term-counts")
 
 
-def _weight(i: int) -> Column:
-    tf = F.col("_tf")[i]
-    norm = K1 * (1 - B + B * F.col("_len") / F.col("_s.avg_len"))
-    return F.when(tf > 0, _idf(i) * tf * (K1 + 1) / (tf + norm)).otherwise(0.0)
-
-
-def _add(parts: Sequence[Column]) -> Column:
-    total = F.lit(0.0)
-    for p in parts:
-        total = total + p
-    return total
-
-
-def score_documents(df: DataFrame, text: str, query: str, name: str = "score") -> DataFrame:
-    """Add the BM25 score of every row for one query."""
-    terms = query_terms(query)
-    if not terms:
-        return df.withColumn(name, F.lit(0.0))
-    counted = _counted(df, text, terms, None)
-    scored = counted.withColumn("_s", _statistics(counted, len(terms)))
-    return scored.withColumn(name, F.round(_add([_weight(i) for i in range(len(terms))]), 6)).drop(
-        "_s", "_tf", "_len"
-    )
+def _statistics(counted: DataFrame, n_terms: int) -> Column:
+    """``struct<avg_len, idf array>`` of the corpus, as an uncorrelated scalar subquery."""
+    found = ", ".join(f"count_if(_tf[{i}] > 0)" for i in range(n_terms))
+    totals = counted.selectExpr("count(1) AS docs", "avg(_len) AS avg_len", f"array({found}) AS df")
+    idf = "transform(df, d -> ln(1 + (docs - d + 0.5D) / (d + 0.5D)))"
+    return totals.selectExpr(f"struct(avg_len, {idf} AS idf)").scalar()
+
+
+def _score_sql(places: Sequence[int], how: str, titled: bool) -> str:
+    """Score of one query over its terms, as an SQL expression (one parse instead of many columns)."""
+    parts = []
+    for i in places:
+        if how == "turbo":
+            parts.append(f"IF(_tf[{i}] > 0, 1.0D, 0.0D)")
+            continue
+        norm = f"{K1}D * ({1 - B}D + {B}D * _len / _s.avg_len)"
+        parts.append(f"IF(_tf[{i}] > 0, _s.idf[{i}] * _tf[{i}] * {K1 + 1}D / (_tf[{i}] + {norm}), 0.0D)")
+        if titled:
+            parts.append(f"IF(_ht[{i}] > 0, {TITLE_BOOST}D * _s.idf[{i}], 0.0D)")
+    return f"round({' + '.join(parts) or '0.0D'}, 6)"
 
 
 def resolve_queries(objective: str | None, queries: Sequence[str]) -> list[str]:
@@ -126,13 +119,15 @@ def resolve_queries(objective: str | None, queries: Sequence[str]) -> list[str]:
     return asked
 
 
-def rank_documents(
+def rank_keys(
     corpus: Corpus, queries: Sequence[str], *, mode: str = "basic", limit: int = DEFAULT_RESULTS
 ) -> DataFrame:
-    """The best ``limit`` documents of each query: corpus columns, ``query_no``, ``score``, ``rank``."""
+    """The best ``limit`` documents of each query: ``(query_no, keys…, score, rank)``."""
     how = SEARCH_MODES.get(mode)
     if how is None:
         raise ValueError(f"mode must be one of {sorted(SEARCH_MODES)}")
+    if not 1 <= limit <= MAX_RESULTS:
+        raise ValueError(f"limit must be from 1 to {MAX_RESULTS}")
     per_query = [query_terms(q) for q in queries]
     terms = sorted({t for q in per_query for t in q})
     if not terms:
@@ -141,28 +136,29 @@ def rank_documents(
         raise ValueError(f"at most {MAX_TERMS} distinct words in one request")
     place = {t: i for i, t in enumerate(terms)}
     titled = how == "advanced" and corpus.title is not None
-    counted = _counted(corpus.df, corpus.text, terms, corpus.title if titled else None)
-
-    if how == "turbo":
-        part = lambda i: F.when(F.col("_tf")[i] > 0, 1.0).otherwise(0.0)
-        scored = counted
-    else:
-        scored = counted.withColumn("_s", _statistics(counted.select("_tf", "_len"), len(terms)))
-        part = _weight
-        if titled:
-            part = lambda i: _weight(i) + F.when(F.col("_ht")[i] > 0, TITLE_BOOST * _idf(i)).otherwise(0.0)
-    scores = F.array(
-        *[
-            F.struct(F.lit(n + 1).alias("query_no"), F.round(_add([part(place[t]) for t in q]), 6).alias("score"))
-            for n, q in enumerate(per_query)
-        ]
+    scored = count_terms(corpus, terms, titled)
+    if how != "turbo":
+        scored = scored.withColumn("_s", _statistics(scored.select("_tf", "_len"), len(terms)))
+    scores = ", ".join(
+        f"struct({n} AS query_no, {_score_sql([place[t] for t in q], how, titled)} AS score)"
+        for n, q in enumerate(per_query, 1)
     )
-    positive = F.filter(scores, lambda s: s["score"] > 0)
-    rows = scored.select(*corpus.df.columns, F.explode(positive).alias("_q")).select(*corpus.df.columns, "_q.*")
-    best = Window.partitionBy("query_no").orderBy(F.desc("score"), F.asc(corpus.id))
+    rows = scored.select(*corpus.keys, F.expr(f"explode(filter(array({scores}), s -> s.score > 0))").alias("_q"))
+    rows = rows.select("_q.query_no", *corpus.keys, "_q.score")
+    # Each task cuts its rows to ``limit`` per query before the shuffle.
+    best = Window.partitionBy("query_no").orderBy(F.desc("score"), *corpus.keys)
     return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
 
 
+def rank_documents(
+    corpus: Corpus, queries: Sequence[str], *, mode: str = "basic", limit: int = DEFAULT_RESULTS
+) -> DataFrame:
+    """``rank_keys`` with all corpus columns of the documents found."""
+    top = rank_keys(corpus, queries, mode=mode, limit=limit)
+    # The hint is safe: at most ``limit`` rows per query, whatever the size of the corpus.
+    return corpus.df.join(F.broadcast(top), corpus.keys)
+
+
 def host(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 

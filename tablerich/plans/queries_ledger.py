@@ -166,7 +166,7 @@ scored AS (SELECT q.query_no, tf.id, count(*) AS overlap,
     f"""
 WITH {bm25_sql('conversations', '(conv_id, turn)', 'text', [_MEMORY_QUERY])},
 m AS (SELECT conv_id, turn, {_KIND} AS kind, score FROM scored JOIN conversations ON id = (conv_id, turn))
-SELECT conv_id AS scope, kind, turn AS id, score FROM m ORDER BY score DESC, conv_id, turn LIMIT 25""",
+SELECT conv_id AS scope, kind, turn AS id, score FROM m ORDER BY score DESC, conv_id, kind, turn LIMIT 25""",
 )
 def memory_relevant(spark, sf):
     return M.relevant(entries(spark, sf), _MEMORY_QUERY, "text", 25).select("scope", "kind", "id", "score")

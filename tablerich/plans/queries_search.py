@@ -152,9 +152,9 @@ def quoted(text: str) -> str:
 
 def markdown_sql(c: str) -> str:
     for pattern, replacement in X._TO_MARKDOWN:
-        c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
-    for entity, char in X.ENTITIES.items():
-        c = f"replace({c}, {quoted(entity)}, {quoted(char)})"
+        c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement.replace('$1', chr(92) + '1'))}, 'g')"
+    for plain, char in {**X._HEADINGS, **X.ENTITIES}.items():
+        c = f"replace({c}, {quoted(plain)}, {quoted(char)})"
     for pattern, replacement in X._TIDY:
         c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
     return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"

@@ -10,7 +10,7 @@ from tablerich.operators import inputs as I
 from tablerich.operators import naming as N
 from tablerich.operators import report as R
 from tablerich.operators.resolvers import BASIS_TYPE
-from tablerich.plans.catalog import query, table
+from tablerich.plans.catalog import query, table, text_table
 from tablerich.sources import readers
 
 _INLINE = """CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN '[]' WHEN 'view' THEN '[' || props
@@ -93,7 +93,7 @@ UNION ALL
 SELECT 'part', p_partkey, {name_sql("p_size || ' ' || p_name || ' (' || p_type || ')'")} FROM part""",
 )
 def output_names(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = text_table(spark, sf, "documents", "doc_id", "text").select(
         F.lit("document").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("description")
     )
     described = F.concat(F.col("p_size").cast("string"), F.lit(" "), "p_name", F.lit(" ("), "p_type", F.lit(")"))
@@ -149,7 +149,7 @@ def parse_content(spark, sf):
     events = table(spark, sf, "events").select(
         F.lit("event").alias("origin"), F.col("event_id").alias("id"), F.col("props").alias("content")
     )
-    docs = table(spark, sf, "documents").select(F.lit("document"), "doc_id", "text")
+    docs = text_table(spark, sf, "documents", "doc_id", "text").select(F.lit("document"), "doc_id", "text")
     return events.union(docs).select("origin", "id", E.parse_content(F.col("content")).alias("parsed"))
 
 
@@ -253,7 +253,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
 )
 def domain_list(spark, sf):
     items = I.comma_list(F.array("text", "source"))
-    listed = table(spark, sf, "documents").select("doc_id", items.alias("items"))
+    listed = text_table(spark, sf, "documents", "doc_id", "text", "source").select("doc_id", items.alias("items"))
     return listed.select("doc_id", F.size("items").alias("n_items"), F.array_join("items", "|").alias("items"))
 
 
@@ -335,7 +335,7 @@ body AS (SELECT doc_id, regexp_replace(regexp_replace(t, '^# [^\n]*', ''), '^\s+
 SELECT doc_id, CASE WHEN length(t) > 20 THEN t END AS summary FROM body""",
 )
 def exec_summary(spark, sf):
-    reports = table(spark, sf, "documents").select("doc_id", F.expr(_REPORT).alias("report"))
+    reports = text_table(spark, sf, "documents", "doc_id", "text", "source").select("doc_id", F.expr(_REPORT).alias("report"))
     return reports.select("doc_id", R.executive_summary(F.col("report")).alias("summary"))
 
 

@@ -12,6 +12,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Rows handed to a Python resolver in one call.
 CALL_ROWS = 1000
+SPLIT_BYTES = 128 << 20
 
 
 def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str) -> SparkSession:
@@ -22,6 +23,8 @@ def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # No Python stack trace per column: it takes most of the time of building a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(master).appName(app)
@@ -54,7 +57,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    The rows then no longer depend on how or how often they are computed, and survive the loss of any
+    executor. The folder is left to the clean-up rules of the shared file system.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
+    """Deal out a small input over all cores before costly work on each row.
+
+    A file below one split, or with a single row group, is read by one task. Above one full split per
+    core the scan has tasks enough, and ``df`` is returned as it is: large data is never shuffled here.
+    ``sized_by`` is the input to measure when ``df`` is a join that keeps part of its rows.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    measured = df if sized_by is None else sized_by
+    size = measured._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(size) < cores * SPLIT_BYTES else df
