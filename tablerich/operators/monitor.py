@@ -93,6 +93,12 @@ def page(df: DataFrame, order: Sequence[str], limit: int, cursor: Sequence | Non
     return df.orderBy(*[F.desc(c) for c in order]).limit(limit)
 
 
+def next_cursor(df: DataFrame, order: Sequence[str], limit: int, cursor: Sequence | None = None) -> tuple | None:
+    """Cursor of the page after ``page(df, order, limit, cursor)``; None when that is the last one."""
+    seen = page(df, order, min(limit + 1, 10_000), cursor).select(*order).collect()
+    return tuple(seen[limit - 1]) if len(seen) > limit else None
+
+
 def list_monitors(
     monitors: DataFrame, key: str, *, status: str | None = "active", monitor_type: str | None = None,
     limit: int = 100, cursor: Sequence | None = None,

@@ -143,7 +143,7 @@ class CallableResolver:
                 results = call_in_chunks(fn, [json.loads(x) for x in batch], names, size)
                 yield pd.Series([_result_text(r, names) for r in results], dtype="object")
 
-        udf = F.pandas_udf(call, T.StringType(), F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+        udf = F.pandas_udf(call, T.StringType()).asNondeterministic()
         fields = ",".join(f"`{n}`:string" for n in names)
         schema = f"struct<error:string,basis:{BASIS_TYPE},values:struct<{fields}>>"
         sent = input_json(inputs)
