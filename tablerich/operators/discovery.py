@@ -31,6 +31,15 @@ class Condition:
     value: Column | None = None
 
 
+@dataclass(frozen=True)
+class Enrichment:
+    """Extra fields for matches, each with a resolver of its own."""
+
+    outputs: Sequence[str]
+    inputs: Mapping[str, str]
+    resolver: Resolver
+
+
 @dataclass(frozen=True)
 class Discovery:
     """What to look for in a table of entities."""
@@ -43,7 +52,7 @@ class Discovery:
     score: Column
     generator: str = "core"
     match_limit: int = DEFAULT_LIMIT
-    enrichments: Mapping[str, str] = field(default_factory=dict)
+    enrichments: Sequence[Enrichment] = field(default_factory=tuple)
 
     def __post_init__(self):
         if self.generator not in GENERATORS:
@@ -117,6 +126,14 @@ class Discovery:
         """The best matches, at most ``match_limit``; a fixed total order makes the result stable."""
         return self.ranked(matched(self.candidates(**exclusion))).limit(self.match_limit)
 
+    def table(self, *, enrich: bool = True, fields: Sequence[str] | None = None, **exclusion) -> DataFrame:
+        """The best matches as a text table, with the enrichments unless ``enrich`` is off."""
+        found = self.run(**exclusion)
+        if enrich:
+            for e in self.enrichments:
+                found = enrich_matched(found, e.inputs, e.outputs, e.resolver)
+        return flatten(found, self.id, fields)
+
     def ranked(self, candidates: DataFrame) -> DataFrame:
         return candidates.orderBy(F.desc("conditions_met"), F.desc("score"), F.asc(self.id))
 
@@ -186,15 +203,18 @@ def flatten(candidates: DataFrame, order: str, fields: Sequence[str] | None = No
     """
     rows = matched(candidates)
     fields = output_fields(rows, order) if fields is None else fields
-    columns = []
+    columns = {}
     for f in rows.schema:
         if f.name in (*INTERNAL_FIELDS, "output"):
             continue
         nested = f.dataType.typeName() in ("struct", "array", "map")
-        value = F.to_json(f.name) if nested else F.col(f"`{f.name}`").cast("string")
-        columns.append(value.alias(f.name))
+        columns[f.name] = F.to_json(f.name) if nested else F.col(f"`{f.name}`").cast("string")
     values = output_values(F.col("output"))
-    return rows.select(*columns, *[values[n].alias(n) for n in fields])
+    for n in fields:
+        # An output field wins over a column of its name.
+        own = columns.get(n, F.lit(None).cast("string"))
+        columns[n] = F.when(F.map_contains_key(F.col("output"), n), values[n]).otherwise(own)
+    return rows.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def flatten_union(parts: Sequence[DataFrame], order: str) -> DataFrame:
@@ -216,6 +236,7 @@ def as_json(candidates: DataFrame, by: str, order: Sequence[Column], limit: int
     base = F.map_filter(
         F.create_map(*[x for c in own for x in (F.lit(c), F.col(c).cast("string"))]), lambda _, v: v.isNotNull()
     )
+    base = F.map_filter(base, lambda k, _: ~F.map_contains_key(F.col("output"), k))
     cleaned = top.select(by, "_rank", F.map_concat(base, output_values(F.col("output"))).alias("_c"))
     # At most ``limit`` rows per objective are gathered.
     gathered = cleaned.groupBy(by).agg(F.collect_list(F.struct("_rank", F.to_json("_c").alias("j"))).alias("_l"))

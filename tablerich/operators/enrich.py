@@ -9,13 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tablerich.operators.inputs import Inputs, check_columns, input_json, input_map
-from tablerich.operators.naming import OutputColumn, cast_declared, output_columns
+from tablerich.operators.naming import OutputColumn, cast_declared, name_of, output_columns
 from tablerich.operators.resolvers import (
     BASIS_TYPE,
     RESULT,
     CallableResolver,
     Resolver,
     RowFunction,
+    TableResolver,
     as_text,
     call_in_chunks,
     resolve,
@@ -163,9 +164,6 @@ def enrich_requested(
     it counts as a single description. ``keys`` maps fields of the input object to knowledge columns.
     One lookup serves all rows; every row then keeps what it asked for, in ``reply`` (JSON text).
     """
-    from tablerich.operators.naming import name_of
-    from tablerich.operators.resolvers import TableResolver
-
     requested = F.col(requested_text)
     listed = F.coalesce(F.from_json(requested, "array<string>"), F.array(requested))
     parsed = F.try_parse_json(F.col(input_text))
@@ -245,11 +243,10 @@ def with_context(df: DataFrame, earlier: DataFrame, on: str, values: str, earlie
 
 def parse_content(c: Column) -> Column:
     """A JSON object as it is (compact text); anything else as ``{"result": text}``."""
-    parsed = F.try_parse_json(c)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT<")
-    return F.when(parsed.isNotNull() & is_object, F.to_json(parsed)).otherwise(
-        F.to_json(F.struct(c.alias("result")))
-    )
+    as_result = F.to_json(F.struct(c.alias("result")))
+    # Text that does not start like an object is never parsed.
+    parsed = F.when(F.ltrim(c).startswith("{"), F.try_parse_json(c))
+    return F.coalesce(F.to_json(parsed), as_result)
 
 
 def unpack_json(df: DataFrame, column: str, schema: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablerich.operators.naming import strip
+from tablerich.session import spread
 
 Inputs = Mapping[str, "str | Column"]
 
@@ -44,17 +45,17 @@ def parse_inline_rows(df: DataFrame, text: str, key: str) -> DataFrame:
     columns; later objects with other fields keep only those. A text that is not a JSON array of
     objects, or is empty, gives one row with the reason in ``error``.
     """
-    parsed = F.try_parse_json(F.col(text))
-    kind = F.schema_of_variant(parsed)
     items = F.from_json(F.col(text), "array<string>")
+    is_list = F.ltrim(F.col(text)).startswith("[")
     error = (
-        F.when(parsed.isNull(), "Invalid JSON data")
-        .when(~kind.startswith("ARRAY<"), "Data must be a JSON array")
+        # Only text that did not read as a list is parsed again, to tell bad JSON from other JSON.
+        F.when(~is_list | items.isNull(), F.when(F.try_parse_json(F.col(text)).isNull(), "Invalid JSON data").otherwise(
+            "Data must be a JSON array"))
         .when(F.size(items) == 0, "Data array cannot be empty")
         .when(~F.ltrim(items[0]).startswith("{"), "Data must be an array of objects")
         .when(items[0] == "{}", "Data objects must have at least one field")
     )
-    rows = df.select(F.col(key), error.alias("error"), items.alias("_items")).withColumn(
+    rows = spread(df).select(F.col(key), error.alias("error"), items.alias("_items")).withColumn(
         "_items", F.when(F.col("error").isNull(), F.col("_items"))
     )
     first = F.json_object_keys(F.col("_items")[0])

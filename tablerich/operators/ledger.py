@@ -79,6 +79,12 @@ def latest(versions: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
     return versions.groupBy(key).agg(newest).select(key, *[f"_v.{c}" for c in [*version, *rest]])
 
 
+def cancel(current: DataFrame, wanted: DataFrame) -> DataFrame:
+    """New versions that cancel the wanted runs (``run_id``) which have not ended yet."""
+    running = current.filter(~is_terminal(F.col("status"))).join(wanted.select("run_id"), "run_id", "left_semi")
+    return running.withColumn("status", F.lit("cancelled")).select(*current.columns)
+
+
 def progress(ledger: DataFrame, by: Sequence[str], step: Column) -> DataFrame:
     """Running ``completed`` and ``total`` per group after each time step.
 

@@ -66,6 +66,11 @@ def monitor_update(**fields) -> dict:
     return given
 
 
+def monitor_cancel() -> dict:
+    """The version that cancels a monitor for good."""
+    return {"status": "cancelled"}
+
+
 def current_monitors(
     versions: DataFrame, key: str, version: Sequence[str], fixed: Sequence[str], updatable: Sequence[str]
 ) -> DataFrame:

@@ -70,6 +70,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITE_SPACE))
 
 
+def bind(c: Column, fn) -> Column:
+    """``fn(c)`` with ``c`` computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
+
+
 def keep_if(c: Column, test) -> Column:
     """``c`` where ``test(c)`` holds, else null; ``c`` is computed once, which ``when(test(c), c)`` would not do."""
     return F.get(F.filter(F.array(c), test), F.lit(0))
@@ -108,20 +113,24 @@ def output_struct(outputs: Sequence[str | OutputColumn]) -> T.StructType:
 def schema_json(descriptions: Column) -> Column:
     """JSON schema text for an ``array<string>`` of descriptions."""
     named = F.transform(descriptions, lambda d: F.struct(name_of(d).alias("name"), d.alias("description")))
-    names = F.array_distinct(F.transform(named, lambda x: x["name"]))
-    last = lambda n: F.element_at(F.filter(named, lambda x: x["name"] == n), -1)["description"]
-    properties = F.map_from_entries(
-        F.transform(
-            names,
-            lambda n: F.struct(
-                n.alias("key"),
-                F.struct(F.lit("string").alias("type"), last(n).alias("description")).alias("value"),
-            ),
+
+    def text(entries: Column) -> Column:
+        names = F.array_distinct(F.transform(entries, lambda x: x["name"]))
+        last = lambda n: F.element_at(F.filter(entries, lambda x: x["name"] == n), -1)["description"]
+        properties = F.map_from_entries(
+            F.transform(
+                names,
+                lambda n: F.struct(
+                    n.alias("key"),
+                    F.struct(F.lit("string").alias("type"), last(n).alias("description")).alias("value"),
+                ),
+            )
         )
-    )
-    return F.to_json(
-        F.struct(F.lit("object").alias("type"), properties.alias("properties"), names.alias("required"))
-    )
+        return F.to_json(
+            F.struct(F.lit("object").alias("type"), properties.alias("properties"), names.alias("required"))
+        )
+
+    return bind(named, text)
 
 
 def declared_type(json_type: Column) -> Column:

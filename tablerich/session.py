@@ -12,7 +12,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Rows handed to a Python resolver in one call.
 CALL_ROWS = 1000
-SPLIT_BYTES = 128 << 20
+# Smallest split of a scan: above this size per core Spark cuts files into a task for every core.
+MIN_SPLIT_BYTES = 4 << 20
 
 
 def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str) -> SparkSession:
@@ -71,8 +72,8 @@ def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
 def spread(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     """Deal out a small input over all cores before costly work on each row.
 
-    A file below one split, or with a single row group, is read by one task. Above one full split per
-    core the scan has tasks enough, and ``df`` is returned as it is: large data is never shuffled here.
+    Below the smallest split per core a scan has fewer tasks than cores. Above it ``df`` is returned as
+    it is: large data is never shuffled here.
     ``sized_by`` is the input to measure when ``df`` is a join that keeps part of its rows.
     """
     if df.isStreaming:
@@ -80,4 +81,4 @@ def spread(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     measured = df if sized_by is None else sized_by
     size = measured._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(size) < cores * SPLIT_BYTES else df
+    return df.repartition(cores) if int(size) < cores * MIN_SPLIT_BYTES else df

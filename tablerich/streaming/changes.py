@@ -1,8 +1,9 @@
 """Change detection on a stream.
 
 Each micro-batch runs the batch operator over its rows and the last known row of every key it
-touches, so a hot key is cut between tasks there too. The last rows are kept as one table version per
-batch in a shared folder; a batch run again reads the version before it and replaces its own.
+touches, so a hot key is cut between tasks there too. The last rows are kept in a shared folder in two
+places used in turn: a batch reads the one of the batch before it and replaces the other, so it can be
+run again after a failure.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def change_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(*columns)
-        last = spark.read.parquet(f"{path}/last/batch_id={batch_id - 1}") if batch_id > 0 else None
+        last = spark.read.parquet(f"{path}/last-{(batch_id - 1) % 2}") if batch_id > 0 else None
         stream = rows
         if last is not None:
             known = last.select(F.col(key).alias("_key"), F.struct(*order).alias("_at"))
@@ -43,7 +44,7 @@ def change_writer(
         merged = stream if last is None else stream.unionByName(last.select(*columns))
         newest = F.max_by(F.struct(*order, state), F.struct(*order)).alias("_n")
         merged.groupBy(key).agg(newest).select(key, "_n.*").write.mode("overwrite").parquet(
-            f"{path}/last/batch_id={batch_id}"
+            f"{path}/last-{batch_id % 2}"
         )
 
     return write

@@ -81,6 +81,16 @@ def test_enrich_matches_and_coverage(firms):
     assert D.coverage(done.filter("id = 1"), ["site"]).first().done is True
 
 
+def test_table_with_enrichments(firms):
+    site = D.Enrichment(["Site"], {"url": "url"}, ExprResolver({"site": F.col("url")}))
+    letters = D.Enrichment(["Letters (count)"], {"name": "name"}, ExprResolver({"letters": F.length("name")}))
+    found = discovery(firms.select("id", "name", "url", "size", "even"), match_limit=5, enrichments=[site, letters])
+    table = found.table()
+    assert table.columns == ["id", "name", "url", "size", "even", "conditions_met", "score", "big", "site", "letters"]
+    assert {r.id: r.letters for r in table.collect()} == {str(i): "7" for i in (40, 38, 36, 34, 32)}
+    assert "site" not in found.table(enrich=False).columns
+
+
 def test_entity_search_checks(firms):
     with pytest.raises(ValueError):
         D.entity_search({}, "planets", "x")
@@ -111,6 +121,11 @@ def test_ledger(ledger):
     assert outcomes["d"][0] == "timeout" and outcomes["e"][0] == "waiting"
 
 
+def test_cancel(ledger):
+    wanted = ledger.filter("run_id IN ('a', 'd')").select("run_id")
+    assert [(r.run_id, r.status) for r in L.cancel(ledger, wanted).collect()] == [("d", "cancelled")]
+
+
 def test_submit(ledger):
     queued, summary = L.submit(ledger)
     assert {r.status for r in queued.collect()} == {"queued"}
