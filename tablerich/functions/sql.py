@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,7 +22,7 @@ def to_text(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
-def _answer(result, include_basis: bool) -> str:
+def _answer(result, include_basis: bool = False) -> str:
     """JSON text of one result: outputs, ``_basis`` when asked for, or ``error``."""
     if not isinstance(result, dict):
         return to_text({"result": result})
@@ -34,9 +35,9 @@ def _answer(result, include_basis: bool) -> str:
 
 
 def _resolve_rows(
-    inputs: list, lists: list, processors: list, functions: Mapping[str, RowFunction], include_basis: bool
+    inputs: list, lists: list, processors: list, functions: Mapping[str, RowFunction], render, rows: int = CALL_ROWS
 ) -> list:
-    """Answers in row order; rows with the same outputs and processor share their calls."""
+    """Rendered answers in row order; rows with the same outputs and processor share their calls."""
     answers: list = [None] * len(inputs)
     groups: dict[tuple, list[int]] = {}
     for i, (row, asked) in enumerate(zip(inputs, lists)):
@@ -48,9 +49,9 @@ def _resolve_rows(
             results = [{"error": f"unknown processor: {processor}"}] * len(places)
         else:
             names = [o.name for o in output_columns(asked)]
-            results = call_in_chunks(fn, [inputs[i] for i in places], names)
+            results = call_in_chunks(fn, [inputs[i] for i in places], names, rows)
         for i, result in zip(places, results):
-            answers[i] = _answer(result, include_basis)
+            answers[i] = render(result)
     return answers
 
 
@@ -60,10 +61,11 @@ def enrich_udf(
 ):
     """``f(map<string,string>, array<string>) -> JSON text``; a null argument gives null."""
     table = functions if isinstance(functions, Mapping) else {processor: functions}
+    render = partial(_answer, include_basis=include_basis)
 
     def run(inputs: pd.Series, asked: pd.Series) -> pd.Series:
         rows = [None if m is None else dict(m) for m in inputs]
-        return pd.Series(_resolve_rows(rows, list(asked), [processor] * len(rows), table, include_basis), dtype="object")
+        return pd.Series(_resolve_rows(rows, list(asked), [processor] * len(rows), table, render), dtype="object")
 
     return F.pandas_udf(run, "string").asNondeterministic()
 
@@ -72,17 +74,19 @@ def enrich_with_processor_udf(
     functions: Mapping[str, RowFunction], *, processor: str = DEFAULT_PROCESSOR, include_basis: bool = False
 ):
     """The same with a third argument that picks the processor of each row; blank means the default."""
+    render = partial(_answer, include_basis=include_basis)
 
     def run(inputs: pd.Series, asked: pd.Series, chosen: pd.Series) -> pd.Series:
         rows = [None if m is None else dict(m) for m in inputs]
         names = [c.strip() if c and c.strip() else processor for c in chosen]
-        return pd.Series(_resolve_rows(rows, list(asked), names, functions, include_basis), dtype="object")
+        return pd.Series(_resolve_rows(rows, list(asked), names, functions, render), dtype="object")
 
     return F.pandas_udf(run, "string").asNondeterministic()
 
 
 def enrich_json_udf(fn: RowFunction, *, include_basis: bool = False):
     """``f(json object text, json array text) -> JSON text``; every failure is told in its own row."""
+    render = partial(_answer, include_basis=include_basis)
 
     def run(inputs: pd.Series, asked: pd.Series) -> pd.Series:
         rows: list = []
@@ -102,7 +106,7 @@ def enrich_json_udf(fn: RowFunction, *, include_basis: bool = False):
                 problems.setdefault(i, "Invalid input JSON")
             rows.append(None if i in problems else row)
             lists.append(names)
-        answers = _resolve_rows(rows, lists, [""] * len(rows), {"": fn}, include_basis)
+        answers = _resolve_rows(rows, lists, [""] * len(rows), {"": fn}, render)
         return pd.Series(
             [to_text({"error": problems[i]}) if i in problems else a for i, a in enumerate(answers)], dtype="object"
         )
@@ -110,26 +114,27 @@ def enrich_json_udf(fn: RowFunction, *, include_basis: bool = False):
     return F.pandas_udf(run, "string").asNondeterministic()
 
 
-def table_function(fn: RowFunction, rows: int = CALL_ROWS):
-    """Table function ``(input_json, output_columns, processor) -> (input, enriched)``.
+def table_function(
+    functions: RowFunction | Mapping[str, RowFunction], *, processor: str = DEFAULT_PROCESSOR, rows: int = CALL_ROWS
+):
+    """Table function over rows ``(input_json, output_columns[, processor])``, giving ``(input, enriched)``.
 
     Used with ``PARTITION BY``. Rows are gathered up to ``rows`` and answered together, so a large
-    partition is never held as a whole.
+    partition is never held as a whole. Bad or missing input JSON counts as an empty object.
     """
+    table = functions if isinstance(functions, Mapping) else {processor: functions}
 
     class EnrichRows:
         def __init__(self):
             self.held = []
-            self.asked = []
 
         def eval(self, row):
             fields = row.asDict()
-            self.asked = list(fields.get("output_columns") or [])
             try:
                 parsed = json.loads(fields["input_json"])
             except (TypeError, ValueError):
                 parsed = {}
-            self.held.append(parsed)
+            self.held.append((parsed, list(fields.get("output_columns") or []), fields.get("processor") or processor))
             if len(self.held) == rows:
                 yield from self._flush()
 
@@ -137,10 +142,10 @@ def table_function(fn: RowFunction, rows: int = CALL_ROWS):
             yield from self._flush()
 
         def _flush(self):
-            names = [o.name for o in output_columns(self.asked)]
-            results = call_in_chunks(fn, self.held, names, rows)
-            for given, result in zip(self.held, results):
-                yield to_text(given), to_text(result)
+            if self.held:
+                inputs, lists, processors = map(list, zip(*self.held))
+                for given, answer in zip(inputs, _resolve_rows(inputs, lists, processors, table, to_text, rows)):
+                    yield to_text(given), answer
             self.held = []
 
     return F.udtf(EnrichRows, returnType="input string, enriched string")
@@ -148,7 +153,8 @@ def table_function(fn: RowFunction, rows: int = CALL_ROWS):
 
 def call_by_group(df: DataFrame, by: list[str], row_key: list[str], function, rows: int = CALL_ROWS) -> DataFrame:
     """Run a table function per group, with large groups cut into several partitions."""
-    units = split_groups(df, by, row_key, rows).select(*by, "split", "input_json", "output_columns")
+    arguments = [c for c in ("input_json", "output_columns", "processor") if c in df.columns]
+    units = split_groups(df, by, row_key, rows).select(*by, "split", *arguments)
     return function(units.asTable().partitionBy(*by, "split"))
 
 
@@ -166,7 +172,7 @@ def register(
         with_processor, enrich_with_processor_udf(table, processor=processor, include_basis=include_basis)
     )
     spark.udf.register(as_json, enrich_json_udf(default, include_basis=include_basis))
-    spark.udtf.register(rows, table_function(default))
+    spark.udtf.register(rows, table_function(table, processor=processor))
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {entity}(name STRING, website STRING, fields ARRAY<STRING>) "
         f"RETURNS STRING RETURN {as_json}(to_json(named_struct('name', name, 'website', website)), to_json(fields))"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablerich.operators.naming import keep_if, strip
+from tablerich.operators.search import check_objective, query_terms
 from tablerich.session import spread
 
 # Limits of a request.
@@ -84,13 +85,16 @@ def focused_excerpts(text: Column, keywords: Sequence[str], k: int = 3) -> Colum
 
 
 def extract(
-    requests: DataFrame, pages: DataFrame, *, keywords: Sequence[str] = (), excerpts: bool = True,
+    requests: DataFrame, pages: DataFrame, *, objective: str | None = None, keywords: Sequence[str] = (),
+    excerpts: bool = True,
     full_content: bool | int = False, url: str = "url", html: str = "html",
 ) -> tuple[DataFrame, DataFrame]:
     """Results ``(url, title, publish_date, excerpts[, full_content])`` and errors of the requested URLs.
 
     A URL that is not in ``pages`` is ``not_found`` (404); a page without text is ``empty_content``.
+    Keywords, or the words of the objective, choose the excerpts; with neither they are the whole text.
     """
+    keywords = keywords or (query_terms(check_objective(objective)) if objective else ())
     wanted = requests.select(F.col(url)).distinct()
     known = pages.select(F.col(url).alias("_u"), F.col(html).alias("_h"))
     # An inner join lets Spark send a small request list to the pages instead of moving the pages.

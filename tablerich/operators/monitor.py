@@ -132,7 +132,10 @@ def list_events(
 
 
 def event_summary(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``(type, id, date, summary)`` of event rows, by event type."""
+    """``(type, id, date, summary)`` of event rows, by event type.
+
+    ``output`` and ``changed_output`` are JSON text; their ``content`` is what a summary shows.
+    """
     kind = F.col("event_type")
     reference = F.when(
         kind.isin("event_stream", "snapshot"),
@@ -143,10 +146,11 @@ def event_summary(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .when(kind.isin("completion", "error"), F.coalesce("timestamp", F.lit("")))
         .otherwise("")
     )
-    changed = F.when(F.col("changed_output") != "", F.col("changed_output"))
+    content = lambda c: F.get_json_object(c, "$.content")
+    filled = lambda c: F.when(c != "", c)
     summary = (
-        F.when(kind == "event_stream", F.coalesce("output", F.lit("")))
-        .when(kind == "snapshot", F.coalesce(changed, F.lit("fields changed")))
+        F.when(kind == "event_stream", F.coalesce(filled(content("output")), "output", F.lit("")))
+        .when(kind == "snapshot", F.coalesce(filled(content("changed_output")), F.lit("fields changed")))
         .when(kind == "completion", "Run completed (no change)")
         .when(kind == "error", F.coalesce("error_message", F.lit("")))
         .otherwise("")

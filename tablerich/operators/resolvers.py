@@ -110,7 +110,7 @@ def call_in_chunks(fn: RowFunction, rows: Rows, names: list[str], size: int = CA
         except Exception as exc:
             got = [{"error": str(exc)}] * len(chunk)
         got += [{"error": NO_RESULT}] * (len(chunk) - len(got))
-        out += [{"error": NO_RESULT} if r is None else r for r in got[: len(chunk)]]
+        out += [r if r else {"error": NO_RESULT} for r in got[: len(chunk)]]
     return out
 
 

@@ -109,10 +109,15 @@ def _score_sql(places: Sequence[int], how: str, titled: bool) -> str:
     return f"round({' + '.join(parts) or '0.0D'}, 6)"
 
 
+def check_objective(objective: str) -> str:
+    if len(objective) > MAX_OBJECTIVE_CHARS:
+        raise ValueError(f"objective must have at most {MAX_OBJECTIVE_CHARS} characters")
+    return objective
+
+
 def resolve_queries(objective: str | None, queries: Sequence[str]) -> list[str]:
     """The queries of a request; an objective alone is its only query."""
-    if objective and len(objective) > MAX_OBJECTIVE_CHARS:
-        raise ValueError(f"objective must have at most {MAX_OBJECTIVE_CHARS} characters")
+    check_objective(objective or "")
     asked = [q for q in queries if q.strip()] or ([objective] if objective else [])
     if not asked:
         raise ValueError("give an objective or at least one query")

@@ -114,7 +114,7 @@ def monitor_event_summary(spark, sf):
         day.alias("event_date"),
         day.alias("timestamp"),
         body.alias("output"),
-        F.when(F.col("value") > 10, body).otherwise("").alias("changed_output"),
+        F.to_json(F.struct(F.when(F.col("value") > 10, body).alias("content"))).alias("changed_output"),
         body.alias("error_message"),
     )
     return M.event_summary(rows, ["key"]).withColumnRenamed("key", "event_id")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tablerich.operators.inputs import parse_inline_rows
+
 
 def quote_name(name: str) -> str:
     """Backtick-quote each part of a possibly qualified table name."""
@@ -66,6 +69,16 @@ def read_jdbc(
     return reader.load()
 
 
+def read_inline(spark: SparkSession, text: str) -> tuple[DataFrame, list[dict[str, str]]]:
+    """Rows a user typed as a JSON array of objects, and the source columns they imply."""
+    rows = parse_inline_rows(spark.createDataFrame([(1, text)], "id int, text string"), "text", "id")
+    first = rows.orderBy("ordinal").first()
+    if first["error"]:
+        raise ValueError(first["error"])
+    columns = [{"name": c, "description": f"The {c} field"} for c in json.loads(text)[0]]
+    return rows.select(*[F.col("row")[c["name"]].alias(c["name"]) for c in columns]), columns
+
+
 def source_columns(df: DataFrame) -> DataFrame:
     """``(ordinal, name, type, filled)``: the columns of a source and how many rows hold a value."""
     counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(df.schema)])

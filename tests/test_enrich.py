@@ -189,3 +189,28 @@ def test_filter_runs_below_the_resolver(companies):
     done = E.enrich(companies, {"name": "name"}, ["Shout"], CallableResolver(upper), where=F.col("id") < 3)
     plan = done.table()._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("Filter")
+
+
+def test_hot_key_of_a_lookup_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr("id", "IF(id % 3 = 0, 0, id % 5000) AS k", "uuid() AS payload")
+        known = spark.range(5000).selectExpr("id AS k", "concat('v', id) AS v")
+        resolver = TableResolver(known, {"key": "k"}, {"v": "v"}, unique=True)
+        table = E.enrich(rows, {"key": "k"}, ["V"], resolver).table()
+        assert len(table.collect()) == 60_000
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

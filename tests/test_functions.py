@@ -74,6 +74,16 @@ def test_table_function_by_partition(registered):
     assert all("one" in json.loads(r.enriched) for r in rows)
 
 
+def test_table_function_processor(registered):
+    rows = registered.sql(
+        """SELECT * FROM t_enrich_rows(TABLE(SELECT id % 2 AS g, concat('{"name":"n', id, '"}') AS input_json,
+             array('One') AS output_columns, IF(id < 2, 'core', NULL) AS processor FROM range(4)) PARTITION BY g)"""
+    ).collect()
+    got = {json.loads(r.input)["name"]: json.loads(r.enriched) for r in rows}
+    assert got["n0"] == got["n1"] == {"error": "No result"}
+    assert got["n2"] == {"one": "one:n2", "basis": [{"field": "one"}]}
+
+
 def test_table_function_flushes_large_groups(spark):
     sizes = S.table_function(lambda rows, names: [{"seen": len(rows)} for _ in rows], rows=10)
     df = spark.range(25).selectExpr("1 AS g", "id", "concat('{\"i\":', id, '}') AS input_json", "array('Seen') AS output_columns")

@@ -73,6 +73,15 @@ def test_columns_and_detected_config(companies):
     assert jobs.parse_config(config).inputs == {"name": "name", "site": "site"}
 
 
+def test_inline_rows_of_a_user(spark):
+    df, columns = readers.read_inline(spark, '[{"company":"A","industry":"x"},{"company":"B"}]')
+    assert columns[1] == {"name": "industry", "description": "The industry field"}
+    assert {tuple(r) for r in df.collect()} == {("A", "x"), ("B", None)}
+    for bad, why in {"{}": "array", "x": "JSON", "[]": "empty", '["a"]': "objects", "[{}]": "one field"}.items():
+        with pytest.raises(ValueError, match=why):
+            readers.read_inline(spark, bad)
+
+
 def test_reports(spark, tmp_path):
     df = spark.createDataFrame([("r1", "text", "# T\n\nbody"), ("r2", "json", '{"a":1}')], "run_id string, kind string, content string")
     path = str(tmp_path / "reports")

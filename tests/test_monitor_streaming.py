@@ -59,6 +59,28 @@ def test_pages_walk_the_whole_list(spark):
         M.list_events(df, ["id"], limit=101)
 
 
+def test_event_summaries(spark):
+    long = "x" * 60
+    rows = [
+        ("event_stream", "g", "e", "d", None, f'{{"content":"{long}"}}', None, None),
+        ("event_stream", "", "e", "d", None, "plain", None, None),
+        ("snapshot", "g", "e", "d", None, None, '{"content":""}', None),
+        ("completion", "g", "e", "d", "t", None, None, None),
+        ("error", "g", "e", "d", "t", None, None, "broken"),
+        ("other", "g", "e", "d", "t", None, None, None),
+    ]
+    names = "event_type event_group_id event_id event_date timestamp output changed_output error_message"
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))
+    assert [tuple(r) for r in M.event_summary(df).collect()] == [
+        ("event_stream", "g", "d", "x" * 50),
+        ("event_stream", "e", "d", "plain"),
+        ("snapshot", "g", "d", "fields changed"),
+        ("completion", "", "t", "Run completed (no change)"),
+        ("error", "", "t", "broken"),
+        ("other", "", "", ""),
+    ]
+
+
 def events(spark, n=400):
     start = datetime(2024, 1, 1)
     rows = [(i, 1 if i % 3 == 0 else i % 7, start + timedelta(minutes=i), "abc"[(i * i // 5) % 3]) for i in range(n)]
