@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tablerich.operators.inputs import Inputs, check_columns, input_json, input_map
@@ -203,7 +205,10 @@ def enrich_partitioned(
     fn: RowFunction,
     rows: int = CALL_ROWS,
 ) -> DataFrame:
-    """One call per group, or several for a group above ``rows``: ``(by…, row_key…, enriched)``."""
+    """One call per group, or several for a group above ``rows``: ``(by…, row_key…, enriched)``.
+
+    ``row_key`` must tell the rows of a group apart, because it deals them out over the parts.
+    """
     check_columns(df, inputs)
     names = [o.name for o in output_columns(outputs)]
     columns = list(dict.fromkeys([*by, *row_key]))
@@ -212,13 +217,11 @@ def enrich_partitioned(
     )
     schema = units.select(*columns).schema.add("enriched", "string")
 
-    def run(pdf):
-        import json
-
-        results = call_in_chunks(fn, [json.loads(x) for x in pdf["_sent"]], names, rows)
-        out = pdf[columns].copy()
-        out["enriched"] = [as_text(r) for r in results]
-        return out
+    # Batches of a group are streamed; a group is never held as a whole.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            results = call_in_chunks(fn, [json.loads(x) for x in pdf["_sent"]], names, rows)
+            yield pdf[columns].assign(enriched=[as_text(r) for r in results])
 
     return units.groupBy(*by, "split").applyInPandas(run, schema)
 

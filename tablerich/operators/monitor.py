@@ -219,7 +219,7 @@ def window_counts(events: DataFrame, ts: str, by: Sequence[str], frequency: str
     """Events per tumbling window of the given frequency: ``(window_start, by…, events)``."""
     short = check_frequency(frequency)
     unit = {"h": "hours", "d": "days", "w": "weeks"}[short[-1]]
-    span = F.window(F.col(ts).cast("timestamp"), f"{short[:-1]} {unit}")
+    span = F.window(F.col(ts), f"{short[:-1]} {unit}")
     return events.groupBy(span.alias("_w"), *by).agg(F.count(F.lit(1)).alias("events")).select(
         F.col("_w.start").alias("window_start"), *by, "events"
     )

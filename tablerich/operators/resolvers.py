@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -29,7 +29,7 @@ Rows = list[dict]
 RowFunction = Callable[[Rows, list[str]], Rows]
 
 
-def result_struct(error: Column, basis: Column | None, values: Sequence[Column]) -> Column:
+def result_struct(error: Column, basis: Column | None, values: Sequence[tuple[str, Column]]) -> Column:
     ok = error.isNull()
     return F.struct(
         error.alias("error"),
@@ -59,30 +59,22 @@ class TableResolver:
         unknown = set(self.on) - set(inputs)
         if unknown:
             raise ValueError(f"resolver keys are not inputs: {sorted(unknown)}")
-        wanted = [o for o in outputs if o.name in self.answers]
-        keys = [as_column(c).alias(f"_k{i}") for i, c in enumerate(self.on.values())]
-        payload = [as_column(self.answers[o.name]).cast("string").alias(f"_a{i}") for i, o in enumerate(wanted)]
+        keys = {f"_k{i}": as_column(c) for i, c in enumerate(self.on.values())}
+        place = {o.name: f"_a{i}" for i, o in enumerate(outputs) if o.name in self.answers}
+        payload = {"_hit": F.lit(True)}
+        payload |= {c: as_column(self.answers[n]).cast("string") for n, c in place.items()}
         if self.basis is not None:
-            payload.append(self.basis.cast(BASIS_TYPE).alias("_ab"))
-        known = self.knowledge.select(*keys, *payload)
-        key_names = [f"_k{i}" for i in range(len(keys))]
+            payload["_kb"] = self.basis.cast(BASIS_TYPE)
+        known = self.knowledge.select(*[c.alias(n) for n, c in {**keys, **payload}.items()])
         if not self.unique:
-            answer = F.min(F.struct(F.lit(True).alias("hit"), *[c for c in known.columns if c not in key_names]))
-            known = known.groupBy(*key_names).agg(answer.alias("_a"))
-            pick = lambda n: F.col("_a")[n]
-        else:
-            known = known.withColumn("_hit", F.lit(True))
-            pick = F.col
-        hit = pick("hit") if not self.unique else F.col("_hit")
-        condition = [as_column(inputs[n]) == F.col(k) for n, k in zip(self.on, key_names)]
-        joined = df.join(known, condition, "left_outer")
-        place = {o.name: f"_a{i}" for i, o in enumerate(wanted)}
-        values = [
-            (o.name, pick(place[o.name]) if o.name in place else F.lit(None).cast("string")) for o in outputs
-        ]
-        basis = pick("_ab") if self.basis is not None else None
-        error = F.when(hit.isNull(), NO_RESULT)
-        return joined.select(*[F.col(f"`{c}`") for c in df.columns], result_struct(error, basis, values).alias(RESULT))
+            one = F.min(F.struct(*payload)).alias("_one")
+            known = known.groupBy(*keys).agg(one).select(*keys, "_one.*")
+        joined = df.join(known, [as_column(inputs[n]) == F.col(k) for n, k in zip(self.on, keys)], "left_outer")
+        missing = F.lit(None).cast("string")
+        values = [(o.name, F.col(place[o.name]) if o.name in place else missing) for o in outputs]
+        basis = F.col("_kb") if self.basis is not None else None
+        result = result_struct(F.when(F.col("_hit").isNull(), NO_RESULT), basis, values)
+        return joined.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(RESULT))
 
 
 @dataclass(frozen=True)
@@ -132,7 +124,6 @@ class CallableResolver:
     fn: RowFunction
     chunk: int = CALL_ROWS
     dedupe: bool = False
-    wants: Sequence[str] = field(default_factory=tuple)
 
     def attach(self, df: DataFrame, inputs: Inputs, outputs: Sequence[OutputColumn]) -> DataFrame:
         names = [o.name for o in outputs]

@@ -124,29 +124,38 @@ def resolve_queries(objective: str | None, queries: Sequence[str]) -> list[str]:
     return asked
 
 
+def request_terms(queries: Sequence[str]) -> list[str]:
+    """The distinct words of all queries of a request."""
+    terms = sorted({t for q in queries for t in query_terms(q)})
+    if not terms:
+        raise ValueError("the queries hold no words")
+    if len(terms) > MAX_TERMS:
+        raise ValueError(f"at most {MAX_TERMS} distinct words in one request")
+    return terms
+
+
 def rank_keys(
-    corpus: Corpus, queries: Sequence[str], *, mode: str = "basic", limit: int = DEFAULT_RESULTS
+    corpus: Corpus, queries: Sequence[str], *, mode: str = "basic", limit: int = DEFAULT_RESULTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The best ``limit`` documents of each query: ``(query_no, keys…, score, rank)``."""
+    """The best ``limit`` documents of each query: ``(query_no, keys…, score, rank)``.
+
+    ``counted`` is ``count_terms(corpus, request_terms(queries), …)``, when it is at hand already.
+    """
     how = SEARCH_MODES.get(mode)
     if how is None:
         raise ValueError(f"mode must be one of {sorted(SEARCH_MODES)}")
     if not 1 <= limit <= MAX_RESULTS:
         raise ValueError(f"limit must be from 1 to {MAX_RESULTS}")
-    per_query = [query_terms(q) for q in queries]
-    terms = sorted({t for q in per_query for t in q})
-    if not terms:
-        raise ValueError("the queries hold no words")
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"at most {MAX_TERMS} distinct words in one request")
+    terms = request_terms(queries)
     place = {t: i for i, t in enumerate(terms)}
     titled = how == "advanced" and corpus.title is not None
-    scored = count_terms(corpus, terms, titled)
+    scored = count_terms(corpus, terms, titled) if counted is None else counted
     if how != "turbo":
         scored = scored.withColumn("_s", _statistics(scored.select("_tf", "_len"), len(terms)))
     scores = ", ".join(
         f"struct({n} AS query_no, {_score_sql([place[t] for t in q], how, titled)} AS score)"
-        for n, q in enumerate(per_query, 1)
+        for n, q in enumerate(map(query_terms, queries), 1)
     )
     rows = scored.select(*corpus.keys, F.expr(f"explode(filter(array({scores}), s -> s.score > 0))").alias("_q"))
     rows = rows.select("_q.query_no", *corpus.keys, "_q.score")

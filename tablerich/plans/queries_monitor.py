@@ -208,8 +208,7 @@ def monitor_trigger(spark, sf):
     "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY 1, 2",
 )
 def monitor_windows(spark, sf):
-    counted = M.window_counts(table(spark, sf, "events"), "ts", ["event_type"], "daily")
-    return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return M.window_counts(table(spark, sf, "events"), "ts", ["event_type"], "daily")
 
 
 _HOOK = """CASE event_type WHEN 'purchase' THEN 'monitor.event.detected' WHEN 'error' THEN 'monitor.execution.failed'

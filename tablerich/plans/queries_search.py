@@ -52,9 +52,11 @@ SELECT mode, query_no, id AS doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
 
 @query("search_mode", f"WITH {bm25_sql('documents', 'doc_id', 'text', SEARCHES)} {_TITLE_BONUS}")
 def search_mode(spark, sf):
+    corpus = documents(spark, sf)
+    counted = S.count_terms(corpus, S.request_terms(SEARCHES), titled=True)
     out = None
     for label, mode in {"turbo": "turbo", "basic": "one-shot", "advanced": "agentic"}.items():
-        found = S.rank_documents(documents(spark, sf), SEARCHES, mode=mode).select(
+        found = S.rank_keys(corpus, SEARCHES, mode=mode, counted=counted).select(
             F.lit(label).alias("mode"), "query_no", "doc_id", "score", "rank"
         )
         out = found if out is None else out.unionByName(found)

@@ -15,6 +15,8 @@ CALL_ROWS = 1000
 # Smallest split of a scan: above this size per core Spark cuts files into a task for every core.
 MIN_SPLIT_BYTES = 4 << 20
 
+_written: list[str] = []
+
 
 def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str) -> SparkSession:
     """A session with the settings the engine expects; ``conf`` overrides any of them."""
@@ -58,13 +60,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has written; DataFrames that read them end with it."""
+    removed = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
+
+
 def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     The rows then no longer depend on how or how often they are computed, and survive the loss of any
-    executor. The folder is left to the clean-up rules of the shared file system.
+    executor. ``clear_scratch`` deletes the table when it is no longer needed.
     """
     path = scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

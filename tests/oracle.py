@@ -24,6 +24,19 @@ def connect(sf_dir: str):
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_problem(df, description):
+    expected = {d[0]: str(d[1]) for d in description}
+    got = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    wrong = {c: (t, expected[c]) for c, t in got.items() if expected.get(c) != t}
+    return f"types {wrong}" if wrong else None
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else round(value, 6) + 0.0
@@ -48,6 +61,9 @@ def compare(spark, con, sf_dir, fn, sql):
     expected = cursor.fetchall()
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}", len(got), seconds
+    wrong = type_problem(df, cursor.description)
+    if wrong:
+        return wrong, len(got), seconds
     a, b = sorted_rows(df.columns, got), sorted_rows(columns, expected)
     if len(a) != len(b):
         return f"rows {len(a)} != {len(b)}: {sorted(set(map(repr, a)) ^ set(map(repr, b)))[:3]}", len(got), seconds

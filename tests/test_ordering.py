@@ -64,3 +64,21 @@ def test_previous_row(spark, skewed, many_parts, changed_only, batch):
     for r in got.itertuples():
         first, previous, state = expected[r.id]
         assert (r.first, clean(r.previous), clean(r.state)) == (first, clean(previous), clean(state))
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from tablerich.session import clear_scratch, cut_lineage
+
+    clear_scratch(spark)
+    kept = cut_lineage(spark.range(10))
+    assert kept.count() == 10
+    assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
+
+
+def test_only_small_inputs_are_dealt_out(spark, monkeypatch):
+    from tablerich import session
+
+    df = spark.range(100)
+    assert "RoundRobin" in session.spread(df)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "MIN_SPLIT_BYTES", 1)
+    assert session.spread(df) is df
