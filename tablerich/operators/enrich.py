@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tablerich.operators.inputs import Inputs, check_columns, input_json, input_map
@@ -218,12 +218,14 @@ def enrich_partitioned(
     schema = units.select(*columns).schema.add("enriched", "string")
 
     # Batches of a group are streamed; a group is never held as a whole.
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            results = call_in_chunks(fn, [json.loads(x) for x in pdf["_sent"]], names, rows)
-            yield pdf[columns].assign(enriched=[as_text(r) for r in results])
-
-    return units.groupBy(*by, "split").applyInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sent = [json.loads(x) for x in batch.column("_sent").to_pylist()]
+            answers = [as_text(r) for r in call_in_chunks(fn, sent, names, rows)]
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(answers, pa.string())], [*columns, "enriched"])
+
+    return units.groupBy(*by, "split").applyInArrow(run, schema)
 
 
 def enrich_new(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tablerich.operators.ordering import running_totals
 from tablerich.operators.resolvers import NO_RESULT
 
 # Statuses that end a run.
@@ -88,12 +89,9 @@ def cancel(current: DataFrame, wanted: DataFrame) -> DataFrame:
 def progress(ledger: DataFrame, by: Sequence[str], step: Column) -> DataFrame:
     """Running ``completed`` and ``total`` per group after each time step.
 
-    Runs are counted per step first, so the window only sees one row per group and step.
+    Runs are counted per group and step first; the running totals may then span many tasks per group.
     """
     counted = ledger.groupBy(*by, step.alias("step")).agg(
-        F.count_if(F.col("status") == "completed").alias("_c"), F.count(F.lit(1)).alias("_n")
-    )
-    so_far = Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    return counted.select(
-        *by, "step", F.sum("_c").over(so_far).alias("completed"), F.sum("_n").over(so_far).alias("total")
+        F.count_if(F.col("status") == "completed").alias("completed"), F.count(F.lit(1)).alias("total")
     )
+    return running_totals(counted, by, ["step"], ["completed", "total"])

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablerich.session import cut_lineage
@@ -65,6 +67,81 @@ def chunk_sizes(df: DataFrame, by: Sequence[str], size: int = 1000) -> DataFrame
     )
 
 
+def _before(batch: pa.RecordBatch, last: pa.RecordBatch | None, name: str) -> pa.Array:
+    """The column shifted by one row; the row before the batch is ``last``."""
+    column = batch.column(name)
+    first = pa.nulls(1, column.type) if last is None else last.column(name)
+    return pa.concat_arrays([first, column.slice(0, len(column) - 1)])
+
+
+def _equal(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Null-safe equality."""
+    return pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+
+
+def _same_key(batch: pa.RecordBatch, last: pa.RecordBatch | None, keys: Sequence[str]) -> pa.Array:
+    """Whether each row has the key of the row before it."""
+    same = None
+    for k in keys:
+        equal = _equal(batch.column(k), _before(batch, last, k))
+        same = equal if same is None else pc.and_(same, equal)
+    return same if last is not None else pa.concat_arrays([pa.array([False]), same.slice(1)])
+
+
+def _edges(rows: int, is_first: bool) -> pa.Array:
+    return pa.array(["head" if is_first else None] + [None] * (rows - 1), pa.string())
+
+
+def running_totals(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Replace each of ``values`` by its running total per key, in the given total order.
+
+    Equal to ``sum(value) over (partition by key order by … rows unbounded preceding)``, but a key may
+    span many tasks: each task adds up its own rows, and what earlier tasks hold of its first key, one
+    small row per task, is added at the end.
+    """
+    ordering = [F.col(c) for c in [*key, *order]]
+    keys, sums = list(key), list(values)
+    ranged = df.repartitionByRange(*ordering).sortWithinPartitions(*ordering).withColumns(
+        {"_part": F.spark_partition_id(), "_edge": F.lit(None).cast("string")}
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            same = _same_key(batch, last, keys).to_numpy(zero_copy_only=False)
+            run = (~same).cumsum()
+            out = batch
+            for v in sums:
+                added = pd.Series(pc.fill_null(batch.column(v), 0).to_numpy()).groupby(run).cumsum()
+                if last is not None:
+                    # Run 0 goes on from the last row of the batch before.
+                    added = added + (run == 0) * (last.column(v)[0].as_py() or 0)
+                place = out.schema.get_field_index(v)
+                out = out.set_column(place, v, pa.array(added, batch.column(v).type))
+            out = out.set_column(out.schema.get_field_index("_edge"), "_edge", _edges(out.num_rows, last is None))
+            last = out.slice(out.num_rows - 1)
+            yield out
+        if last is not None:
+            yield last.set_column(last.schema.get_field_index("_edge"), "_edge", pa.array(["tail"]))
+
+    scanned = cut_lineage(ranged.mapInArrow(scan, ranged.schema), "running")
+    earlier = Window.partitionBy(*keys).orderBy("_part", "_edge").rowsBetween(Window.unboundedPreceding, -1)
+    carried = {f"_c{i}": F.sum(F.when(F.col("_edge") == "tail", F.col(v))).over(earlier) for i, v in enumerate(sums)}
+    # At most one row per partition: what came before its first key.
+    before = (
+        scanned.filter(F.col("_edge").isNotNull())
+        .select(*keys, "_part", "_edge", *[c.alias(n) for n, c in carried.items()])
+        .filter("_edge = 'head' AND _c0 IS NOT NULL")
+        .select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *carried)
+    )
+    same = [F.col("_part") == F.col("_p"), *[F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]]
+    rows = scanned.filter(F.coalesce(F.col("_edge"), F.lit("")) != "tail").join(F.broadcast(before), same, "left")
+    total = {v: F.col(v) + F.coalesce(F.col(f"_c{i}"), F.lit(0)) for i, v in enumerate(sums)}
+    return rows.select(*[total[c].alias(c) if c in total else F.col(f"`{c}`") for c in df.columns])
+
+
 def with_previous(
     df: DataFrame, key: str, order: Sequence[str], state: str, changed_only: bool = False
 ) -> DataFrame:
@@ -85,32 +162,34 @@ def with_previous(
          T.StructField("_edge", T.StringType())]
     )
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for rows in batches:
-            if rows.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            rows = rows.reset_index(drop=True)
-            extended = rows if last is None else pd.concat([last, rows], ignore_index=True)
-            before_key = extended[key].shift()
-            same = extended[key].eq(before_key) | (extended[key].isna() & before_key.isna())
-            same.iloc[0] = False
-            previous = extended[state].shift().where(same, None)
-            now, before = extended[state], previous
-            differs = ~(now.eq(before) | (now.isna() & before.isna()))
-            out = extended.assign(previous=previous.astype("object"), first=~same, _edge=None)
-            keep = pd.Series(True, index=out.index) if not changed_only else (~same | differs)
-            if last is None:
-                out.loc[0, "_edge"] = "head"
-                keep.iloc[0] = True
-            else:
-                keep.iloc[0] = False
-            last = rows.tail(1)
-            yield out[keep]
+            same = _same_key(batch, last, [key])
+            now, before = batch.column(state), _before(batch, last, state)
+            previous = pc.if_else(same, before, pa.nulls(len(before), before.type))
+            first = pc.invert(same)
+            edge = _edges(batch.num_rows, last is None)
+            out = pa.RecordBatch.from_arrays(
+                [*batch.columns, previous, first, edge], [*batch.schema.names, "previous", "first", "_edge"]
+            )
+            if changed_only:
+                kept = pc.or_(first, pc.invert(_equal(now, previous)))
+                if last is not None:
+                    out = out.filter(kept)
+                else:
+                    out = out.filter(pa.concat_arrays([pa.array([True]), kept.slice(1)]))
+            last = batch.slice(batch.num_rows - 1)
+            yield out
         if last is not None:
-            yield last.assign(previous=None, first=False, _edge="tail")
+            yield pa.RecordBatch.from_arrays(
+                [*last.columns, pa.nulls(1, last.column(state).type), pa.array([False]), pa.array(["tail"])],
+                [*last.schema.names, "previous", "first", "_edge"],
+            )
 
-    scanned = cut_lineage(ranged.mapInPandas(scan, schema), "scanned")
+    scanned = cut_lineage(ranged.mapInArrow(scan, schema), "scanned")
     # At most two rows per partition: its first row, and its last row to carry over.
     edges = scanned.filter(F.col("_edge").isNotNull())
     earlier = Window.orderBy("_part", F.col("_edge")).rowsBetween(Window.unboundedPreceding, -1)

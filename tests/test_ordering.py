@@ -66,6 +66,36 @@ def test_previous_row(spark, skewed, many_parts, changed_only, batch):
         assert (r.first, clean(r.previous), clean(r.state)) == (first, clean(previous), clean(state))
 
 
+@pytest.mark.parametrize("batch", [10_000, 7])
+@pytest.mark.parametrize("key", [["k"], ["k", "state"]])
+def test_running_totals(spark, skewed, many_parts, batch, key):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        df = skewed.withColumns({"n": F.lit(1).cast("bigint"), "x": F.col("id") / 4})
+        got = O.running_totals(df, key, ["t", "id"], ["n", "x"]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    rows = skewed.toPandas().sort_values(["t", "id"])
+    rows["n"] = rows.groupby(key, dropna=False).cumcount() + 1
+    rows["x"] = (rows["id"] / 4).groupby([rows[k].fillna("") for k in key]).cumsum()
+    want = rows.set_index("id")
+    assert len(got) == 3000
+    for r in got.itertuples():
+        assert r.n == want.n[r.id] and abs(r.x - want.x[r.id]) < 1e-6
+
+
+def test_large_keys_with_nulls_stay_exact(spark, many_parts):
+    big = 2**53
+    rows = [(None if i % 7 == 0 else big + i % 3, big + i, "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, t long, s string").repartition(5)
+    got = O.with_previous(df, "k", ["t"], "s").collect()
+    assert {(r.k, r.t, r.s) for r in got} == set(rows)
+    assert sum(r["first"] for r in got) == 4
+    totals = O.running_totals(df.withColumn("n", F.lit(1).cast("bigint")), ["k"], ["t"], ["n"]).collect()
+    assert {(r.k, r.t) for r in totals} == {(k, t) for k, t, _ in rows}
+    assert sum(r.n == 1 for r in totals) == 4
+
+
 def test_scratch_tables_can_be_cleared(spark):
     from tablerich.session import clear_scratch, cut_lineage
 

@@ -13,7 +13,7 @@ def test_query_equals_sql(spark, duck, sf, name):
     assert rows > 0
 
 
-@pytest.mark.parametrize("name", ["batch_ids", "batch_slice", "extract_full", "change_events", "stream_changes"])
+@pytest.mark.parametrize("name", ["batch_ids", "batch_slice", "extract_full", "run_progress", "change_events", "stream_changes"])
 def test_ordered_queries_across_partitions(spark, duck, sf, many_parts, name):
     problem, _, _ = compare(spark, duck, sf, QUERIES[name], SQL[name])
     assert problem is None
