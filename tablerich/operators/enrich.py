@@ -216,6 +216,9 @@ def enrich_partitioned(
         *columns, "split", input_json({**inputs, "group_rows": "group_rows"}).alias("_sent")
     )
     schema = units.select(*columns).schema.add("enriched", "string")
+    # With a given number Spark does not merge small partitions: calls are slow, rows are few.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = units.repartition(parts, *by, "split")
 
     # Batches of a group are streamed; a group is never held as a whole.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,9 +1,12 @@
-"""Exact global order without a one-task window.
+"""Exact order over all rows, or over all rows of a key, without a one-task window.
 
 A window with no partition key, or with one hot key, sorts everything in a single task. Here rows are
-range-partitioned on the whole order (a hot leading value is cut between its rows), sorted inside
-each partition, and only one small row per partition takes part in the global step. The partitioned
-rows are written once, because a second evaluation could draw other range bounds.
+range-partitioned on the whole order (a hot key, or a hot moment of it, is cut between its rows), sorted
+inside each partition, and only one or two small rows per partition take part in the global step. The
+partitioned rows are written once, because a second evaluation could draw other range bounds.
+
+Running totals and previous rows are found in one Arrow pass over the sorted rows: a window inside the
+ranges would need a second shuffle of everything.
 """
 
 from __future__ import annotations

@@ -118,12 +118,14 @@ class CallableResolver:
 
     The function gets a list of input dicts and the output names, and returns one dict per input:
     the outputs, optionally ``basis``, or ``error``. Spark may run a task again, so calls happen at
-    least once. ``dedupe`` asks for each distinct input only once.
+    least once. ``dedupe`` asks for each distinct input only once; ``partitions`` deals the rows out
+    before the calls, for slow calls on few rows.
     """
 
     fn: RowFunction
     chunk: int = CALL_ROWS
     dedupe: bool = False
+    partitions: int | None = None
 
     def attach(self, df: DataFrame, inputs: Inputs, outputs: Sequence[OutputColumn]) -> DataFrame:
         names = [o.name for o in outputs]
@@ -138,10 +140,11 @@ class CallableResolver:
         fields = ",".join(f"`{n}`:string" for n in names)
         schema = f"struct<error:string,basis:{BASIS_TYPE},values:struct<{fields}>>"
         sent = input_json(inputs)
+        deal = (lambda d: d.repartition(self.partitions)) if self.partitions else (lambda d: d)
         if not self.dedupe:
-            return df.withColumn(RESULT, F.from_json(udf(sent), schema))
+            return deal(df).withColumn(RESULT, F.from_json(udf(sent), schema))
         keyed = df.withColumn("_sent", sent)
-        answers = keyed.select("_sent").distinct().withColumn(RESULT, F.from_json(udf("_sent"), schema))
+        answers = deal(keyed.select("_sent").distinct()).withColumn(RESULT, F.from_json(udf("_sent"), schema))
         return keyed.join(answers, "_sent").drop("_sent")
 
 
