@@ -51,7 +51,7 @@ def estimate(requests: DataFrame, processor: str = "processor") -> DataFrame:
     return counted.join(tiers(requests.sparkSession), "processor", "left").select(
         "processor",
         "rows",
-        F.round(F.col("rows") * F.col("price_per_row"), 2).alias("cost"),
+        F.round(F.col("rows") * F.col("price_per_row"), 3).alias("cost"),
         "min_seconds",
         "max_seconds",
     )

@@ -243,6 +243,12 @@ def budget_excerpts(
     )
 
 
+def _needed(column: str | None, part: str) -> str:
+    if column is None:
+        raise ValueError(f"the corpus names no {part} column")
+    return column
+
+
 def search(
     corpus: Corpus,
     *,
@@ -259,12 +265,12 @@ def search(
 ) -> DataFrame:
     """One search request; filters are applied below the scoring, so they reach the scan."""
     df = corpus.df
-    if (include_domains or exclude_domains) and corpus.url:
-        df = domain_policy(df, corpus.url, include_domains, exclude_domains)
-    if after and corpus.date:
-        df = after_date(df, corpus.date, after)
-    if location and corpus.location:
-        df = at_location(df, corpus.location, location)
+    if include_domains or exclude_domains:
+        df = domain_policy(df, _needed(corpus.url, "url"), include_domains, exclude_domains)
+    if after:
+        df = after_date(df, _needed(corpus.date, "date"), after)
+    if location:
+        df = at_location(df, _needed(corpus.location, "location"), location)
     ranked = rank_documents(
         replace(corpus, df=df), resolve_queries(objective, queries), mode=mode, limit=limit
     )

@@ -47,11 +47,9 @@ PLACES_SQL = "nation JOIN region ON n_regionkey = r_regionkey"
 
 def flagship(spark, sf):
     """Suppliers with country, region and order volume."""
-    volume = (
-        table(spark, sf, "lineitem")
-        .groupBy("l_suppkey")
-        .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("volume"))
-    )
+    # Decimals, so that the sum does not depend on the order of its rows.
+    paid = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    volume = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.sum(paid).alias("volume"))
     suppliers = table(spark, sf, "supplier")
     known = (
         suppliers.select(F.col("s_suppkey").alias("k_suppkey"), F.col("s_nationkey").alias("k_nationkey"))
@@ -74,8 +72,8 @@ query(
 SELECT s_suppkey, s_name, s_nationkey, s_acctbal, n_name AS country_name, r_name AS region_name,
        v.volume AS order_volume
 FROM supplier LEFT JOIN ({PLACES_SQL}) ON s_nationkey = n_nationkey
-LEFT JOIN (SELECT l_suppkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS volume
-           FROM lineitem GROUP BY l_suppkey) v ON s_suppkey = l_suppkey""",
+LEFT JOIN (SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
+             AS DOUBLE) AS volume FROM lineitem GROUP BY l_suppkey) v ON s_suppkey = l_suppkey""",
 )(flagship)
 
 
@@ -308,7 +306,7 @@ def enrich_mixed_outputs(spark, sf):
     return replies.select("c_custkey", "reply")
 
 
-BIG_SPENDERS = "SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice > 400000 GROUP BY 1"
+BIG_SPENDERS = "SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total FROM orders WHERE o_totalprice > 400000 GROUP BY 1"
 
 
 def spend_resolver(spark, sf, key="customer"):
@@ -317,7 +315,7 @@ def spend_resolver(spark, sf, key="customer"):
         table(spark, sf, "orders")
         .filter(F.col("o_totalprice") > 400000)
         .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
     )
     return TableResolver(known, {key: "o_custkey"}, {"order_count": "n", "order_total": "total"}, unique=True)
 
@@ -420,7 +418,7 @@ _TIER = """CASE o_orderpriority WHEN '1-URGENT' THEN 'pro-fast' WHEN '2-HIGH' TH
 WITH t(processor, price, lo, hi) AS (VALUES ('pro-fast', 0.10, 30, 300), ('core', 0.025, 60, 300), ('base', 0.01, 15, 100),
   ('lite-fast', 0.005, 10, 20), ('ultra8x', NULL, 300, 7200)),
 r AS (SELECT {_TIER} AS processor, count(*) AS n FROM orders GROUP BY 1)
-SELECT r.processor, n AS rows, round(CAST(n * price AS DOUBLE), 2) AS cost, CAST(lo AS BIGINT) AS min_seconds,
+SELECT r.processor, n AS rows, CAST(n * CAST(price AS DECIMAL(6,3)) AS DOUBLE) AS cost, CAST(lo AS BIGINT) AS min_seconds,
        CAST(hi AS BIGINT) AS max_seconds
 FROM r LEFT JOIN t ON r.processor = t.processor""",
 )

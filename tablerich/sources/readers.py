@@ -26,15 +26,19 @@ def check_table_name(name: str) -> str:
     return name
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, line_breaks: bool = True
+) -> DataFrame:
     """CSV with a header; every column is text. Give ``columns`` to skip reading the header first.
 
-    Quoted fields may hold line breaks, so a file is one unit of work; many files read in parallel.
+    Quoted fields may hold line breaks, and then a file is one unit of work. Large files without such
+    fields are split with ``line_breaks=False``.
     """
+    options = {"header": True, "multiLine": line_breaks, "escape": '"'}
     if columns is None:
-        columns = spark.read.csv(path, header=True, multiLine=True, escape='"').columns
+        columns = spark.read.csv(path, **options).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
+    return spark.read.csv(path, schema=schema, **options)
 
 
 def read_json(

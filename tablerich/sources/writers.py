@@ -41,18 +41,23 @@ def result_table(df: DataFrame, name: str | None, *, replace: bool = False, view
 
 def write_reports(
     reports: DataFrame, path: str, *, key: str = "run_id", content: str = "content",
-    is_text=None, force: bool = False,
+    is_text=None, force: bool = False, folders: bool = True,
 ) -> None:
-    """Metadata of every report as JSON; text bodies apart, one folder per report.
+    """Metadata of every report as JSON; text bodies apart, in one folder per report.
 
-    ``is_text`` is a Column that says which reports are text; without it all are.
+    ``is_text`` is a Column that says which reports are text; without it all are. For very many reports
+    ``folders=False`` keeps the bodies as rows ``(key, content)`` instead.
     """
     mode = "overwrite" if force else "errorifexists"
     text = F.lit(True) if is_text is None else is_text
     body = F.when(~text, F.col(content)).alias(content)
     rest = [c for c in reports.columns if c != content]
     reports.select(*rest, body).write.mode(mode).json(f"{path}/metadata")
-    reports.filter(text).select(key, content).write.mode(mode).partitionBy(key).text(f"{path}/markdown")
+    bodies = reports.filter(text).select(key, content).write.mode(mode)
+    if folders:
+        bodies.partitionBy(key).text(f"{path}/markdown")
+    else:
+        bodies.json(f"{path}/markdown")
 
 
 def stamp_cache(df: DataFrame) -> DataFrame:

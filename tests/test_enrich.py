@@ -82,6 +82,11 @@ def test_callable_resolver(companies):
     assert once.table().count() == 8
 
 
+def test_calls_can_be_dealt_out(companies):
+    done = E.enrich(companies, {"name": "name"}, ["Shout"], CallableResolver(upper, partitions=3))
+    assert done.table().rdd.getNumPartitions() == 3 and done.table().count() == 4
+
+
 def test_callable_basis_and_nested_values(companies):
     def fn(rows, names):
         return [

@@ -92,6 +92,9 @@ def test_reports(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         writers.write_reports(df, path)
     writers.write_reports(df, path, force=True)
+    rows = str(tmp_path / "rows")
+    writers.write_reports(df, rows, folders=False)
+    assert spark.read.json(f"{rows}/markdown").count() == 2
 
 
 def test_cache(spark, companies, tmp_path):

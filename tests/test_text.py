@@ -91,6 +91,10 @@ def test_search_checks(corpus):
         S.rank_documents(corpus, ["fox"], mode="slow")
     with pytest.raises(ValueError, match="objective"):
         S.resolve_queries(None, [])
+    bare = S.Corpus(corpus.df, "id", "text")
+    for policy in ({"after": "2024-01-01"}, {"location": "us"}, {"include_domains": ["a.com"]}):
+        with pytest.raises(ValueError, match="names no"):
+            S.search(bare, queries=["fox"], **policy)
     with pytest.raises(ValueError, match="5000"):
         S.resolve_queries("x" * 5001, [])
     with pytest.raises(ValueError, match="200"):
