@@ -83,19 +83,19 @@ class Enriched:
 
     def metrics(self) -> DataFrame:
         """One row: total, success and error counts."""
-        return self.resolved.agg(*_counts())
+        # A single use of the error lets Spark drop the answers, down to the scan of the knowledge.
+        return self.resolved.select(F.col(f"{RESULT}.error").alias("_error")).agg(*_counts(F.col("_error")))
 
     def observed(self, name: str = "enrichment") -> tuple[DataFrame, Observation]:
         """``table()`` that also counts successes and errors while it is written or read."""
         observation = Observation(name)
         watched = Enriched(
-            self.resolved.observe(observation, *_counts()), self.source_columns, self.inputs, self.outputs
+            self.resolved.observe(observation, *_counts(F.col(f"{RESULT}.error"))), self.source_columns, self.inputs, self.outputs
         )
         return watched.table(), observation
 
 
-def _counts() -> list[Column]:
-    error = F.col(f"{RESULT}.error")
+def _counts(error: Column) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("total_count"),
         F.count_if(error.isNull()).alias("success_count"),

@@ -64,7 +64,7 @@ def read_jdbc(
     spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,
     bounds: tuple[int, int] | None = None, partitions: int = 32, **options: str,
 ) -> DataFrame:
-    """A database table; give a numeric column and its bounds to read in parallel."""
+    """A database table; give a numeric column and its bounds to read it in many tasks."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=check_table_name(table), **options)
     if partition_column and bounds:
         reader = reader.options(

@@ -27,7 +27,9 @@ def change_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*columns)
+        # Read several times below; a lost part is read from the source again.
+        taken = batch.select(*columns).persist()
+        rows = taken
         last = spark.read.parquet(f"{path}/last-{(batch_id - 1) % 2}") if batch_id > 0 else None
         stream = rows
         if last is not None:
@@ -46,6 +48,7 @@ def change_writer(
         merged.groupBy(key).agg(newest).select(key, "_n.*").write.mode("overwrite").parquet(
             f"{path}/last-{batch_id % 2}"
         )
+        taken.unpersist()
 
     return write
 

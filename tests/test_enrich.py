@@ -196,6 +196,16 @@ def test_filter_runs_below_the_resolver(companies):
     assert plan.index("ArrowEvalPython") < plan.index("Filter")
 
 
+def test_unused_answers_are_not_read(spark, companies, known, tmp_path):
+    known.write.parquet(str(tmp_path / "known"))
+    table = spark.read.parquet(str(tmp_path / "known"))
+    resolver = TableResolver(table, {"company": "k"}, {"ceo_name": "ceo", "founding_year": "year"}, unique=True)
+    done = E.enrich(companies, {"company": "name"}, ["CEO name", "Founding year"], resolver)
+    read = lambda df: df._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
+    assert read(done.table().select("id", "ceo_name")) == "struct<k:string,ceo:string>"
+    assert read(done.metrics()) == read(done.errors()) == "struct<k:string>"
+
+
 def test_hot_key_of_a_lookup_is_split(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
