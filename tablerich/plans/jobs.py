@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablerich.operators import ledger
 from tablerich.operators.enrich import typed_job
-from tablerich.operators.inputs import check_columns
+from tablerich.operators.inputs import check_columns, input_json
 from tablerich.operators.naming import OutputColumn
 from tablerich.operators.resolvers import Resolver
 from tablerich.sources import readers, writers
@@ -91,11 +92,33 @@ def read_job(spark: SparkSession, job: JobConfig) -> DataFrame:
             return readers.read_source(spark, job.source, list(job.inputs.values()))
 
 
-def build_job(spark: SparkSession, job: JobConfig, resolver: Resolver, *, stamp: bool = True) -> tuple[DataFrame, DataFrame]:
+def pick_resolver(job: JobConfig, resolver: Resolver | Mapping[str, Resolver]) -> Resolver:
+    """The resolver itself, or the one registered for the processor of the job."""
+    if not isinstance(resolver, Mapping):
+        return resolver
+    if job.processor not in resolver:
+        raise ConfigError(f"unknown processor: {job.processor}")
+    return resolver[job.processor]
+
+
+def build_job(
+    spark: SparkSession, job: JobConfig, resolver: Resolver | Mapping[str, Resolver], *, stamp: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Result and dropped rows of a job; lazy."""
+    chosen = pick_resolver(job, resolver)
     source = read_job(spark, job)
     check_columns(source, job.inputs)
-    return typed_job(source, job.inputs, job.enriched_columns, resolver, stamp=stamp)
+    return typed_job(source, job.inputs, job.enriched_columns, chosen, stamp=stamp)
+
+
+def submit_job(spark: SparkSession, job: JobConfig, group_id: str) -> tuple[DataFrame, DataFrame]:
+    """Queue the rows of a job without resolving them: ledger rows to append, and the group's summary."""
+    source = read_job(spark, job)
+    check_columns(source, job.inputs)
+    runs = source.select(
+        F.lit(group_id).alias("group_id"), F.expr("uuid()").alias("run_id"), input_json(job.inputs).alias("input")
+    )
+    return ledger.submit(runs)
 
 
 def write_job(job: JobConfig, result: DataFrame) -> None:
@@ -112,7 +135,9 @@ def write_job(job: JobConfig, result: DataFrame) -> None:
             writers.replace_table(result, job.target)
 
 
-def run_job(spark: SparkSession, config: dict | JobConfig, resolver: Resolver) -> JobConfig:
+def run_job(
+    spark: SparkSession, config: dict | JobConfig, resolver: Resolver | Mapping[str, Resolver]
+) -> JobConfig:
     """Run a job from a config and write its target."""
     job = config if isinstance(config, JobConfig) else parse_config(config)
     result, _ = build_job(spark, job, resolver)
@@ -134,7 +159,7 @@ def dry_run(spark: SparkSession, job: JobConfig) -> DataFrame:
 
 
 def run_many(
-    spark: SparkSession, configs: Sequence[tuple[str, dict]], resolver: Resolver
+    spark: SparkSession, configs: Sequence[tuple[str, dict]], resolver: Resolver | Mapping[str, Resolver]
 ) -> tuple[DataFrame | None, DataFrame]:
     """Build many jobs; one that cannot be built does not stop the rest.
 
