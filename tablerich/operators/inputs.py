@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from tablerich.operators.naming import strip
 from tablerich.session import spread
@@ -23,6 +25,17 @@ def as_column(value: str | Column) -> Column:
     return F.col(f"`{value}`") if isinstance(value, str) else value
 
 
+def moment(value, kind: DataType) -> Column:
+    """A date or time as a literal of the column's type.
+
+    A value without an offset goes through text: as a Python literal it would be shifted from the zone
+    of the driver to that of the session.
+    """
+    if isinstance(value, date) and getattr(value, "tzinfo", None) is None:
+        return F.lit(str(value)).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def input_map(inputs: Inputs) -> Column:
     """``map<string,string>`` of the non-null inputs; empty when all are null."""
     pairs = [x for name, c in inputs.items() for x in (F.lit(name), as_column(c).cast("string"))]

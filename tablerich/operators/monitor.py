@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablerich.operators.inputs import moment
 from tablerich.operators.ordering import with_previous
 
 # Friendly names of frequencies.
@@ -92,9 +93,10 @@ def page(df: DataFrame, order: Sequence[str], limit: int, cursor: Sequence | Non
         raise ValueError("limit must be from 1 to 10000")
     if cursor is not None:
         schema = df.select(*order).schema
-        at = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cursor, schema)])
+        values = [moment(v, f.dataType) for v, f in zip(cursor, schema)]
+        at = F.struct(*[v.alias(c) for v, c in zip(values, order)])
         # The first test alone can be pushed to the scan.
-        df = df.filter(F.col(order[0]) <= F.lit(cursor[0])).filter(F.struct(*order) < at)
+        df = df.filter(F.col(order[0]) <= values[0]).filter(F.struct(*order) < at)
     return df.orderBy(*[F.desc(c) for c in order]).limit(limit)
 
 

@@ -9,10 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablerich.operators.inputs import moment
 from tablerich.session import cut_lineage, spread
 
 K1 = 1.2
@@ -204,8 +205,7 @@ def domain_policy(df: DataFrame, url: str, include: Sequence[str] = (), exclude:
 def after_date(df: DataFrame, column: str, day: str | date) -> DataFrame:
     """Rows of the day or later; rows without a date are left out."""
     day = date.fromisoformat(day) if isinstance(day, str) else day
-    moment = F.lit(datetime(day.year, day.month, day.day)).cast(df.schema[column].dataType)
-    return df.filter(F.col(column) >= moment)
+    return df.filter(F.col(column) >= moment(day, df.schema[column].dataType))
 
 
 def at_location(df: DataFrame, column: str, location: str) -> DataFrame:

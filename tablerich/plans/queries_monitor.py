@@ -186,7 +186,7 @@ def _due(spark, sf):
     started = table(spark, sf, "events").groupBy("user_id").agg(
         F.min("ts").alias("started"), F.min_by(frequency, F.struct("ts", "event_id")).alias("frequency")
     )
-    return M.schedule(started, "user_id", "started", F.lit(datetime(2024, 1, 31)).cast("timestamp_ntz"))
+    return M.schedule(started, "user_id", "started", F.lit("2024-01-31").cast("timestamp_ntz"))
 
 
 @query("monitor_schedule", _SCHEDULE)

@@ -56,7 +56,7 @@ def stream_windowed(spark, sf):
     path = scratch_path(spark, "stream-windowed")
     run_to_end(ST.closed_windows(event_stream(spark, sf), "ts", "1 day", ["event_type"], "1 hour"), path)
     out = spark.read.parquet(f"{path}/out")
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return out.withColumn("window_start", ST.utc_clock(F.col("window_start")))
 
 
 @query("stream_changes", CHANGES_SQL)

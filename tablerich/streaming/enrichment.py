@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import TimestampNTZType
 
 from tablerich.operators.enrich import Outputs, enrich
 from tablerich.operators.inputs import Inputs
@@ -47,8 +48,19 @@ def batch_writer(
 
 
 def with_event_time(df: DataFrame, ts: str, delay: str = "10 seconds") -> DataFrame:
-    """Set the watermark; stateful operators downstream drop rows later than ``delay``."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    """Set the watermark; stateful operators downstream drop rows later than ``delay``.
+
+    A time without a zone counts as UTC, whatever the zone of the session.
+    """
+    moment = F.col(ts)
+    if df.schema[ts].dataType == TimestampNTZType():
+        moment = F.convert_timezone(F.lit("UTC"), F.current_timezone(), moment)
+    return df.withColumn(ts, moment.cast("timestamp")).withWatermark(ts, delay)
+
+
+def utc_clock(moment: Column) -> Column:
+    """The UTC date and time of a moment, without a zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
 
 
 def first_per_key(df: DataFrame, ts: str, key: list[str], delay: str = "10 seconds") -> DataFrame:

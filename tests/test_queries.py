@@ -19,6 +19,18 @@ def test_ordered_queries_across_partitions(spark, duck, sf, many_parts, name):
     assert problem is None
 
 
+@pytest.mark.parametrize(
+    "name", ["monitor_list", "monitor_schedule", "search_after_date", "freshness_policy", "typed_outputs", "stream_windowed"]
+)
+def test_zone_of_the_session_does_not_matter(spark, duck, sf, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        problem, _, _ = compare(spark, duck, sf, QUERIES[name], SQL[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert problem is None
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
