@@ -1,9 +1,10 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tablerich.plans import catalog
 from tests.oracle import compare
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = catalog.load()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
