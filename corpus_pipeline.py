@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablerich.llm import exact, mixing, simhash
+from tablerich.llm import exact, mixing, packing, quality, simhash
 from tablerich.session import scratch_path
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return exact.kept_documents(docs)
@@ -23,7 +28,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.Mix(docs).documents()
 
 
-STAGES = [("exact dedup", exact_dedup), ("simhash near-dedup", near_dedup), ("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences, with their token ids."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", classify),
+    ("exact dedup", exact_dedup),
+    ("simhash near-dedup", near_dedup),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 #: The classifier is trained and packing is greedy: SQL can express neither.
 ORACLE_SQL = None

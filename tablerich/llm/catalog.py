@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablerich.llm import chat, exact, mixing, pivots, simhash  # noqa: F401
+from tablerich.llm import chat, exact, mixing, packing, pivots, quality, simhash, token_files  # noqa: F401
 from tablerich.llm.common import ORACLE, QUERIES, Query
 
 

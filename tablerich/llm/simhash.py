@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -60,12 +60,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id, fp`` of every row."""
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": [fingerprint(t, shingle) for t in batch["text"]]})
+            found = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(hashed, f"doc_id {kind}, fp bigint")
+    return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp bigint")
 
 
 def _bits(n: int) -> list[int]:
