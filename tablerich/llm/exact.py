@@ -84,9 +84,11 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = _sha256) -
     log_path, out, checkpoint = (scratch_path(spark, n) for n in ("digests", "holders", "state"))
     log = keyed_log(docs, digest)
     log.write.parquet(log_path)
+    held_type = "digest string, holder struct<n_points: int, known: boolean, order: bigint, doc_id: bigint>, seen bigint"
+    # There are holders to read even if there is no row.
+    spark.createDataFrame([], held_type).write.parquet(f"{out}/batch=none")
     run_state(spark, log_path, "doc_id bigint, digest string, n_points int", checkpoint, out)
     log = spark.read.parquet(log_path)
-    held_type = "digest string, holder struct<n_points: int, known: boolean, order: bigint, doc_id: bigint>, seen bigint"
     # A later batch repeats a digest it has changed; holders only get better and counts only grow.
     held = spark.read.schema(held_type).parquet(f"{out}/*")
     held = cut_lineage(
@@ -128,12 +130,15 @@ def _collisions(docs: DataFrame, marked: DataFrame, digest: Callable[[Column], C
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all their columns; one of repeated rows of the ``doc_id`` that stays."""
-    keys = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept")).distinct()
+    keys = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("keep"), F.col("digest").alias("held")).distinct()
     keys = cut_lineage(keys, "kept")
-    own = docs.withColumn("_digest", _sha256(without_spaces(text_of())))
-    same = own.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")), "left_semi")
-    first = Window.partitionBy("doc_id", "_digest").orderBy(F.length(text_of()).desc(), "text")
-    return same.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*docs.columns)
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), text_of().alias("words"),
+        _sha256(without_spaces(text_of())).alias("digest"),
+    )
+    same = own.join(keys, F.col("id").eqNullSafe(F.col("keep")) & (F.col("digest") == F.col("held")), "left_semi")
+    first = Window.partitionBy("id", "digest").orderBy(F.length("words").desc(), "words")
+    return same.withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")
 
 
 SQL = r"""

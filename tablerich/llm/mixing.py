@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablerich.llm.common import WORD, query, table, text_of
@@ -264,37 +265,37 @@ class Mix:
         A document taken twice has two rows. A part reaches from its first word to the next part's, white
         space included; ``n_chars`` is that of the new text. Other columns are those of the document.
         """
-        key = ["source", "start"]
         parts = (
-            self.pieces().groupBy(*key, "epoch", "doc_id", "size", "digest")
+            self.pieces().groupBy("source", "start", "epoch", "doc_id", "size", "digest")
             .agg(F.array_sort(F.collect_list(F.struct("first", "taken"))).alias("parts"))
         )
-        copies = Window.partitionBy("_id", "_digest").orderBy("_source")
-        texts = self.docs.select(*[F.col(c) for c in self.docs.columns], F.xxhash64("text").alias("_digest")).withColumnRenamed(
-            "source", "_source"
-        )
-        texts = texts.withColumn("_id", F.col("doc_id")).withColumn("_copy", F.row_number().over(copies))
         # Equal rows are paired by their number.
-        parts = parts.withColumn("copy", F.dense_rank().over(Window.partitionBy("doc_id", "digest").orderBy("source", "start")))
-        chosen = parts.select(
-            F.col("doc_id").alias("_d"), F.col("digest").alias("_g"), F.col("source").alias("_s"), "copy", "size", "parts"
-        )
+        numbered = Window.partitionBy("doc_id", "digest").orderBy("source", "start")
+        chosen = parts.select("doc_id", "digest", F.dense_rank().over(numbered).alias("copy"), "size", "parts")
+        fields = self.docs.columns
+        names = [f"c{i}" for i in range(len(fields))]
+        texts = self.docs.select(
+            *[F.col(f"`{c}`").alias(n) for c, n in zip(fields, names)],
+            F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.col("source").alias("of"),
+        ).withColumn("row", F.row_number().over(Window.partitionBy("id", "hash").orderBy("of")))
         joined = texts.join(
             chosen,
-            F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_digest") == F.col("_g"))
-            & (F.col("_copy") - F.col("copy") == 0),  # no key of the join: the texts stay where the window has put them
-        ).withColumn("source", F.col("_source"))
-        columns = [c for c in self.docs.columns]
+            F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("digest"))
+            & (F.col("row") - F.col("copy") == 0),  # no key of the join: the texts stay where the window has put them
+        )
+        schema = self.docs.schema
 
-        def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                text = [_parts_of(t, n, p) for t, n, p in zip(batch["text"], batch["size"], batch["parts"])]
-                batch = batch.assign(text=text)
+                columns = {f: batch.column(n) for f, n in zip(fields, names)}
+                whole = zip(columns["text"], batch.column("size"), batch.column("parts"))
+                text = [_parts_of(t.as_py(), n.as_py(), p.as_py()) for t, n, p in whole]
+                columns["text"] = pa.array(text, columns["text"].type)
                 if "n_chars" in columns:
-                    batch["n_chars"] = [len(t) for t in text]
-                yield batch[columns]
+                    columns["n_chars"] = pa.array([len(t) for t in text]).cast(columns["n_chars"].type)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), fields)
 
-        return joined.select(*columns, "size", "parts").mapInPandas(cut, self.docs.select(*columns).schema)
+        return joined.select(*names, "size", "parts").mapInArrow(cut, schema)
 
 
 def _parts_of(text: str, size: int, parts: Sequence) -> str:

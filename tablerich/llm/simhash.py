@@ -134,10 +134,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def representatives(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One document of each component stays: the one that names it. Rows without a ``doc_id`` stay as well."""
-    kept = near_duplicates(docs, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    """One document of each component stays, the one that names it, with all its columns; of its rows the one of the smallest text.
+
+    Rows without a ``doc_id`` have no name and stay.
+    """
+    kept = near_duplicates(docs, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
     kept = cut_lineage(kept, "representatives")
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("words")
+    )
+    first = Window.partitionBy("id").orderBy("words")
+    named = rows.join(kept, F.col("id") == F.col("kept"), "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1")
+    return named.select("row.*").unionByName(rows.filter("id IS NULL").select("row.*"))
 
 
 @query("op8_simhash_near_dedup")
