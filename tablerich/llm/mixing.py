@@ -232,9 +232,10 @@ class Mix:
         spans = self.rows.filter("size > 0").withColumn(
             "block", F.explode(F.sequence(F.expr(f"start div {b}"), F.expr(f"(end - 1) div {b}")))
         )
-        slots = self.slots().withColumnRenamed("source", "_source")
+        slots = self.slots().withColumnsRenamed({"source": "_source", "block": "_block"})
+        # The size of drawn slots is unknown to the planner, and grows with the corpus: they are never broadcast.
         joined = spans.join(
-            slots.withColumnRenamed("block", "_block"),
+            slots.hint("merge"),
             F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")),
         )
         begins = F.greatest(F.col("start"), F.col("block") * b)
