@@ -37,11 +37,18 @@ def _answer(result, include_basis: bool = False) -> str:
 def _resolve_rows(
     inputs: list, lists: list, processors: list, functions: Mapping[str, RowFunction], render, rows: int = CALL_ROWS
 ) -> list:
-    """Rendered answers in row order; rows with the same outputs and processor share their calls."""
+    """Rendered answers in row order; rows with the same outputs and processor share their calls.
+
+    A row without input or outputs has no answer; one whose outputs are no descriptions is told so.
+    """
     answers: list = [None] * len(inputs)
     groups: dict[tuple, list[int]] = {}
     for i, (row, asked) in enumerate(zip(inputs, lists)):
-        if row is not None and asked is not None:
+        if row is None or asked is None:
+            continue
+        if not all(isinstance(a, str) and a.strip() for a in asked):
+            answers[i] = render({"error": "output columns: every one needs a description"})
+        else:
             groups.setdefault((tuple(asked), processors[i]), []).append(i)
     for (asked, processor), places in groups.items():
         fn = functions.get(processor)
@@ -97,13 +104,15 @@ def enrich_json_udf(fn: RowFunction, *, include_basis: bool = False):
             try:
                 names = json.loads(wanted)
                 if not isinstance(names, list):
-                    names, problems[i] = None, "output_columns must be a JSON array"
+                    names, problems[i] = None, "output columns: a JSON array is expected"
             except (TypeError, ValueError):
-                problems[i] = "Invalid output_columns JSON"
+                problems[i] = "output columns: not JSON"
             try:
                 row = json.loads(text)
+                if not isinstance(row, dict):
+                    problems.setdefault(i, "input: a JSON object is expected")
             except (TypeError, ValueError):
-                problems.setdefault(i, "Invalid input JSON")
+                problems.setdefault(i, "input: not JSON")
             rows.append(None if i in problems else row)
             lists.append(names)
         answers = _resolve_rows(rows, lists, [""] * len(rows), {"": fn}, render)
@@ -120,7 +129,7 @@ def table_function(
     """Table function over rows ``(input_json, output_columns[, processor])``, giving ``(input, enriched)``.
 
     Used with ``PARTITION BY``. Rows are gathered up to ``rows`` and answered together, so a large
-    partition is never held as a whole. Bad or missing input JSON counts as an empty object.
+    partition is never held as a whole. Input that is not the JSON of an object counts as an empty object.
     """
     table = functions if isinstance(functions, Mapping) else {processor: functions}
 
@@ -134,6 +143,7 @@ def table_function(
                 parsed = json.loads(fields["input_json"])
             except (TypeError, ValueError):
                 parsed = {}
+            parsed = parsed if isinstance(parsed, dict) else {}
             self.held.append((parsed, list(fields.get("output_columns") or []), fields.get("processor") or processor))
             if len(self.held) == rows:
                 yield from self._flush()

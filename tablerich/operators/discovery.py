@@ -16,7 +16,6 @@ GENERATORS = ("base", "core", "pro")
 ENTITY_TYPES = ("companies", "people")
 INTERNAL_FIELDS = ("candidate_id", "match_status", "basis")
 MIN_LIMIT, MAX_LIMIT, DEFAULT_LIMIT = 5, 1000, 10
-MAX_FIELDS = 1000
 
 OUTPUT_TYPE = "map<string,struct<type:string,value:string,is_matched:boolean>>"
 
@@ -135,14 +134,19 @@ class Discovery:
         return flatten(found, self.id, fields)
 
     def ranked(self, candidates: DataFrame) -> DataFrame:
-        return candidates.orderBy(F.desc("conditions_met"), F.desc("score"), F.asc(self.id))
+        return candidates.orderBy(*self._order)
+
+    @property
+    def _order(self) -> list[Column]:
+        return [F.desc("conditions_met"), F.desc("score"), F.asc(self.id)]
 
     def extend(self, additional: int, **exclusion) -> DataFrame:
         """Only the matches that raising the limit by ``additional`` brings in."""
-        order = F.struct(-F.col("conditions_met"), -F.col("score"), F.col(self.id))
+        if not 1 <= additional <= MAX_LIMIT:
+            raise ValueError(f"additional must be from 1 to {MAX_LIMIT}")
         top = self.ranked(matched(self.candidates(**exclusion))).limit(self.match_limit + additional)
-        # At most match_limit + additional rows are left here.
-        numbered = top.withColumn("rank", F.row_number().over(Window.orderBy(order)))
+        # At most 2 * MAX_LIMIT rows are left here.
+        numbered = top.withColumn("rank", F.row_number().over(Window.orderBy(*self._order)))
         return numbered.filter(F.col("rank") > self.match_limit)
 
 
@@ -163,10 +167,10 @@ def exclude_entities(entities: DataFrame, exclude: DataFrame, name: str | None,
     """
     left = entities
     if name:
-        names = exclude.select(normalised(F.col("name")).alias("_n")).filter("_n != ''").distinct()
+        names = exclude.select(normalised(F.col("name")).alias("_n")).filter("_n != ''").distinct().hint("rebalance")
         left = left.join(names, normalised(F.col(name)) == F.col("_n"), "left_anti")
     if url:
-        hosts = exclude.select(host(F.col("url")).alias("_h")).filter("_h is not null").distinct()
+        hosts = exclude.select(host(F.col("url")).alias("_h")).filter("_h is not null").distinct().hint("rebalance")
         left = left.join(hosts, host(F.col(url)) == F.col("_h"), "left_anti")
     return left
 
@@ -190,10 +194,8 @@ def output_fields(candidates: DataFrame, order: str) -> list[str]:
     """Field names in first-seen order. Names are reduced on the cluster; only the names come back."""
     seen = candidates.select(order, F.posexplode(F.map_keys("output")).alias("_pos", "_field"))
     first = seen.groupBy("_field").agg(F.min(F.struct(order, "_pos")).alias("_at"))
-    names = [r["_field"] for r in first.orderBy("_at").limit(MAX_FIELDS + 1).collect()]
-    if len(names) > MAX_FIELDS:
-        raise ValueError(f"more than {MAX_FIELDS} output fields")
-    return names
+    # The names become the columns of the result, so the plan needs them.
+    return [r["_field"] for r in first.orderBy("_at").collect()]
 
 
 def flatten(candidates: DataFrame, order: str, fields: Sequence[str] | None = None) -> DataFrame:
@@ -227,9 +229,11 @@ def flatten_union(parts: Sequence[DataFrame], order: str) -> DataFrame:
 
 
 def as_json(candidates: DataFrame, by: str, order: Sequence[Column], limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """``(by, candidates)``: a JSON array with the best ``limit`` matches of each objective."""
-    best = Window.partitionBy(by).orderBy(*order)
-    top = matched(candidates).withColumn("_rank", F.row_number().over(best)).filter(
+    """``(by, candidates)``: a JSON array with the best ``limit`` matches of each objective, empty without any."""
+    is_match = F.coalesce(F.col("match_status") == "matched", F.lit(False))
+    best = Window.partitionBy(by).orderBy(is_match.desc(), *order)
+    output = F.coalesce("output", F.create_map().cast(OUTPUT_TYPE))
+    top = candidates.withColumn("output", output).withColumn("_rank", F.row_number().over(best)).filter(
         F.col("_rank") <= check_limit(limit)
     )
     own = [c for c in candidates.columns if c not in (*INTERNAL_FIELDS, by, "output")]
@@ -237,9 +241,10 @@ def as_json(candidates: DataFrame, by: str, order: Sequence[Column], limit: int
         F.create_map(*[x for c in own for x in (F.lit(c), F.col(c).cast("string"))]), lambda _, v: v.isNotNull()
     )
     base = F.map_filter(base, lambda k, _: ~F.map_contains_key(F.col("output"), k))
-    cleaned = top.select(by, "_rank", F.map_concat(base, output_values(F.col("output"))).alias("_c"))
+    cleaned = top.select(by, "_rank", is_match.alias("_m"), F.map_concat(base, output_values(F.col("output"))).alias("_c"))
     # At most ``limit`` rows per objective are gathered.
-    gathered = cleaned.groupBy(by).agg(F.collect_list(F.struct("_rank", F.to_json("_c").alias("j"))).alias("_l"))
+    item = F.when(F.col("_m"), F.struct("_rank", F.to_json("_c").alias("j")))
+    gathered = cleaned.groupBy(by).agg(F.collect_list(item).alias("_l"))
     items = F.transform(F.array_sort("_l"), lambda x: x["j"])
     return gathered.select(by, F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("candidates"))
 
@@ -256,19 +261,20 @@ def enrich_matched(
     """Add answers to ``output`` of matched rows only; the others pass unchanged."""
     done = enrich(matched(candidates), inputs, outputs, resolver)
     names = [o.name for o in done.outputs]
+    texts = dict(zip(names, done.texts()))
     pairs = [
         x
         for n in names
         for x in (
             F.lit(n),
-            F.struct(F.lit("enrichment").alias("type"), F.col(f"{RESULT}.values.`{n}`").alias("value"),
+            F.struct(F.lit("enrichment").alias("type"), texts[n].alias("value"),
                      F.lit(None).cast("boolean").alias("is_matched")),
         )
     ]
     extra = F.map_filter(F.create_map(*pairs).cast(OUTPUT_TYPE), lambda _, v: v["value"].isNotNull())
     old = F.map_filter("output", lambda k, _: ~k.isin(*names))
     kept = [F.col(c) for c in candidates.columns if c != "output"]
-    merged = done.resolved.select(*kept, F.map_concat(old, extra).alias("output"))
+    merged = done.rows.select(*kept, F.map_concat(old, extra).alias("output"))
     rest = candidates.filter(F.col("match_status") != "matched")
     return merged.select(*candidates.columns).unionByName(rest)
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tablerich.operators.inputs import Inputs, check_columns, input_json, input_map
-from tablerich.operators.naming import OutputColumn, cast_declared, name_of, output_columns
+from tablerich.operators.inputs import Inputs, check_columns, input_json
+from tablerich.operators.naming import OutputColumn, as_text as text_of, cast_declared, name_of, output_columns
 from tablerich.operators.resolvers import (
     BASIS_TYPE,
     RESULT,
@@ -23,26 +24,52 @@ from tablerich.operators.resolvers import (
     call_in_chunks,
     resolve,
 )
-from tablerich.session import CALL_ROWS
+from tablerich.session import CALL_ROWS, cut_lineage
 
 Outputs = Sequence["str | OutputColumn"]
 
 
 @dataclass(frozen=True)
 class Enriched:
-    """A lazy enrichment: nothing runs until one of its DataFrames is used."""
+    """A lazy enrichment: nothing runs until one of its DataFrames is used.
+
+    With ``once`` the answers are costly and may differ from call to call: the first view that is asked for writes
+    them to the shared folder, and every view reads what was written.
+    """
 
     resolved: DataFrame
     source_columns: list[str]
     inputs: Inputs
     outputs: list[OutputColumn]
+    once: bool = False
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """Source rows with their results, as all views share them."""
+        return cut_lineage(self.resolved, "resolved") if self.once and not self.resolved.isStreaming else self.resolved
+
+    def stored(self) -> Enriched:
+        """The same, resolved once for all of its views."""
+        return replace(self, once=True)
+
+    def _value(self, name: str) -> tuple[Column, T.DataType]:
+        kinds = self.resolved.schema[RESULT].dataType["values"].dataType
+        return F.col(f"{RESULT}.values.`{name}`"), kinds[name].dataType
+
+    def texts(self) -> list[Column]:
+        """Every output as text, under its name."""
+        return [text_of(*self._value(o.name)).alias(o.name) for o in self.outputs]
+
+    def typed(self) -> dict[str, Column]:
+        """Every output in its declared type."""
+        return {o.name: cast_declared(self._value(o.name)[0], o.type, self._value(o.name)[1]) for o in self.outputs}
 
     def results(self) -> DataFrame:
         """Source columns, ``status``, ``answer`` (JSON text, null on error) and ``error``."""
-        return self.resolved.select(
+        return self.rows.select(
             *[F.col(f"`{c}`") for c in self.source_columns],
             F.when(F.col(f"{RESULT}.error").isNull(), "completed").otherwise("failed").alias("status"),
-            F.when(F.col(f"{RESULT}.error").isNull(), F.to_json(f"{RESULT}.values")).alias("answer"),
+            F.when(F.col(f"{RESULT}.error").isNull(), F.to_json(F.struct(*self.texts()))).alias("answer"),
             F.col(f"{RESULT}.error").alias("error"),
         )
 
@@ -54,7 +81,7 @@ class Enriched:
         An output named like a source column replaces it. ``keep="inputs"`` drops source columns
         that are not inputs, so a columnar scan never reads them.
         """
-        new = {o.name: cast_declared(F.col(f"{RESULT}.values.`{o.name}`"), o.type) for o in self.outputs}
+        new = self.typed()
         if include_basis:
             new[basis_column] = F.col(f"{RESULT}.basis")
         kept = self.source_columns
@@ -62,36 +89,34 @@ class Enriched:
             mapped = {c for c in self.inputs.values() if isinstance(c, str)}
             kept = [c for c in kept if c in mapped]
         columns = [new.pop(c).alias(c) if c in new else F.col(f"`{c}`") for c in kept]
-        return self.resolved.select(*columns, *[v.alias(n) for n, v in new.items()])
+        return self.rows.select(*columns, *[v.alias(n) for n, v in new.items()])
 
     def json_column(self, name: str = "enriched_data", include_basis: bool = False) -> DataFrame:
         """Source columns plus one JSON text column; failed rows hold ``{"error": …}``."""
-        values = [F.col(f"{RESULT}.values.`{o.name}`").alias(o.name) for o in self.outputs]
+        values = self.texts()
         if include_basis:
             values.append(F.col(f"{RESULT}.basis").alias("_basis"))
         error = F.col(f"{RESULT}.error")
         text = F.when(error.isNull(), F.to_json(F.struct(*values))).otherwise(
             F.to_json(F.struct(error.alias("error")))
         )
-        return self.resolved.select(*[F.col(f"`{c}`") for c in self.source_columns], text.alias(name))
+        return self.rows.select(*[F.col(f"`{c}`") for c in self.source_columns], text.alias(name))
 
     def errors(self) -> DataFrame:
         """The failed rows with their reason."""
-        return self.resolved.filter(F.col(f"{RESULT}.error").isNotNull()).select(
+        return self.rows.filter(F.col(f"{RESULT}.error").isNotNull()).select(
             *[F.col(f"`{c}`") for c in self.source_columns], F.col(f"{RESULT}.error").alias("error")
         )
 
     def metrics(self) -> DataFrame:
         """One row: total, success and error counts."""
         # A single use of the error lets Spark drop the answers, down to the scan of the knowledge.
-        return self.resolved.select(F.col(f"{RESULT}.error").alias("_error")).agg(*_counts(F.col("_error")))
+        return self.rows.select(F.col(f"{RESULT}.error").alias("_error")).agg(*_counts(F.col("_error")))
 
     def observed(self, name: str = "enrichment") -> tuple[DataFrame, Observation]:
         """``table()`` that also counts successes and errors while it is written or read."""
         observation = Observation(name)
-        watched = Enriched(
-            self.resolved.observe(observation, *_counts(F.col(f"{RESULT}.error"))), self.source_columns, self.inputs, self.outputs
-        )
+        watched = replace(self, resolved=self.rows.observe(observation, *_counts(F.col(f"{RESULT}.error"))), once=False)
         return watched.table(), observation
 
 
@@ -112,7 +137,8 @@ def enrich(
     """
     source = df if where is None else df.filter(where)
     columns = output_columns(outputs)
-    return Enriched(resolve(source, inputs, columns, resolver), df.columns, inputs, columns)
+    costly = isinstance(resolver, CallableResolver)
+    return Enriched(resolve(source, inputs, columns, resolver), df.columns, inputs, columns, costly)
 
 
 def enrich_one(spark, values: dict, outputs: Outputs, resolver: Resolver) -> Enriched:
@@ -131,7 +157,7 @@ def typed_job(
     """
     job = enrich(df, inputs, outputs, resolver)
     columns = job.outputs
-    typed = {o.name: cast_declared(F.col(f"{RESULT}.values.`{o.name}`"), o.type) for o in columns}
+    typed = job.typed()
     missing = F.filter(
         F.array(*[F.when(typed[o.name].isNull(), F.lit(o.name)) for o in columns if o.required]),
         lambda n: n.isNotNull(),
@@ -142,7 +168,7 @@ def typed_job(
     )
     names = {n: c for n, c in inputs.items() if n not in typed}
     projected = [(F.col(f"`{c}`") if isinstance(c, str) else c).cast("string").alias(n) for n, c in names.items()]
-    checked = job.resolved.withColumn("_reason", reason)
+    checked = job.rows.withColumn("_reason", reason)
     good = checked.filter(F.col("_reason").isNull()).select(*projected, *[c.alias(n) for n, c in typed.items()])
     if stamp:
         good = good.withColumns(
@@ -164,7 +190,8 @@ def enrich_requested(
 
     ``input_text`` holds a JSON object, ``requested_text`` a JSON array of descriptions; other text in
     it counts as a single description. ``keys`` maps fields of the input object to knowledge columns.
-    One lookup serves all rows; every row then keeps what it asked for, in ``reply`` (JSON text).
+    One lookup serves all rows; every row then keeps what it asked for, in ``reply`` (JSON text). A row that asks for
+    an output that is not offered gets an error.
     """
     requested = F.col(requested_text)
     listed = F.coalesce(F.from_json(requested, "array<string>"), F.array(requested))
@@ -177,9 +204,15 @@ def enrich_requested(
     columns = [OutputColumn(n, n) for n in answers]
     resolver = TableResolver(knowledge, keys, answers)
     resolved = resolver.attach(prepared, inputs, columns)
-    pairs = [x for n in answers for x in (F.lit(n), F.col(f"{RESULT}.values.`{n}`"))]
+    kinds = resolved.schema[RESULT].dataType["values"].dataType
+    pairs = [x for n in answers for x in (F.lit(n), text_of(F.col(f"{RESULT}.values.`{n}`"), kinds[n].dataType))]
+    unknown = F.array_except("_names", F.array(*[F.lit(n) for n in answers]))
     wanted = F.map_filter(F.create_map(*pairs), lambda k, _: F.array_contains("_names", k))
-    problem = F.coalesce(F.col("_error"), F.col(f"{RESULT}.error"))
+    problem = F.coalesce(
+        F.col("_error"),
+        F.when(F.size(unknown) > 0, F.concat(F.lit("Outputs not offered: "), F.array_join(unknown, ", "))),
+        F.col(f"{RESULT}.error"),
+    )
     reply = F.when(problem.isNotNull(), F.to_json(F.struct(problem.alias("error")))).otherwise(F.to_json(wanted))
     return resolved.select(*[F.col(f"`{c}`") for c in df.columns], reply.alias("reply"))
 
@@ -232,17 +265,32 @@ def enrich_partitioned(
 
 
 def enrich_new(
-    df: DataFrame, cache: DataFrame, key: Sequence[str], inputs: Inputs, outputs: Outputs, resolver: Resolver
+    df: DataFrame, cache: DataFrame, key: Sequence[str], inputs: Inputs, outputs: Outputs, resolver: Resolver,
+    stamp: str = "enriched_at",
 ) -> DataFrame:
-    """Resolve only the rows whose key is not in ``cache``; cached answers are kept as they are."""
+    """Resolve only the rows whose key is not in ``cache``; cached answers are kept as they are.
+
+    Keys of the cache that ``df`` does not hold are left out. Of several cached rows of a key the one with the latest
+    ``stamp`` counts, if the cache has that column.
+    """
     names = [o.name for o in output_columns(outputs)]
+    answer = F.struct(*names)
+    latest = F.max_by(answer, F.col(stamp)) if stamp in cache.columns else F.min(answer)
+    held = cache.groupBy(*key).agg(latest.alias("_held")).select(*key, "_held.*").hint("rebalance")
+    known = df.select(*key).join(held, list(key)).select(*key, *names)
     fresh = enrich(df.join(cache.select(*key), list(key), "left_anti"), inputs, outputs, resolver).table()
-    return cache.select(*key, *names).unionByName(fresh.select(*key, *names))
+    return known.unionByName(fresh.select(*key, *names))
 
 
-def with_context(df: DataFrame, earlier: DataFrame, on: str, values: str, earlier_values: str) -> DataFrame:
-    """Merge the answers of an earlier run into new input maps; a new key wins over an old one."""
-    old = earlier.select(F.col(on).alias("_on"), F.col(earlier_values).alias("_old"))
+def with_context(
+    df: DataFrame, earlier: DataFrame, on: str, values: str, earlier_values: str, order: str | None = None
+) -> DataFrame:
+    """Merge the answers of an earlier run into new input maps; a new key wins over an old one.
+
+    Of several earlier runs of a key the one with the greatest ``order`` counts (by the text of its answers without it).
+    """
+    rank = F.to_json(earlier_values) if order is None else F.col(order)
+    old = earlier.groupBy(F.col(on).alias("_on")).agg(F.max_by(F.col(earlier_values), rank).alias("_old")).hint("rebalance")
     joined = df.join(old, df[on] == F.col("_on"), "left")
     kept = F.map_filter("_old", lambda k, _: ~F.map_contains_key(F.col(values), k))
     merged = F.when(F.col("_old").isNull(), F.col(values)).otherwise(F.map_concat(kept, F.col(values)))
@@ -319,7 +367,6 @@ __all__ = [
     "enrich_partitioned",
     "enrich_requested",
     "error_or_value",
-    "input_map",
     "normalise_basis",
     "parse_content",
     "split_groups",

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablerich.operators.naming import keep_if, strip
 from tablerich.operators.search import check_objective, query_terms
-from tablerich.session import spread
 
 # Limits of a request.
 MAX_URLS = 20
@@ -87,19 +86,30 @@ def focused_excerpts(text: Column, keywords: Sequence[str], k: int = 3) -> Colum
 def extract(
     requests: DataFrame, pages: DataFrame, *, objective: str | None = None, keywords: Sequence[str] = (),
     excerpts: bool = True,
-    full_content: bool | int = False, url: str = "url", html: str = "html",
+    full_content: bool | int = False, url: str = "url", html: str = "html", version: str | None = None,
+    most_urls: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Results ``(url, title, publish_date, excerpts[, full_content])`` and errors of the requested URLs.
 
     A URL that is not in ``pages`` is ``not_found`` (404); a page without text is ``empty_content``.
-    Keywords, or the words of the objective, choose the excerpts; with neither they are the whole text.
+    ``version`` names a column of ``pages`` that tells the newest page of a URL; ``most_urls`` (20 for an interactive
+    request) limits the URLs that are asked for. Keywords, or the words of the objective, choose the excerpts; with neither they are the whole text.
     """
     keywords = keywords or (query_terms(check_objective(objective)) if objective else ())
+    # Blank words would be found everywhere.
+    keywords = [w for w in keywords if w.strip()]
     wanted = requests.select(F.col(url)).distinct()
-    known = pages.select(F.col(url).alias("_u"), F.col(html).alias("_h"))
+    if most_urls is not None and wanted.limit(most_urls + 1).count() > most_urls:
+        raise ValueError(f"at most {most_urls} URLs in one request")
+    # One page for each URL: the newest by ``version``, of equal ones the longest text of the page.
+    newest = F.struct(F.lit(0) if version is None else F.col(version), F.length(html), F.col(html).alias("html"))
+    known = (
+        pages.select(F.col(url).alias("_u"), newest.alias("_v")).join(wanted, F.col("_u") == F.col(url), "left_semi")
+        .groupBy("_u").agg(F.max("_v").alias("_v")).select("_u", F.col("_v.html").alias("_h"))
+    )
     # An inner join lets Spark send a small request list to the pages instead of moving the pages.
     # ``explode`` of one element keeps the test for empty text from being pushed below and run again there.
-    found = spread(known.join(wanted, F.col("_u") == F.col(url)), sized_by=known).select(
+    found = known.withColumnRenamed("_u", url).select(
         "*", F.explode(F.array(to_markdown(F.col("_h")))).alias("_text")
     )
     columns = [F.col(url), title_of(F.col("_h")).alias("title"), publish_date_of(F.col("_h")).alias("publish_date")]

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType
 
 from tablerich.operators.naming import strip
-from tablerich.session import spread
 
 Inputs = Mapping[str, "str | Column"]
 
@@ -54,31 +53,33 @@ def input_json(inputs: Inputs) -> Column:
 def parse_inline_rows(df: DataFrame, text: str, key: str) -> DataFrame:
     """Rows of JSON-array texts, one text per source row.
 
-    Returns ``(key, ordinal, row map<string,string>, error)``. The first object of a text names its
-    columns; later objects with other fields keep only those. A text that is not a JSON array of
-    objects, or is empty, gives one row with the reason in ``error``.
+    Returns ``(key, ordinal, row map<string,string>, error)``. The first object of a text names its columns. A
+    text that is not a JSON array of objects, or is empty, gives one row with the reason in ``error``; so does,
+    at its place, an element that is no object or has a field the first one does not have.
     """
     items = F.from_json(F.col(text), "array<string>")
     is_list = F.ltrim(F.col(text)).startswith("[")
     error = (
         # Only text that did not read as a list is parsed again, to tell bad JSON from other JSON.
-        F.when(~is_list | items.isNull(), F.when(F.try_parse_json(F.col(text)).isNull(), "Invalid JSON data").otherwise(
-            "Data must be a JSON array"))
-        .when(F.size(items) == 0, "Data array cannot be empty")
-        .when(~F.ltrim(items[0]).startswith("{"), "Data must be an array of objects")
-        .when(items[0] == "{}", "Data objects must have at least one field")
+        F.when(~is_list | items.isNull(), F.when(F.try_parse_json(F.col(text)).isNull(), "The text is not JSON").otherwise(
+            "A JSON array is expected"))
+        .when(F.size(items) == 0, "The array is empty")
+        .when(~F.ltrim(items[0]).startswith("{"), "The array must hold objects")
+        .when(items[0] == "{}", "An object needs at least one field")
     )
-    rows = spread(df).select(F.col(key), error.alias("error"), items.alias("_items")).withColumn(
+    rows = df.select(F.col(key), error.alias("error"), items.alias("_items")).withColumn(
         "_items", F.when(F.col("error").isNull(), F.col("_items"))
     )
     first = F.json_object_keys(F.col("_items")[0])
     exploded = rows.select(key, "error", first.alias("_names"), F.posexplode_outer("_items").alias("_pos", "_item"))
-    values = F.from_json("_item", "map<string,string>")
-    return exploded.select(
-        key,
-        (F.col("_pos") + 1).alias("ordinal"),
-        F.map_filter(values, lambda k, _: F.array_contains("_names", k)).alias("row"),
-        "error",
+    is_object = F.ltrim("_item").startswith("{")
+    unknown = F.array_except(F.json_object_keys("_item"), "_names")
+    wrong = F.when(~is_object, "The element is not an object").when(
+        F.size(unknown) > 0, F.concat(F.lit("Unknown fields: "), F.array_join(unknown, ", "))
+    )
+    values = F.when(F.col("_problem").isNull(), F.from_json("_item", "map<string,string>"))
+    return exploded.withColumn("_problem", F.coalesce("error", F.when(F.col("_pos").isNotNull(), wrong))).select(
+        key, (F.col("_pos") + 1).alias("ordinal"), values.alias("row"), F.col("_problem").alias("error")
     )
 
 

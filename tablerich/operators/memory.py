@@ -19,7 +19,7 @@ IDENTIFIER = r"[a-zA-Z0-9_-]{1,128}"
 
 def check_identifier(value: str, field: str) -> str:
     if not re.fullmatch(IDENTIFIER, value):
-        raise ValueError(f"{field} must be 1-128 ASCII letters, digits, underscores, or hyphens")
+        raise ValueError(f"{field}: letters, digits, _ and - only, 1 to 128 of them")
     return value
 
 
@@ -28,9 +28,9 @@ def parse_since(value: str | datetime) -> datetime:
     try:
         moment = value if isinstance(value, datetime) else datetime.fromisoformat(value)
     except ValueError as exc:
-        raise ValueError("since must be an RFC 3339 timestamp") from exc
+        raise ValueError(f"since is no timestamp: {value!r}") from exc
     if moment.utcoffset() is None:
-        raise ValueError("since must include a timezone")
+        raise ValueError("since needs a time zone")
     return moment
 
 
@@ -85,7 +85,8 @@ def evict(entries: DataFrame, evicted: DataFrame) -> DataFrame:
 
 def clear(entries: DataFrame, cleared: DataFrame, updated: str = "updated_at") -> DataFrame:
     """Entries newer than the last clearing of their scope (``scope, cleared_at``)."""
-    last = cleared.groupBy("scope").agg(F.max("cleared_at").alias("_at"))
+    # Dealt out once more, so that a scope with very many entries can be split between tasks.
+    last = cleared.groupBy("scope").agg(F.max("cleared_at").alias("_at")).hint("rebalance")
     joined = entries.join(last, "scope", "left")
     return joined.filter(F.col("_at").isNull() | (F.col(updated) > F.col("_at"))).select(*entries.columns)
 

@@ -91,19 +91,33 @@ def page(df: DataFrame, order: Sequence[str], limit: int, cursor: Sequence | Non
     """Newest first keyset page; ``cursor`` is the order key of the last row of the page before."""
     if not 1 <= limit <= 10_000:
         raise ValueError("limit must be from 1 to 10000")
+    return _after(df, order, cursor).limit(limit)
+
+
+def _after(df: DataFrame, order: Sequence[str], cursor: Sequence | None) -> DataFrame:
+    """The rows behind a cursor, newest first; nulls are the oldest."""
     if cursor is not None:
-        schema = df.select(*order).schema
-        values = [moment(v, f.dataType) for v, f in zip(cursor, schema)]
-        at = F.struct(*[v.alias(c) for v, c in zip(values, order)])
-        # The first test alone can be pushed to the scan.
-        df = df.filter(F.col(order[0]) <= values[0]).filter(F.struct(*order) < at)
-    return df.orderBy(*[F.desc(c) for c in order]).limit(limit)
+        kinds = [f.dataType for f in df.select(*order).schema]
+        behind = F.lit(False)
+        for c, v, kind in reversed(list(zip(order, cursor, kinds))):
+            if v is None:
+                behind = F.col(c).isNull() & behind
+            else:
+                at = moment(v, kind)
+                behind = F.col(c).isNull() | (F.col(c) < at) | ((F.col(c) == at) & behind)
+        if cursor[0] is not None:
+            # This test alone can be pushed to the scan.
+            df = df.filter(F.col(order[0]).isNull() | (F.col(order[0]) <= moment(cursor[0], kinds[0])))
+        df = df.filter(behind)
+    return df.orderBy(*[F.desc(c) for c in order])
 
 
 def next_cursor(df: DataFrame, order: Sequence[str], limit: int, cursor: Sequence | None = None) -> tuple | None:
     """Cursor of the page after ``page(df, order, limit, cursor)``; None when that is the last one."""
-    seen = page(df, order, min(limit + 1, 10_000), cursor).select(*order).collect()
-    return tuple(seen[limit - 1]) if len(seen) > limit else None
+    if not 1 <= limit <= 10_000:
+        raise ValueError("limit must be from 1 to 10000")
+    seen = _after(df.select(*order), order, cursor).offset(limit - 1).limit(2).collect()
+    return tuple(seen[0]) if len(seen) == 2 else None
 
 
 def list_monitors(
@@ -194,14 +208,22 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str, columns: Sequen
 
 
 def schedule(monitors: DataFrame, key: str, start: str, end: Column, frequency: str = "frequency") -> DataFrame:
-    """Due runs of each monitor from its start up to ``end``: ``(key, run_at, trigger)``."""
+    """Due runs of each monitor from its start up to ``end``: ``(key, run_at, trigger)``.
+
+    A monitor whose frequency is unknown has one row, without a time and with the reason as its trigger.
+    """
     hours = frequency_hours(F.col(frequency))
     step = F.make_dt_interval(hours=hours.cast("int"))
-    return (
+    reason = F.concat(F.lit("invalid frequency: "), F.coalesce(F.col(frequency), F.lit("null")))
+    wrong = monitors.filter(hours.isNull()).select(
+        key, F.lit(None).cast(monitors.schema[start].dataType).alias("run_at"), reason.alias("trigger")
+    )
+    due = (
         monitors.filter(hours.isNotNull() & (F.col(start) <= end))
         .select(key, F.explode(F.sequence(F.col(start), end, step)).alias("run_at"))
         .withColumn("trigger", F.lit("schedule"))
     )
+    return due.unionByName(wrong)
 
 
 def with_manual(due: DataFrame, manual: DataFrame) -> DataFrame:

@@ -166,9 +166,29 @@ _PLAUSIBLE = {
 }
 
 
-def cast_declared(c: Column, type_name: str) -> Column:
-    """Text to a declared type; text that does not fit becomes null."""
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
+def as_text(c: Column, kind: T.DataType) -> Column:
+    """A value of type ``kind`` as text; nested ones as JSON."""
+    if isinstance(kind, T.StringType):
+        return c
+    return F.to_json(c) if isinstance(kind, NESTED) else c.cast("string")
+
+
+def cast_declared(c: Column, type_name: str, kind: T.DataType | None = None) -> Column:
+    """A value to a declared type; one that does not fit becomes null. ``kind`` is its type, text if not given."""
     spark_type = DECLARED_TYPES.get(type_name, T.StringType())
+    if kind is not None and not isinstance(kind, T.StringType):
+        if kind == spark_type:
+            return c
+        if isinstance(kind, NESTED) or isinstance(spark_type, (T.StringType, T.ArrayType)):
+            both = isinstance(spark_type, T.ArrayType) and isinstance(kind, T.ArrayType)
+            inner = spark_type.elementType if both else None
+            if both and not isinstance(kind.elementType, NESTED):
+                return F.transform(c, lambda x: x.try_cast(inner))
+            return cast_declared(as_text(c, kind), type_name)
+        return c.try_cast(spark_type)
     if isinstance(spark_type, T.ArrayType):
         return F.from_json(c, spark_type)
     if isinstance(spark_type, T.StringType):

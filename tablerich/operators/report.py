@@ -16,32 +16,34 @@ MAX_QUESTION_CHARS = 15_000
 MIN_SUMMARY_CHARS = 20
 
 
-def render(value, level: int = 1) -> str:
-    """Markdown for parsed JSON: keys become headings, list items bullets."""
-    match value:
-        case None:
-            return ""
-        case {"text": text} if len(value) == 1:
-            return text
-        case dict():
-            return "\n".join(_section(k, v, level) for k, v in value.items())
-        case list():
-            return "\n".join(_bullet(item, level) for item in value)
-        case _:
-            return str(value)
-
+def render(value) -> str:
+    """Markdown for parsed JSON: keys become headings, list items bullets.
 
-def _bullet(item, level: int) -> str:
-    return render(item, level) if isinstance(item, dict) else f"- {item}"
-
-
-def _section(key: str, value, level: int) -> str:
-    heading = f"{'#' * min(level, 6)} {key.replace('_', ' ').title()}\n"
-    if isinstance(value, list):
-        body = [_bullet(item, level + 1) for item in value]
-    else:
-        body = [render(value, level + 1) if isinstance(value, dict) else str(value)]
-    return "\n".join([heading, *body, ""])
+    What is left to write is kept on a stack of finished lines and of values with their heading level.
+    """
+    lines: list[str] = []
+    waiting: list = [(value, 1)]
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, str):
+            lines.append(item)
+            continue
+        found, level = item
+        parts: list = []
+        if isinstance(found, list):
+            parts = [(x, level) if isinstance(x, dict) else f"- {x}" for x in found]
+        elif isinstance(found, dict) and set(found) == {"text"}:
+            parts = [str(found["text"])]
+        elif isinstance(found, dict):
+            for key, inner in found.items():
+                title = key.replace("_", " ").title()
+                body = [(inner, level + 1)] if isinstance(inner, dict) or inner and isinstance(inner, list) else []
+                text = [] if isinstance(inner, (dict, list)) else [str(inner)]
+                parts += [f"{'#' * min(level, 6)} {title}", "", *body, *text, ""]
+        elif found is not None:
+            parts = [str(found)]
+        waiting += reversed(parts or [""])
+    return "\n".join(lines)
 
 
 @F.pandas_udf(T.StringType())
@@ -99,7 +101,9 @@ def research(
     ``content`` is JSON text with one section per document, ``citations`` an array of
     ``struct<source, excerpts>``. A report gathers at most ``documents`` rows.
     """
-    asked = [q[:MAX_QUESTION_CHARS] for q in questions]
+    asked = list(questions)
+    if any(len(q) > MAX_QUESTION_CHARS for q in asked):
+        raise ValueError(f"a question must have at most {MAX_QUESTION_CHARS} characters")
     ranked = rank_documents(corpus, asked, mode=mode, limit=documents)
     quotes = F.lit(None).cast("array<string>")
     text_of = F.lit(None).cast("string")

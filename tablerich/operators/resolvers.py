@@ -1,8 +1,8 @@
 """Where answers come from: a table, Column expressions, or a Python function.
 
 Every resolver adds one column ``_r`` to the source rows:
-``struct<error string, basis array<BASIS>, values struct<one string per output>>``.
-``error`` is null on success. No row is added or lost.
+``struct<error string, basis array<BASIS>, values struct<one field per output>>``. Values have the type the source of
+the answers gives them. ``error`` is null on success. No row is added or lost.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ class TableResolver:
     expressions over them. ``unique`` promises one knowledge row per key; without it the knowledge is
     first reduced to one row per key. Spark picks the join: it broadcasts the knowledge only when its
     measured size is under ``spark.sql.autoBroadcastJoinThreshold``, and splits skewed source
-    partitions otherwise.
+    partitions otherwise. For the latter the reduced knowledge is dealt out once more: Spark cannot split the
+    partitions of a join that an aggregation by its key feeds.
     """
 
     knowledge: DataFrame
@@ -62,13 +63,14 @@ class TableResolver:
         keys = {f"_k{i}": as_column(c) for i, c in enumerate(self.on.values())}
         place = {o.name: f"_a{i}" for i, o in enumerate(outputs) if o.name in self.answers}
         payload = {"_hit": F.lit(True)}
-        payload |= {c: as_column(self.answers[n]).cast("string") for n, c in place.items()}
+        payload |= {c: as_column(self.answers[n]) for n, c in place.items()}
         if self.basis is not None:
             payload["_kb"] = self.basis.cast(BASIS_TYPE)
         known = self.knowledge.select(*[c.alias(n) for n, c in {**keys, **payload}.items()])
         if not self.unique:
             one = F.min(F.struct(*payload)).alias("_one")
-            known = known.groupBy(*keys).agg(one).select(*keys, "_one.*")
+            maps = {f.name: F.to_json(f.name) for f in known.schema if f.dataType.typeName() == "map"}
+            known = known.withColumns(maps).groupBy(*keys).agg(one).select(*keys, "_one.*").hint("rebalance")
         joined = df.join(known, [as_column(inputs[n]) == F.col(k) for n, k in zip(self.on, keys)], "left_outer")
         missing = F.lit(None).cast("string")
         values = [(o.name, F.col(place[o.name]) if o.name in place else missing) for o in outputs]
@@ -87,7 +89,8 @@ class ExprResolver:
 
     def attach(self, df: DataFrame, inputs: Inputs, outputs: Sequence[OutputColumn]) -> DataFrame:
         error = F.lit(None).cast("string") if self.error is None else self.error
-        values = [(o.name, self.answers.get(o.name, F.lit(None)).cast("string")) for o in outputs]
+        missing = F.lit(None).cast("string")
+        values = [(o.name, self.answers.get(o.name, missing)) for o in outputs]
         basis = None if self.basis is None else self.basis.cast(BASIS_TYPE)
         return df.withColumn(RESULT, result_struct(error, basis, values))
 

@@ -14,12 +14,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablerich.operators.inputs import moment
-from tablerich.session import cut_lineage, spread
+from tablerich.session import cut_lineage
 
 K1 = 1.2
 B = 0.75
 TITLE_BOOST = 0.5
-MAX_TERMS = 1000
+# Rows of a result that are sent to every task; more are joined by shuffling.
+BROADCAST_ROWS = 100_000
 # Limits of a request and names of modes.
 MAX_DOMAINS = 200
 MAX_RESULTS = 1000
@@ -77,9 +78,9 @@ def count_terms(corpus: Corpus, terms: Sequence[str], titled: bool = False) -> D
     """
     text = {"_text": corpus.text, "_title": corpus.title} if titled else {"_text": corpus.text}
     narrow = corpus.df.select(*corpus.keys, *[F.coalesce(c, F.lit("")).alias(n) for n, c in text.items()])
-    out = spread(narrow).withColumn("_text", tokens(F.col("_text")))
-    # With many terms, first keep the words that match any.
-    hits = F.col("_text") if len(terms) <= 16 else F.filter("_text", lambda w: w.isin(*terms))
+    out = narrow.withColumn("_text", tokens(F.col("_text")))
+    # Words that match no term are dropped before they are counted.
+    hits = F.filter("_text", lambda w: w.isin(*terms))
     out = out.withColumns({"_len": F.size("_text"), "_text": hits})
     columns = [*corpus.keys, "_len", _frequencies("_text", terms).alias("_tf")]
     if titled:
@@ -130,8 +131,6 @@ def request_terms(queries: Sequence[str]) -> list[str]:
     terms = sorted({t for q in queries for t in query_terms(q)})
     if not terms:
         raise ValueError("the queries hold no words")
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"at most {MAX_TERMS} distinct words in one request")
     return terms
 
 
@@ -170,8 +169,13 @@ def rank_documents(
 ) -> DataFrame:
     """``rank_keys`` with all corpus columns of the documents found."""
     top = rank_keys(corpus, queries, mode=mode, limit=limit)
-    # The hint is safe: at most ``limit`` rows per query, whatever the size of the corpus.
-    return corpus.df.join(F.broadcast(top), corpus.keys)
+    # Of documents that share their key the best one counts, and one of them is returned.
+    best = Window.partitionBy("query_no", *corpus.keys)
+    top = top.withColumn("_n", F.row_number().over(best.orderBy("rank"))).filter("_n = 1").drop("_n")
+    if len(queries) * limit <= BROADCAST_ROWS:
+        top = F.broadcast(top)
+    found = corpus.df.join(top, corpus.keys).withColumn("_n", F.row_number().over(best.orderBy(corpus.text)))
+    return found.filter("_n = 1").drop("_n")
 
 
 def host(url: Column) -> Column:

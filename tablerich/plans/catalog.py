@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablerich.session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,11 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A table of long texts, dealt out over the cores when it is small."""
-    return spread(table(spark, sf_dir, name).select(*columns))
-
-
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     from tablerich.plans import (  # noqa: F401
         queries_discovery,

@@ -13,8 +13,11 @@ from tablerich.operators.enrich import typed_job
 from tablerich.operators.inputs import check_columns, input_json
 from tablerich.operators.naming import OutputColumn
 from tablerich.operators.resolvers import Resolver
+from tablerich.session import cut_lineage
 from tablerich.sources import readers, writers
 
+# Columns a job adds to say when and with which run a row came about.
+STAMPS = ("batch_id", "insertion_timestamp")
 SOURCE_TYPES = ("csv", "json", "table", "parquet", "jdbc")
 
 
@@ -24,6 +27,10 @@ class ConfigError(ValueError):
 
 @dataclass(frozen=True)
 class JobConfig:
+    """A job. ``options`` are those of its reader (``lines``, ``line_breaks``, ``columns``, ``schema``, JDBC settings),
+    and ``dropped``, a Parquet path for the rows that are left out.
+    """
+
     source: str
     target: str
     source_type: str
@@ -78,16 +85,25 @@ def load_config(path: str) -> JobConfig:
             raise ConfigError(str(exc)) from exc
 
 
+def _flag(options: Mapping, name: str, default: bool | None) -> bool | None:
+    value = options.get(name, default)
+    return value if value is None or isinstance(value, bool) else str(value).strip().lower() in ("true", "1", "yes")
+
+
 def read_job(spark: SparkSession, job: JobConfig) -> DataFrame:
+    options = job.options
     match job.source_type:
         case "csv":
-            return readers.read_csv(spark, job.source)
+            return readers.read_csv(
+                spark, job.source, options.get("columns"), line_breaks=bool(_flag(options, "line_breaks", False))
+            )
         case "json":
-            return readers.read_json(spark, job.source)
+            return readers.read_json(spark, job.source, options.get("schema"), _flag(options, "lines", None))
         case "parquet":
             return spark.read.parquet(job.source)
         case "jdbc":
-            return readers.read_jdbc(spark, table=job.source, **job.options)
+            settings = {k: v for k, v in options.items() if k != "dropped"}
+            return readers.read_jdbc(spark, table=job.source, **settings)
         case _:
             return readers.read_source(spark, job.source, list(job.inputs.values()))
 
@@ -137,19 +153,25 @@ def write_job(job: JobConfig, result: DataFrame) -> None:
 
 def run_job(
     spark: SparkSession, config: dict | JobConfig, resolver: Resolver | Mapping[str, Resolver]
-) -> JobConfig:
-    """Run a job from a config and write its target."""
+) -> DataFrame:
+    """Run a job from a config and write its target; returns the dropped rows with the reason.
+
+    They are also written as Parquet if the job has an option ``dropped``.
+    """
     job = config if isinstance(config, JobConfig) else parse_config(config)
-    result, _ = build_job(spark, job, resolver)
+    result, dropped = build_job(spark, job, resolver)
     write_job(job, result)
-    return job
+    if "dropped" in job.options:
+        dropped.write.mode("overwrite").parquet(job.options["dropped"])
+        return spark.read.schema(dropped.schema).parquet(job.options["dropped"])
+    return dropped
 
 
 def dry_run(spark: SparkSession, job: JobConfig) -> DataFrame:
     """What a job would do: ``(source, target, processor, inputs, outputs, rows)``; nothing is resolved."""
     names = lambda columns: F.lit(", ".join(c.name for c in columns))
     return read_job(spark, job).agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(os.path.basename(job.source)).alias("source"),
+        F.lit(job.source).alias("source"),
         F.lit(job.target).alias("target"),
         F.lit(job.processor).alias("processor"),
         names(job.source_columns).alias("inputs"),
@@ -161,21 +183,37 @@ def dry_run(spark: SparkSession, job: JobConfig) -> DataFrame:
 def run_many(
     spark: SparkSession, configs: Sequence[tuple[str, dict]], resolver: Resolver | Mapping[str, Resolver]
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Build many jobs; one that cannot be built does not stop the rest.
+    """Run many jobs, one after the other; one that fails, at whatever step, does not stop the rest.
 
-    Returns the rows of all good jobs as one lazy DataFrame with ``job`` (inputs and outputs as JSON
-    text, because jobs differ in columns), and one status row per config.
+    Returns the rows of all good jobs, as stored, as one DataFrame with ``job`` (inputs and outputs as JSON text,
+    because jobs differ in columns), and a status row per config: ``job, status, error, rows, dropped``.
     """
     parts: list[DataFrame] = []
-    status: list[tuple[str, str, str | None]] = []
+    status: list[tuple[str, str, str | None, int, int]] = []
     for name, config in configs:
         try:
-            good, _ = build_job(spark, parse_config(config), resolver, stamp=False)
-            parts.append(good.select(F.lit(name).alias("job"), F.to_json(F.struct("*")).alias("row")))
-            status.append((name, "success", None))
+            job = parse_config(config)
+            result, dropped = build_job(spark, job, resolver)
+            stored = cut_lineage(result, "job")
+            write_job(job, stored)
+            left_out = cut_lineage(dropped, "dropped")
+            if "dropped" in job.options:
+                left_out.write.mode("overwrite").parquet(job.options["dropped"])
+            status.append((name, "success", None, stored.count(), left_out.count()))
+            row = F.to_json(F.struct(*[c for c in stored.columns if c not in STAMPS]))
+            parts.append(stored.select(F.lit(name).alias("job"), row.alias("row")))
         except Exception as exc:
-            status.append((name, "failed", str(exc).splitlines()[0]))
+            status.append((name, "failed", str(exc).splitlines()[0], 0, 0))
     rows = None
     for part in parts:
         rows = part if rows is None else rows.unionByName(part)
-    return rows, spark.createDataFrame(status, "job string, status string, error string")
+    return rows, spark.createDataFrame(status, "job string, status string, error string, rows bigint, dropped bigint")
+
+
+def totals(status: DataFrame) -> DataFrame:
+    """How many jobs went well and how many failed: ``(jobs, succeeded, failed)``."""
+    return status.agg(
+        F.count(F.lit(1)).alias("jobs"),
+        F.count_if(F.col("status") == "success").alias("succeeded"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+    )

@@ -187,8 +187,9 @@ def _json(spark, sf):
     "discovery_json",
     _JSON
     + """
-SELECT r.p_brand, CAST(count(*) AS INTEGER) AS n, string_agg(p_name || '/' || p_partkey || '/' || p_size, ',' ORDER BY rank) AS names
-FROM r WHERE rank <= 10 GROUP BY 1""",
+SELECT b.p_brand, CAST(count(r.p_partkey) AS INTEGER) AS n,
+  coalesce(string_agg(p_name || '/' || r.p_partkey || '/' || p_size, ',' ORDER BY rank), '') AS names
+FROM (SELECT DISTINCT p_brand FROM part) b LEFT JOIN r ON r.p_brand = b.p_brand AND rank <= 10 GROUP BY 1""",
 )
 def discovery_json(spark, sf):
     arrays = _json(spark, sf)
@@ -210,16 +211,20 @@ def discovery_unnest(spark, sf):
     )
 
 
-_RETURNED = """SELECT l_partkey, count(DISTINCT l_suppkey) AS suppliers, sum(l_quantity) AS quantity
-  FROM lineitem WHERE l_quantity >= 49 AND l_returnflag = 'R' GROUP BY 1"""
+_RETURNED = """SELECT l_partkey, count(DISTINCT l_suppkey) AS suppliers,
+  sum(l_quantity) FILTER (l_quantity >= 49 AND l_returnflag = 'R') AS quantity FROM lineitem GROUP BY 1"""
 
 
 def _enriched(spark, sf):
     known = (
         table(spark, sf, "lineitem")
-        .filter((F.col("l_quantity") >= 49) & (F.col("l_returnflag") == "R"))
         .groupBy("l_partkey")
-        .agg(F.countDistinct("l_suppkey").alias("suppliers"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+        .agg(
+            F.countDistinct("l_suppkey").alias("suppliers"),
+            F.sum(F.when((F.col("l_quantity") >= 49) & (F.col("l_returnflag") == "R"), F.col("l_quantity")))
+            .cast("bigint").alias("quantity"),
+        )
+        .hint("rebalance")
     )
     resolver = TableResolver(
         known, {"part": "l_partkey"}, {"suppliers": "suppliers", "returned": "quantity"}, unique=True
@@ -245,7 +250,7 @@ def discovery_enrich(spark, sf):
 @query(
     "discovery_coverage",
     f"""
-SELECT count(*) AS total, count(l_partkey) AS enriched, count(*) = count(l_partkey) AS done
+SELECT count(*) AS total, count(quantity) AS enriched, count(*) = count(quantity) AS done
 FROM part LEFT JOIN ({_RETURNED}) ON p_partkey = l_partkey WHERE {_MATCH}""",
 )
 def discovery_coverage(spark, sf):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tablerich.operators import costs
 from tablerich.operators import enrich as E
 from tablerich.operators import ordering as O
 from tablerich.operators.naming import OutputColumn
-from tablerich.operators.resolvers import TableResolver
+from tablerich.operators.resolvers import ExprResolver, TableResolver
 from tablerich.plans import jobs
 from tablerich.plans.catalog import query, table
+from tablerich.session import scratch_path
+from tablerich.sources import writers
 
 COUNTRY, REGION = "Country name", "Region name (continent)"
 
@@ -306,16 +310,22 @@ def enrich_mixed_outputs(spark, sf):
     return replies.select("c_custkey", "reply")
 
 
-BIG_SPENDERS = "SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total FROM orders WHERE o_totalprice > 400000 GROUP BY 1"
+BIG_SPENDERS = """SELECT o_custkey, count(*) FILTER (o_totalprice > 400000) AS n,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) FILTER (o_totalprice > 400000) AS DOUBLE) AS total
+  FROM orders GROUP BY 1 HAVING n > 0"""
 
 
 def spend_resolver(spark, sf, key="customer"):
-    """Large orders per customer; customers without one have no answer."""
+    """Large orders per customer, out of all orders; customers with small ones only have null answers."""
+    large = F.col("o_totalprice") > 400000
     known = (
         table(spark, sf, "orders")
-        .filter(F.col("o_totalprice") > 400000)
         .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
+        .agg(
+            F.nullif(F.count_if(large), F.lit(0)).alias("n"),
+            F.sum(F.when(large, F.col("o_totalprice").cast("decimal(12,2)"))).alias("total"),
+        )
+        .hint("rebalance")
     )
     return TableResolver(known, {key: "o_custkey"}, {"order_count": "n", "order_total": "total"}, unique=True)
 
@@ -368,11 +378,12 @@ def job_from_config(spark, sf):
 @query(
     "dry_run",
     """
-SELECT 'customer.parquet' AS source, 'enriched' AS target, 'core-fast' AS processor, 'c_custkey, c_name' AS inputs,
+SELECT 'customer_source' AS source, 'enriched' AS target, 'core-fast' AS processor, 'c_custkey, c_name' AS inputs,
        'order_count, order_total' AS outputs, count(*) AS rows FROM customer""",
 )
 def dry_run(spark, sf):
-    config = jobs.parse_config(_spend_config(f"{sf}/customer.parquet", "parquet", "c_custkey", "c_name"))
+    table(spark, sf, "customer").createOrReplaceTempView("customer_source")
+    config = jobs.parse_config(_spend_config("customer_source", "table", "c_custkey", "c_name"))
     return jobs.dry_run(spark, config)
 
 
@@ -382,30 +393,60 @@ def dry_run(spark, sf):
 WITH r AS (SELECT o_custkey, n, total FROM ({BIG_SPENDERS}))
 SELECT 'customers' AS job, 'success' AS status, CAST(NULL AS VARCHAR) AS error, count(*) AS rows
 FROM customer JOIN r ON c_custkey = o_custkey
-UNION ALL SELECT 'buyers', 'success', NULL, count(*) FROM orders JOIN r USING (o_custkey) WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'buyers', 'success', NULL, count(*) FROM orders JOIN r USING (o_custkey)
 UNION ALL SELECT 'broken', 'failed', 'missing: source_columns', 0""",
 )
 def multi_job(spark, sf):
     table(spark, sf, "customer").createOrReplaceTempView("customer_source")
     table(spark, sf, "orders").createOrReplaceTempView("orders_source")
+    sources = {
+        "customers": "SELECT c_custkey AS id, c_name AS label FROM customer_source",
+        "buyers": "SELECT o_custkey AS id, o_orderpriority AS label FROM orders_source",
+    }
+    configs = []
+    for name, select in sources.items():
+        path = scratch_path(spark, f"source-{name}")
+        spark.sql(select).write.parquet(path)
+        configs.append((name, {**_spend_config(path, "parquet", "id", "label"), "target": scratch_path(spark, f"target-{name}")}))
     broken = _spend_config("customer_source", "table", "id", "label")
     del broken["source_columns"]
-    configs = [
-        ("customers", _spend_config("SELECT c_custkey AS id, c_name AS label FROM customer_source", "table", "id", "label")),
-        (
-            "buyers",
-            _spend_config(
-                "SELECT o_custkey AS id, o_orderpriority AS label FROM orders_source WHERE o_orderstatus = 'F'",
-                "table", "id", "label",
-            ),
-        ),
-        ("broken", broken),
-    ]
-    rows, status = jobs.run_many(spark, configs, spend_resolver(spark, sf, "id"))
-    counts = rows.groupBy("job").agg(F.count(F.lit(1)).alias("rows"))
-    return status.join(counts, "job", "left").select(
-        "job", "status", "error", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+    _, status = jobs.run_many(spark, [*configs, ("broken", broken)], spend_resolver(spark, sf, "id"))
+    return status.select("job", "status", "error", "rows")
+
+
+@query(
+    "job_round_trip",
+    """
+SELECT format, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(length(c_name) AS BIGINT) AS letters,
+       c_mktsegment || ';' || upper(c_mktsegment) AS segments
+FROM customer, (VALUES ('json'), ('csv')) AS f(format)""",
+)
+def job_round_trip(spark, sf):
+    """All customers through a job from JSON lines and one from CSV, each read back from what the job has written."""
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    segment = F.col("c_mktsegment")
+    resolver = ExprResolver({"letters": F.length("c_name"), "segments": F.array(segment, F.upper(segment))})
+    out = None
+    for kind in ("json", "csv"):
+        source, target = (scratch_path(spark, f"{end}-{kind}") for end in ("source", "target"))
+        (writers.write_json if kind == "json" else writers.write_csv)(customers, source)
+        config = {
+            "source": source, "target": target, "source_type": kind,
+            "source_columns": [{"name": c, "description": c} for c in customers.columns],
+            "enriched_columns": [
+                {"name": "letters", "description": "Letters of the name", "type": "int"},
+                {"name": "segments", "description": "Segment in both cases", "type": "list[str]"},
+            ],
+        }
+        jobs.run_job(spark, config, resolver)
+        back = jobs.read_job(spark, replace(jobs.parse_config(config), source=target))
+        listed = F.col("segments") if kind == "json" else F.from_json("segments", "array<string>")
+        rows = back.select(
+            F.lit(kind).alias("format"), "c_custkey", "c_name", F.col("letters").cast("bigint").alias("letters"),
+            F.array_join(listed, ";").alias("segments"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 _TIER = """CASE o_orderpriority WHEN '1-URGENT' THEN 'pro-fast' WHEN '2-HIGH' THEN 'core' WHEN '3-MEDIUM' THEN 'base'

@@ -66,9 +66,12 @@ def udf_enrich_with_processor(spark, sf):
 @query(
     "udf_enrich_json",
     f"""
-SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN '{{"error":"output_columns must be a JSON array"}}'
-  WHEN c_mktsegment = 'HOUSEHOLD' THEN '{{"error":"Invalid output_columns JSON"}}'
-  WHEN c_acctbal < 0 THEN '{{"error":"Invalid input JSON"}}' ELSE {_UPPER} END AS answer
+SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN '{{"error":"output columns: a JSON array is expected"}}'
+  WHEN c_mktsegment = 'HOUSEHOLD' THEN '{{"error":"output columns: not JSON"}}'
+  WHEN c_acctbal < 0 THEN '{{"error":"input: not JSON"}}'
+  WHEN c_acctbal < 1000 THEN '{{"error":"input: a JSON object is expected"}}'
+  WHEN c_mktsegment = 'AUTOMOBILE' THEN '{{"error":"output columns: every one needs a description"}}'
+  ELSE {_UPPER} END AS answer
 FROM customer""",
 )
 def udf_enrich_json(spark, sf):
@@ -77,8 +80,10 @@ def udf_enrich_json(spark, sf):
     return spark.sql(
         """
         SELECT c_custkey,
-               rich_enrich_json(CASE WHEN c_acctbal < 0 THEN '{bad' ELSE to_json(struct(c_name AS name)) END,
+               rich_enrich_json(CASE WHEN c_acctbal < 0 THEN '{bad' WHEN c_acctbal < 500 THEN 'null'
+                   WHEN c_acctbal < 1000 THEN '5' ELSE to_json(struct(c_name AS name)) END,
                  CASE c_mktsegment WHEN 'MACHINERY' THEN '{"a":1}' WHEN 'HOUSEHOLD' THEN 'Upper name'
+                   WHEN 'AUTOMOBILE' THEN '[1,{}]'
                    ELSE '["Upper name","Name length"]' END) AS answer
         FROM customer_source"""
     )
@@ -104,10 +109,10 @@ def udf_enrich_entity(spark, sf):
     """
 SELECT '{"name":"' || c_name || '"}' AS input,
        '{"upper_name":"' || upper(c_name) || '","name_length":"' || length(c_name) || '"}' AS enriched
-FROM customer WHERE c_acctbal >= 0""",
+FROM customer""",
 )
 def udtf_enrich(spark, sf):
-    calls = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0).select(
+    calls = table(spark, sf, "customer").select(
         "c_nationkey",
         "c_custkey",
         F.to_json(F.struct(F.col("c_name").alias("name"))).alias("input_json"),

@@ -26,9 +26,9 @@ def order_ledger(spark, sf):
     )
 
 
-@query("ledger_submit", "SELECT o_custkey AS group_id, count(*) AS num_runs FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
+@query("ledger_submit", "SELECT o_custkey AS group_id, count(*) AS num_runs FROM orders GROUP BY 1")
 def ledger_submit(spark, sf):
-    waiting = order_ledger(spark, sf).filter("status = 'failed'").select("group_id", "run_id", "input")
+    waiting = order_ledger(spark, sf).select("group_id", "run_id", "input")
     return L.submit(waiting)[1]
 
 
@@ -200,25 +200,26 @@ def memory_clear(spark, sf):
     "memory_preview",
     f"""
 SELECT conv_id AS scope, {_KIND} AS kind, turn AS id,
-  CASE role WHEN 'user' THEN left(text, 40) WHEN 'assistant' THEN 'Status: ' ||
+  CASE role WHEN 'user' THEN text WHEN 'assistant' THEN 'Status: ' ||
     CASE WHEN length(text) > 200 THEN 'active' ELSE 'unknown' END
     ELSE 'Matched entities: ' || length(text) END AS line,
-  CASE WHEN role = 'assistant' THEN 'e' || e END AS event_id
+  CASE WHEN role = 'assistant' THEN 'e' || e END AS event_id, text AS input_excerpt,
+  CASE WHEN role = 'assistant' THEN text END AS excerpt
 FROM conversations, (VALUES (1), (2)) AS v(e) WHERE role = 'assistant' OR e = 1""",
 )
 def memory_preview(spark, sf):
     event = lambda n: F.struct(
-        F.lit(f"e{n}").alias("event_id"), F.col("turn").alias("detected_at"), F.left("text", F.lit(20)).alias("excerpt")
+        F.lit(f"e{n}").alias("event_id"), F.col("turn").alias("detected_at"), F.col("text").alias("excerpt")
     )
     full = table(spark, sf, "conversations").select(
         F.col("conv_id").alias("scope"),
         F.expr(_KIND).alias("kind"),
         F.col("turn").alias("id"),
         F.col("turn").alias("updated_at"),
-        F.left("text", F.lit(50)).alias("input_excerpt"),
-        F.left("text", F.lit(40)).alias("output_excerpt"),
+        F.col("text").alias("input_excerpt"),
+        F.col("text").alias("output_excerpt"),
         F.length("text").alias("matched_count"),
         F.when(F.length("text") > 200, "active").alias("status"),
         F.array(event(1), event(2)).alias("matched_events"),
     )
-    return M.preview_rows(full).select("scope", "kind", "id", "line", "event_id")
+    return M.preview_rows(full).select("scope", "kind", "id", "line", "event_id", "input_excerpt", "excerpt")

@@ -143,7 +143,8 @@ def _last(where: str, name: str) -> str:
     )
 
 
-_OLD, _NEW = "ts < TIMESTAMP '2024-01-02'", "ts >= TIMESTAMP '2024-01-28'"
+# A snapshot is the state as of a moment.
+_OLD, _NEW = "ts < TIMESTAMP '2024-01-02'", "ts < TIMESTAMP '2024-01-31'"
 
 
 @query(
@@ -171,11 +172,12 @@ _START = "min(ts) AS started, first({f} ORDER BY ts, event_id) AS frequency".for
 )
 _SCHEDULE = f"""
 WITH m AS (SELECT user_id, {_START} FROM events GROUP BY 1),
-h AS (SELECT user_id, started, CASE frequency WHEN '12h' THEN 12 WHEN 'daily' THEN 24 WHEN 'every_two_weeks' THEN 336
+h AS (SELECT user_id, started, frequency, CASE frequency WHEN '12h' THEN 12 WHEN 'daily' THEN 24 WHEN 'every_two_weeks' THEN 336
         WHEN '1w' THEN 168 END AS hours FROM m),
 due AS (SELECT user_id, unnest(generate_series(started, TIMESTAMP '2024-01-31', to_hours(hours))) AS run_at
         FROM h WHERE hours IS NOT NULL)
-SELECT user_id, run_at, 'schedule' AS trigger FROM due"""
+SELECT user_id, run_at, 'schedule' AS trigger FROM due
+UNION ALL SELECT user_id, NULL, 'invalid frequency: ' || frequency FROM h WHERE hours IS NULL"""
 
 
 def _due(spark, sf):

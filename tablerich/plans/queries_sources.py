@@ -10,7 +10,7 @@ from tablerich.operators import inputs as I
 from tablerich.operators import naming as N
 from tablerich.operators import report as R
 from tablerich.operators.resolvers import BASIS_TYPE
-from tablerich.plans.catalog import query, table, text_table
+from tablerich.plans.catalog import query, table
 from tablerich.sources import readers
 
 _INLINE = """CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN '[]' WHEN 'view' THEN '[' || props
@@ -22,19 +22,20 @@ _INLINE = """CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN '[]' WHE
     f"""
 WITH x AS (SELECT event_id, {_INLINE} AS doc FROM events),
 c AS (SELECT event_id, doc,
-        CASE WHEN NOT json_valid(doc) THEN 'Invalid JSON data'
-             WHEN json_type(doc) <> 'ARRAY' THEN 'Data must be a JSON array'
-             WHEN json_array_length(doc) = 0 THEN 'Data array cannot be empty'
-             WHEN json_type(doc, '$[0]') <> 'OBJECT' THEN 'Data must be an array of objects' END AS error
+        CASE WHEN NOT json_valid(doc) THEN 'The text is not JSON'
+             WHEN json_type(doc) <> 'ARRAY' THEN 'A JSON array is expected'
+             WHEN json_array_length(doc) = 0 THEN 'The array is empty'
+             WHEN json_type(doc, '$[0]') <> 'OBJECT' THEN 'The array must hold objects' END AS error
       FROM x),
 g AS (SELECT event_id, doc, unnest(range(1, CAST(json_array_length(doc) AS BIGINT) + 1)) AS ordinal
-      FROM c WHERE error IS NULL)
+      FROM c WHERE error IS NULL),
+k AS (SELECT *, list_filter(json_keys(doc, '$[' || (ordinal - 1) || ']'), lambda f: NOT list_contains(json_keys(doc, '$[0]'), f))
+        AS unknown FROM g)
 SELECT event_id, CAST(ordinal AS INTEGER) AS ordinal,
-       json_extract_string(doc, '$[' || (ordinal - 1) || '].k') AS k,
-       CAST(len(list_intersect(json_keys(doc, '$[0]'), json_keys(doc, '$[' || (ordinal - 1) || ']'))) AS INTEGER)
-         AS n_fields,
-       CAST(NULL AS VARCHAR) AS error
-FROM g
+       CASE WHEN len(unknown) = 0 THEN json_extract_string(doc, '$[' || (ordinal - 1) || '].k') END AS k,
+       CASE WHEN len(unknown) = 0 THEN CAST(len(json_keys(doc, '$[' || (ordinal - 1) || ']')) AS INTEGER) END AS n_fields,
+       CASE WHEN len(unknown) > 0 THEN 'Unknown fields: ' || array_to_string(unknown, ', ') END AS error
+FROM k
 UNION ALL
 SELECT event_id, NULL, NULL, NULL, error FROM c WHERE error IS NOT NULL""",
 )
@@ -93,7 +94,7 @@ UNION ALL
 SELECT 'part', p_partkey, {name_sql("p_size || ' ' || p_name || ' (' || p_type || ')'")} FROM part""",
 )
 def output_names(spark, sf):
-    docs = text_table(spark, sf, "documents", "doc_id", "text").select(
+    docs = table(spark, sf, "documents").select("doc_id", "text").select(
         F.lit("document").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("description")
     )
     described = F.concat(F.col("p_size").cast("string"), F.lit(" "), "p_name", F.lit(" ("), "p_type", F.lit(")"))
@@ -149,7 +150,7 @@ def parse_content(spark, sf):
     events = table(spark, sf, "events").select(
         F.lit("event").alias("origin"), F.col("event_id").alias("id"), F.col("props").alias("content")
     )
-    docs = text_table(spark, sf, "documents", "doc_id", "text").select(F.lit("document"), "doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text").select(F.lit("document"), "doc_id", "text")
     return events.union(docs).select("origin", "id", E.parse_content(F.col("content")).alias("parsed"))
 
 
@@ -253,7 +254,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
 )
 def domain_list(spark, sf):
     items = I.comma_list(F.array("text", "source"))
-    listed = text_table(spark, sf, "documents", "doc_id", "text", "source").select("doc_id", items.alias("items"))
+    listed = table(spark, sf, "documents").select("doc_id", "text", "source").select("doc_id", items.alias("items"))
     return listed.select("doc_id", F.size("items").alias("n_items"), F.array_join("items", "|").alias("items"))
 
 
@@ -335,7 +336,7 @@ body AS (SELECT doc_id, regexp_replace(regexp_replace(t, '^# [^\n]*', ''), '^\s+
 SELECT doc_id, CASE WHEN length(t) > 20 THEN t END AS summary FROM body""",
 )
 def exec_summary(spark, sf):
-    reports = text_table(spark, sf, "documents", "doc_id", "text", "source").select("doc_id", F.expr(_REPORT).alias("report"))
+    reports = table(spark, sf, "documents").select("doc_id", "text", "source").select("doc_id", F.expr(_REPORT).alias("report"))
     return reports.select("doc_id", R.executive_summary(F.col("report")).alias("summary"))
 
 

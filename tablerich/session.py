@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Rows handed to a Python resolver in one call.
 CALL_ROWS = 1000
-# Smallest split of a scan: above this size per core Spark cuts files into a task for every core.
-MIN_SPLIT_BYTES = 4 << 20
 
-_written: list[str] = []
+# Intermediate paths of each session, by application.
+_written: dict[str, list[str]] = {}
+
+
+def _cores(master: str) -> str:
+    """Cores of a local master; elsewhere Spark's default of all cores is kept."""
+    found = re.match(r"local\[(\d+)", master)
+    return found[1] if found else str(os.cpu_count() or 1)
 
 
 def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str) -> SparkSession:
@@ -26,6 +31,9 @@ def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # A scan of long texts has a task for every core, whatever the number of files.
+        "spark.sql.files.minPartitionNum": _cores(master),
+        "spark.sql.files.openCostInBytes": "262144",
         # No Python stack trace per column: it takes most of the time of building a plan.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
@@ -39,32 +47,33 @@ def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may go without the setting; it then gets a temporary folder of its own.
+    Without the setting, the folder of ``SparkContext.setCheckpointDir``. Only a master of one process (``local[…]``)
+    may have neither; its folder is then next to the warehouse.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        configured = spark.sparkContext.getCheckpointDir()
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="run-")
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.removeprefix("file:")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder; ``clear_scratch`` deletes what is written there."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Delete the intermediate tables this session has written; DataFrames that read them end with it."""
+    """Delete the intermediate paths of this session; DataFrames that read them end with it. Returns how many there were."""
     removed = 0
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+    written = _written.pop(spark.sparkContext.applicationId, [])
+    while written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(written.pop())
         removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return removed
 
@@ -76,21 +85,5 @@ def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
     executor. ``clear_scratch`` deletes the table when it is no longer needed.
     """
     path = scratch_path(df.sparkSession, name)
-    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Deal out a small input over all cores before costly work on each row.
-
-    Below the smallest split per core a scan has fewer tasks than cores. Above it ``df`` is returned as
-    it is: large data is never shuffled here.
-    ``sized_by`` is the input to measure when ``df`` is a join that keeps part of its rows.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    measured = df if sized_by is None else sized_by
-    size = measured._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(size) < cores * MIN_SPLIT_BYTES else df

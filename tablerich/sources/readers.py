@@ -27,28 +27,46 @@ def check_table_name(name: str) -> str:
 
 
 def read_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, line_breaks: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, line_breaks: bool = False
 ) -> DataFrame:
     """CSV with a header; every column is text. Give ``columns`` to skip reading the header first.
 
-    Quoted fields may hold line breaks, and then a file is one unit of work. Large files without such
-    fields are split with ``line_breaks=False``.
+    A file is split between tasks. With ``line_breaks`` quoted fields may hold line breaks, and then a file is
+    one unit of work; without it such a row raises.
     """
     options = {"header": True, "multiLine": line_breaks, "escape": '"'}
     if columns is None:
         columns = spark.read.csv(path, **options).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.csv(path, schema=schema, **options)
+    # All columns are parsed, whichever are asked for: otherwise a broken row could pass unseen.
+    return spark.read.option("columnPruning", False).csv(path, schema=schema, mode="FAILFAST", **options)
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, lines: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, lines: bool | None = None
 ) -> DataFrame:
-    """JSON array files, or JSON lines (splittable; prefer them for large data). Bad JSON raises."""
+    """JSON lines (split between tasks) or files that each hold one array. Bad JSON raises.
+
+    ``lines=None`` reads lines, unless the first file begins with a line that opens an array and does not close
+    it. ``lines=False`` refuses files that hold anything but an array, of which Spark would read the first row only.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
+    if lines is None:
+        lines = not _opens_array(spark, path)
+    if not lines:
+        whole = spark.read.text(path, wholetext=True).filter(~F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("["))
+        if not whole.isEmpty():
+            raise ValueError(f"not every file of {path} is a JSON array; read it as lines")
     return reader.json(path, multiLine=not lines, mode="FAILFAST")
 
 
+def _opens_array(spark: SparkSession, path: str) -> bool:
+    """Whether the first line with any text opens an array that goes on in the next."""
+    first = spark.read.text(path).filter(F.trim("value") != "").first()
+    text = first[0].strip() if first else ""
+    return text.startswith("[") and not text.endswith("]")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(quote_name(name))
 
@@ -76,9 +94,9 @@ def read_jdbc(
 def read_inline(spark: SparkSession, text: str) -> tuple[DataFrame, list[dict[str, str]]]:
     """Rows a user typed as a JSON array of objects, and the source columns they imply."""
     rows = parse_inline_rows(spark.createDataFrame([(1, text)], "id int, text string"), "text", "id")
-    first = rows.orderBy("ordinal").first()
-    if first["error"]:
-        raise ValueError(first["error"])
+    wrong = rows.filter("error IS NOT NULL").orderBy("ordinal").first()
+    if wrong:
+        raise ValueError(wrong["error"])
     columns = [{"name": c, "description": f"The {c} field"} for c in json.loads(text)[0]]
     return rows.select(*[F.col("row")[c["name"]].alias(c["name"]) for c in columns]), columns
 

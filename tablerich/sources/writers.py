@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablerich.session import cut_lineage
 from tablerich.sources.readers import check_table_name, quote_name
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; a DataFrame without rows still writes the header."""
-    df.write.csv(path, header=True, mode="overwrite", escape='"')
+    """CSV with a header; a DataFrame without rows still writes the header. Nested values become JSON text."""
+    nested = {f.name: F.to_json(f"`{f.name}`") for f in df.schema if f.dataType.typeName() in ("array", "map", "struct")}
+    df.withColumns(nested).write.csv(path, header=True, mode="overwrite", escape='"')
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -49,6 +51,8 @@ def write_reports(
     ``folders=False`` keeps the bodies as rows ``(key, content)`` instead.
     """
     mode = "overwrite" if force else "errorifexists"
+    # Read by both writes, computed once.
+    reports = cut_lineage(reports, "reports")
     text = F.lit(True) if is_text is None else is_text
     body = F.when(~text, F.col(content)).alias(content)
     rest = [c for c in reports.columns if c != content]

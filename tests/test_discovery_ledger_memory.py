@@ -133,9 +133,9 @@ def test_submit(ledger):
 
 
 def test_memory_checks(spark):
-    with pytest.raises(ValueError, match="timezone"):
+    with pytest.raises(ValueError, match="time zone"):
         M.parse_since("2024-01-01T00:00:00")
-    with pytest.raises(ValueError, match="RFC 3339"):
+    with pytest.raises(ValueError, match="no timestamp"):
         M.parse_since("yesterday")
     assert M.parse_since("2024-01-01T00:00:00Z") == datetime(2024, 1, 1, tzinfo=timezone.utc)
     for bad in ("", "a b", "x" * 129, "ü"):

@@ -192,7 +192,7 @@ def test_incremental_resolves_only_new_keys(companies, known):
 
 def test_filter_runs_below_the_resolver(companies):
     done = E.enrich(companies, {"name": "name"}, ["Shout"], CallableResolver(upper), where=F.col("id") < 3)
-    plan = done.table()._jdf.queryExecution().executedPlan().toString()
+    plan = done.resolved._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("Filter")
 
 

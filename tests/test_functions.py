@@ -55,10 +55,26 @@ def test_json_form(registered):
     got = {r.k: json.loads(r.a) for r in rows}
     assert got[1]["one"] == "one:x"
     assert [got[k]["error"] for k in (2, 3, 4, 5)] == [
-        "Invalid input JSON", "output_columns must be a JSON array", "Invalid output_columns JSON", "Invalid input JSON",
+        "input: not JSON", "output columns: a JSON array is expected", "output columns: not JSON", "input: not JSON",
     ]
 
 
+def test_odd_arguments_are_errors_of_their_row(registered):
+    rows = registered.sql(
+        """SELECT k, t_enrich_json(i, c) AS a FROM VALUES
+           (1, '{"name":"x"}', '[1]'), (2, '{"name":"x"}', '[{}]'), (3, 'null', '["One"]'), (4, '5', '["One"]'),
+           (5, '{"name":"x"}', '["One"]'), (6, '{"name":"x"}', '[""]') AS t(k, i, c)"""
+    ).collect()
+    got = {r.k: json.loads(r.a) for r in rows}
+    assert got[5]["one"] == "one:x"
+    assert all("error" in got[k] for k in (1, 2, 3, 4, 6))
+    mixed = registered.sql(
+        "SELECT k, t_enrich(map('name', 'x'), c) AS a FROM VALUES (1, array('One')), (2, array('One', NULL)) AS t(k, c)"
+    ).collect()
+    got = {r.k: json.loads(r.a) for r in mixed}
+    assert got[1]["one"] == "one:x" and "error" in got[2]
+
+
 def test_entity_function(registered):
     got = registered.sql("SELECT t_enrich_entity('Acme', 'a.com', array('One')) AS a").first().a
     assert json.loads(got)["one"] == "one:Acme"

@@ -20,8 +20,10 @@ def companies(spark):
 def test_csv_round_trip(spark, companies, tmp_path):
     path = str(tmp_path / "out.csv")
     writers.write_csv(companies, path)
-    back = readers.read_csv(spark, path)
+    back = readers.read_csv(spark, path, line_breaks=True)
     assert back.schema.simpleString() == "struct<name:string,site:string>"
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        readers.read_csv(spark, path).select("name").collect()
     assert sorted(map(tuple, back.collect())) == sorted(ROWS)
     writers.write_csv(companies.limit(0), path)
     assert readers.read_csv(spark, path).columns == ["name", "site"]
@@ -120,14 +122,14 @@ def letters():
 
 def test_run_from_yaml(spark, companies, tmp_path):
     writers.write_csv(companies, str(tmp_path / "in"))
-    config = {**CONFIG, "source": str(tmp_path / "in"), "target": str(tmp_path / "out")}
+    config = {**CONFIG, "source": str(tmp_path / "in"), "target": str(tmp_path / "out"), "options": {"line_breaks": "true"}}
     import yaml
 
     (tmp_path / "job.yaml").write_text(yaml.safe_dump(config))
     job = jobs.load_config(str(tmp_path / "job.yaml"))
     assert job.processor == "core-fast"
     jobs.run_job(spark, job, letters())
-    out = readers.read_csv(spark, job.target)
+    out = readers.read_csv(spark, job.target, line_breaks=True)
     assert out.columns == ["name", "letters", "batch_id", "insertion_timestamp"]
     assert {r.name: r.letters for r in out.collect()}["Acme, Inc."] == "10"
     preview = jobs.dry_run(spark, job).first()
@@ -188,8 +190,90 @@ def test_many_jobs_go_on_after_a_failure(spark, companies):
     known = companies.select(F.col("name").alias("k"), F.length("name").alias("n")).filter("n > 9")
     resolver = TableResolver(known, {"name": "k"}, {"letters": "n"})
     rows, status = jobs.run_many(spark, [("a", good), ("b", missing), ("c", good)], resolver)
-    assert {r.job: r.status for r in status.collect()} == {"a": "success", "b": "failed", "c": "success"}
+    assert {r.job: (r.status, r.rows, r.dropped) for r in status.collect()} == {
+        "a": ("success", 1, 2), "b": ("failed", 0, 0), "c": ("success", 1, 2)
+    }
     assert {r.job: r["count"] for r in rows.groupBy("job").count().collect()} == {"a": 1, "c": 1}
+    assert jobs.totals(status).first().asDict() == {"jobs": 3, "succeeded": 2, "failed": 1}
+
+
+def test_a_failure_at_run_time_leaves_the_others_written(spark, companies, tmp_path):
+    companies.createOrReplaceTempView("job_source")
+    path = lambda n: str(tmp_path / n)
+    companies.write.parquet(path("in"))
+    config = lambda n: {**CONFIG, "source_type": "parquet", "source": path("in"), "target": path(n)}
+    trap = ExprResolver({"letters": F.when(F.col("name") != "", F.raise_error(F.lit("broken row"))).otherwise("1").cast("string")})
+    chosen = {"core-fast": letters(), "base": trap}
+    bad = {**config("b"), "processor": "base"}
+    _, status = jobs.run_many(spark, [("a", config("a")), ("b", bad), ("c", config("c"))], chosen)
+    assert {r.job: r.status for r in status.collect()} == {"a": "success", "b": "failed", "c": "success"}
+    assert spark.read.parquet(path("a")).count() == spark.read.parquet(path("c")).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["json", "csv"])
+def test_a_job_keeps_every_row_of_many_files(spark, tmp_path, kind):
+    many = spark.range(1000).selectExpr("concat('n', id) AS name", "IF(id % 2 = 0, NULL, 's') AS site").repartition(7)
+    source, target, dropped = (str(tmp_path / n) for n in ("in", "out", "dropped"))
+    (writers.write_json if kind == "json" else writers.write_csv)(many, source)
+    config = {**CONFIG, "source_type": kind, "source": source, "target": target, "options": {"dropped": dropped}}
+    odd = ExprResolver({"letters": F.when(F.col("name") != "n7", F.length("name"))})
+    assert jobs.dry_run(spark, jobs.parse_config(config)).first().rows == 1000
+    left = jobs.run_job(spark, config, odd).collect()
+    assert [r.name for r in left] == ["n7"] and spark.read.parquet(dropped).count() == 1
+    again = jobs.read_job(spark, jobs.parse_config({**config, "source": target}))
+    assert again.count() == 999 and {r.name for r in again.collect()} == {f"n{i}" for i in range(1000)} - {"n7"}
+
+
+def test_arrays_and_lines_are_told_apart(spark, companies, tmp_path):
+    lines, pretty = str(tmp_path / "lines"), tmp_path / "pretty.json"
+    writers.write_json(companies, lines)
+    pretty.write_text(json.dumps([{"name": n, "site": s} for n, s in ROWS], indent=2))
+    one_line = tmp_path / "one.json"
+    one_line.write_text(json.dumps([{"name": n, "site": s} for n, s in ROWS]))
+    for path in (lines, str(pretty), str(one_line)):
+        assert readers.read_json(spark, path).count() == 3
+    with pytest.raises(ValueError, match="as lines"):
+        readers.read_json(spark, lines, lines=False)
+
+
+def test_lists_reach_tables_and_csv(spark, companies, tmp_path):
+    from tablerich.operators import enrich as E
+    from tablerich.operators.resolvers import CallableResolver
+
+    listed = OutputColumn("parts", "Parts of the name", "list[str]")
+    numbers = OutputColumn("sizes", "Their sizes", "list[int]")
+    split = F.split("name", " ")
+    known = companies.select(F.col("name").alias("k"), split.alias("p"), F.transform(split, F.length).alias("s"))
+    resolvers = [
+        TableResolver(known, {"name": "k"}, {"parts": "p", "sizes": "s"}),
+        ExprResolver({"parts": split, "sizes": F.transform(split, F.length)}),
+        CallableResolver(lambda rows, names: [{"parts": r["name"].split(" "), "sizes": [len(x) for x in r["name"].split(" ")]} for r in rows]),
+    ]
+    for resolver in resolvers:
+        done = E.enrich(companies, {"name": "name"}, [listed, numbers], resolver).table()
+        assert {r.name: (r.parts, r.sizes) for r in done.collect()} == {n: (n.split(" "), [len(x) for x in n.split(" ")]) for n, _ in ROWS}
+    path = str(tmp_path / "lists")
+    writers.write_csv(done, path)
+    assert {r.parts for r in readers.read_csv(spark, path, line_breaks=True).collect()} >= {'["Acme,","Inc."]'}
+
+
+def test_costly_answers_are_asked_for_once(spark, tmp_path):
+    from tablerich.operators import enrich as E
+    from tablerich.operators.resolvers import CallableResolver
+
+    counter = str(tmp_path / "calls")
+
+    def counted(rows, names):
+        with open(counter, "a") as f:
+            f.write("x" * len(rows))
+        return [{"shout": r["name"]} for r in rows]
+
+    many = spark.range(100).selectExpr("concat('n', id) AS name")
+    done = E.enrich(many, {"name": "name"}, [OutputColumn("shout", "Louder")], CallableResolver(counted))
+    assert done.table().count() == 100 and done.errors().count() == 0 and done.metrics().first().success_count == 100
+    good, bad = E.typed_job(many, {"name": "name"}, [OutputColumn("shout", "Louder")], CallableResolver(counted))
+    assert good.count() == 100 and bad.count() == 0
+    assert os.path.getsize(counter) == 200
 
 
 def test_declared_types_are_known():

@@ -7,15 +7,15 @@ from tablerich.operators import naming as N
 from tablerich.operators import inputs as I
 
 CASES = {
-    "CEO name": "ceo_name",
-    "CEO name (current CEO)": "ceo_name",
-    "Founding year (YYYY format)": "founding_year",
-    "Revenue [USD millions]": "revenue",
-    "Stock ticker {NYSE/NASDAQ}": "stock_ticker",
-    "2024 revenue": "col_2024_revenue",
-    "CEO's name & title!": "ceos_name__title",
-    "(just a description)": "column",
-    "year-over-year growth": "year_over_year_growth",
+    "Crew size": "crew_size",
+    "Crew size (at sea)": "crew_size",
+    "Launch date (ISO form)": "launch_date",
+    "Draught [metres]": "draught",
+    "Hull type {wood/steel}": "hull_type",
+    "3rd deck": "col_3rd_deck",
+    "Captain's rank & pay!": "captains_rank__pay",
+    "(all in brackets)": "column",
+    "ship-to-shore radio": "ship_to_shore_radio",
     "_x": "col__x",
     "": "column",
     "\tHead count\n": "head_count",
@@ -79,7 +79,7 @@ def test_inputs_drop_nulls_and_check_columns(spark):
 
 def test_inline_rows(spark):
     texts = [
-        ("ok", '[{"company":"A","industry":"x"},{"company":"B","extra":1}]'),
+        ("ok", '[{"company":"A","industry":"x"},{"company":"B","extra":1},5,{"company":"C"}]'),
         ("text", "not json"),
         ("object", '{"a":1}'),
         ("empty", "[]"),
@@ -90,13 +90,16 @@ def test_inline_rows(spark):
     got = {}
     for r in df.collect():
         got.setdefault(r.id, []).append((r.ordinal, r.row, r.error))
-    assert sorted(got["ok"]) == [(1, {"company": "A", "industry": "x"}, None), (2, {"company": "B"}, None)]
+    assert sorted(got["ok"]) == [
+        (1, {"company": "A", "industry": "x"}, None), (2, None, "Unknown fields: extra"), (3, None, "The element is not an object"),
+        (4, {"company": "C"}, None),
+    ]
     assert [got[k][0][2] for k in ("text", "object", "empty", "scalars", "blank")] == [
-        "Invalid JSON data",
-        "Data must be a JSON array",
-        "Data array cannot be empty",
-        "Data must be an array of objects",
-        "Data objects must have at least one field",
+        "The text is not JSON",
+        "A JSON array is expected",
+        "The array is empty",
+        "The array must hold objects",
+        "An object needs at least one field",
     ]
 
 

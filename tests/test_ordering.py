@@ -103,12 +103,3 @@ def test_scratch_tables_can_be_cleared(spark):
     kept = cut_lineage(spark.range(10))
     assert kept.count() == 10
     assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
-
-
-def test_only_small_inputs_are_dealt_out(spark, monkeypatch):
-    from tablerich import session
-
-    df = spark.range(100)
-    assert "RoundRobin" in session.spread(df)._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(session, "MIN_SPLIT_BYTES", 1)
-    assert session.spread(df) is df
