@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablerich.operators.enrich import enrich
+from tablerich.operators.naming import output_columns
 from tablerich.operators.resolvers import RESULT, Resolver
 from tablerich.operators.search import Corpus, host, rank_documents
 
@@ -131,6 +132,10 @@ class Discovery:
         if enrich:
             for e in self.enrichments:
                 found = enrich_matched(found, e.inputs, e.outputs, e.resolver)
+        if fields is None:
+            # Known from the request: reading them off the result would run the discovery twice.
+            added = [o.name for e in self.enrichments for o in output_columns(e.outputs)] if enrich else []
+            fields = list(dict.fromkeys([*(c.name for c in self.conditions), *added]))
         return flatten(found, self.id, fields)
 
     def ranked(self, candidates: DataFrame) -> DataFrame:

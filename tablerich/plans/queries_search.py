@@ -9,6 +9,7 @@ from tablerich.operators import ordering as O
 from tablerich.operators import report as R
 from tablerich.operators import search as S
 from tablerich.plans.catalog import query, table
+from tablerich.session import scratch_path
 from tablerich.plans.queries_ledger import bm25_sql
 
 SEARCHES = ["the thion heres and", "nicht aulich sch", "que eau des", "und estion"]
@@ -32,6 +33,13 @@ def search_bm25(spark, sf):
     return found.select("query_no", "doc_id", "score", "rank")
 
 
+@query("search_stored", f"WITH {bm25_sql('documents', 'doc_id', 'text', SEARCHES)} {_top('score', 10)}")
+def search_stored(spark, sf):
+    """The same request to an index that is built once and read by every search."""
+    index = S.StoredIndex.build(documents(spark, sf), scratch_path(spark, "index"), buckets=64)
+    return index.rank_keys(S.resolve_queries(None, SEARCHES))
+
+
 _TITLE_BONUS = r"""
 , tt AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(string_split(text, chr(10))[1]),
            '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents),
