@@ -1,57 +1,92 @@
 """Change detection on a stream.
 
 Each micro-batch runs the batch operator over its rows and the last known row of every key it
-touches, so a hot key is cut between tasks there too. The last rows are kept in a shared folder in two
-places used in turn: a batch reads the one of the batch before it and replaces the other, so it can be
-run again after a failure.
+touches, so a hot key is cut between tasks there too. The last rows are kept in a shared folder, dealt to buckets by
+a hash of the key. A batch reads the buckets of its own keys, writes a new version of those, and notes in an index
+which version of each bucket holds; all other buckets stay as they are. It reads the index of the batch before it,
+so it can be run again after a failure.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablerich.operators.monitor import change_events
 
+# Buckets of last rows: the finer, the less a batch of few keys reads and writes.
+BUCKETS = 256
+
+
+def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, int]:
+    """The version of each bucket after a batch; at most a row per bucket."""
+    if batch_id < 0:
+        return {}
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{path}/index/batch={batch_id}").collect()}
+
+
+def _drop(spark: SparkSession, paths: Sequence[str]) -> None:
+    for p in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(p)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
 
 def change_writer(
-    path: str, key: str, order: Sequence[str], state: str, *, backfill: bool = False, completions: bool = False
+    path: str, key: str, order: Sequence[str], state: str, *, backfill: bool = False, completions: bool = False,
+    buckets: int = BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink writing change events below ``path/events``.
 
-    Rows are ordered inside a batch; a row older than the last one of its key is out of date and
-    changes nothing.
+    Rows are ordered inside a batch; a row that is not newer than the last one of its key, from an earlier batch,
+    changes nothing and goes to ``path/late``.
     """
     columns = [key, *order, state]
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # Read several times below; a lost part is read from the source again.
         taken = batch.select(*columns).persist()
-        rows = taken
-        last = spark.read.parquet(f"{path}/last-{(batch_id - 1) % 2}") if batch_id > 0 else None
-        stream = rows
-        if last is not None:
+        versions = _versions(spark, path, batch_id - 1)
+        touched = [r[0] for r in taken.select(bucket).distinct().collect()]
+        held = [f"{path}/last/version={versions[b]}/bucket={b}" for b in touched if b in versions]
+        rows = stream = taken
+        late = taken.limit(0)
+        if held:
+            last = spark.read.schema(taken.schema).parquet(*held)
             known = last.select(F.col(key).alias("_key"), F.struct(*order).alias("_at"))
-            touched = rows.join(known, F.col(key) == F.col("_key"), "left")
-            rows = touched.filter(F.col("_at").isNull() | (F.struct(*order) > F.col("_at"))).select(*columns)
-            seeds = last.join(rows.select(key).distinct(), key, "left_semi").select(*columns)
-            stream = rows.unionByName(seeds)
+            met = taken.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+            newer = F.col("_at").isNull() | (F.struct(*order) > F.col("_at"))
+            rows, late = met.filter(newer).select(*columns), met.filter(~newer).select(*columns)
+            # Where a key has no newer row its last one is compared with nothing.
+            stream = rows.unionByName(last)
         found = change_events(stream, key, list(order), state, backfill=backfill, completions=completions)
-        if last is not None and (backfill or completions):
-            # A seed is the only row of its key and moment, so this drops seeds and nothing else.
-            found = found.join(seeds.select(key, *order), [key, *order], "left_anti")
+        if held and (backfill or completions):
+            # A last row is the only one of its key and moment, so this drops last rows and nothing else.
+            seeds = last.select(*[F.col(c).alias(f"_{c}") for c in (key, *order)])
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (key, *order)]
+            found = found.join(seeds, same, "left_anti")
         found.write.mode("overwrite").parquet(f"{path}/events/batch_id={batch_id}")
-        merged = stream if last is None else stream.unionByName(last.select(*columns))
+        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
         newest = F.max_by(F.struct(*order, state), F.struct(*order)).alias("_n")
-        merged.groupBy(key).agg(newest).select(key, "_n.*").write.mode("overwrite").parquet(
-            f"{path}/last-{batch_id % 2}"
-        )
+        kept = stream.groupBy(key).agg(newest).select(key, "_n.*").withColumn("bucket", bucket)
+        kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/last/version={batch_id}")
+        now = versions | dict.fromkeys(touched, batch_id)
+        index = spark.createDataFrame(sorted(now.items()), "bucket int, version bigint")
+        index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index/batch={batch_id}")
+        # What the batch before has replaced is not needed to run this one again.
+        gone = _versions(spark, path, batch_id - 2).items() - versions.items()
+        _drop(spark, [f"{path}/last/version={v}/bucket={b}" for b, v in gone])
         taken.unpersist()
 
     return write
 
 
-def read_changes(spark, path: str) -> DataFrame:
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/events").drop("batch_id")
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that came after a newer one of their key, with the batch they came in."""
+    return spark.read.parquet(f"{path}/late")

@@ -116,6 +116,25 @@ def test_stream_of_many_batches_equals_batch(spark, tmp_path, options):
     assert got == want
 
 
+def test_state_of_other_keys_is_left_alone(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "out")
+    write = C.change_writer(path, "k", ["ts", "id"], "state", buckets=64)
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, k long, ts long, state string")
+    write(rows(*[(i, i, 0, "a") for i in range(500)]), 0)
+    for _ in range(2):
+        write(rows((1000, 7, 1, "b"), (1001, 7, -1, "late"), (1002, 900, 1, "new")), 1)
+    assert len([d for d in os.listdir(f"{path}/last/version=1") if d.startswith("bucket")]) <= 2
+    write(rows((2000, 7, 2, "c")), 2)
+    got = sorted((r.id, r.state, r.previous) for r in C.read_changes(spark, path).collect())
+    assert got == [(1000, "b", "a"), (2000, "c", "b")]
+    assert [(r.id, r.batch_id) for r in C.read_late(spark, path).collect()] == [(1001, 1)]
+    # Two versions ago is gone where it was replaced, and only there.
+    left = [d for d in os.listdir(f"{path}/last/version=0") if d.startswith("bucket")]
+    assert 60 <= len(left) < 64
+
+
 def test_batch_sink_can_run_again(spark, tmp_path):
     path = str(tmp_path / "sink")
     enrich = ST.batch_enricher({"s": "state"}, ["Upper"], CallableResolver(lambda rows, n: [{"upper": r["s"].upper()} for r in rows]))
