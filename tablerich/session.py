@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,18 +48,18 @@ def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Without the setting, the folder of ``SparkContext.setCheckpointDir``. Only a master of one process (``local[…]``)
-    may have neither; its folder is then next to the warehouse.
+    Without the setting, the folder of ``SparkContext.setCheckpointDir``. Only a master of one process (``local[…]``),
+    as in tests, may have neither; it then gets a temporary folder of its own.
     """
     context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not configured:
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
+        configured = tempfile.mkdtemp(prefix="scratch-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
-    return configured
+    return configured.removeprefix("file:") if configured.startswith("file:/") and not configured.startswith("file://") else configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
