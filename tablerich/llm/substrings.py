@@ -90,6 +90,21 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     return found.withColumnRenamed("n_units", "n_words")
 
 
-@query("op2_substring_dedup")
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) AS t(i)
+), firsts AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+gone AS (
+  SELECT doc_id, list(DISTINCT i + j) AS p FROM windows JOIN firsts USING (k), range(13) AS r(j) WHERE m < doc_id GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(p), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN p IS NULL THEN w ELSE [w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(p, i)] END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op2_substring_dedup", SQL)
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents")).drop("n_spans")

@@ -15,7 +15,7 @@ remove from each other. Repeated rows get equal results. Empty tables give no ro
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tablerich.llm.common import query, table
 from tablerich.llm.repeats import Bytes, remove_repeats
@@ -65,6 +65,32 @@ def suffix_array_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool =
     return remove_repeats(docs, units, classify, with_text).withColumnRenamed("n_units", "n_bytes")
 
 
-@query("op1_suffix_array_dedup")
+SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+pieces AS (SELECT doc_id, c, substr(x, 2 * c + 1, 1098) AS y FROM d, unnest(range(0, length(x) // 2, 500)) AS t(c)),
+windows AS (
+  SELECT doc_id, c + j AS i, substr(y, 2 * j - 1, 100) AS k FROM pieces, unnest(range(1, least(501, length(y) // 2 - 48))) AS t(j)
+), firsts AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+starts AS (SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE m < doc_id),
+edges AS (
+  SELECT doc_id, i, coalesce(i > 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS first FROM starts
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (
+    SELECT doc_id, i, sum(first::INT) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM edges) GROUP BY doc_id, n
+), cut AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS kept_from, b,
+    row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM spans
+), kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * kept_from - 1, 2 * (a - kept_from)), '' ORDER BY a)
+      || max(CASE WHEN last THEN substr(x, 2 * b - 1) END) AS k,
+    sum(b - a) AS removed, count(*) AS n FROM cut JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op1_suffix_array_dedup", SQL)
 def op1_suffix_array_dedup(spark, sf_dir):
-    return suffix_array_dedup(table(spark, sf_dir, "documents").select("doc_id", F.col("text")))
+    return suffix_array_dedup(table(spark, sf_dir, "documents"))
