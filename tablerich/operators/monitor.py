@@ -76,9 +76,13 @@ def current_monitors(
     versions: DataFrame, key: str, version: Sequence[str], fixed: Sequence[str], updatable: Sequence[str]
 ) -> DataFrame:
     """Current row per monitor: fixed fields from the first version, the others from the newest
-    version that gives them; ``cancelled`` stays once seen. One aggregate, no window."""
+    version that gives them; ``cancelled`` stays once seen, and versions after it change nothing."""
     order = F.struct(*version)
-    return versions.groupBy(key).agg(
+    # Cancellations are few; dealt out once more, so that a monitor with very many versions can be split.
+    ended = versions.filter("status = 'cancelled'").groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_end"))
+    met = versions.join(ended.hint("rebalance"), F.col(key).eqNullSafe(F.col("_key")), "left")
+    counted = met.filter(F.col("_end").isNull() | (order <= F.col("_end")))
+    return counted.groupBy(key).agg(
         *[F.min_by(c, order).alias(c) for c in fixed],
         *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in updatable],
         F.when(F.bool_or(F.col("status") == "cancelled"), "cancelled").otherwise("active").alias("status"),

@@ -34,7 +34,9 @@ SELECT user_id, first(type ORDER BY ts, event_id) AS type,
        first(metadata ORDER BY ts DESC, event_id DESC) FILTER (metadata IS NOT NULL) AS metadata,
        CASE WHEN bool_or(status = 'cancelled') THEN 'cancelled' ELSE 'active' END AS status,
        count(*) AS versions, min(ts) AS created_at
-FROM (SELECT *, {_KIND} AS type, {_FREQUENCY} AS frequency, {_METADATA} AS metadata, {_STATUS} AS status FROM events)
+FROM (SELECT *, min(CASE WHEN status = 'cancelled' THEN row(ts, event_id) END) OVER (PARTITION BY user_id) AS ended FROM (
+  SELECT *, {_KIND} AS type, {_FREQUENCY} AS frequency, {_METADATA} AS metadata, {_STATUS} AS status FROM events))
+WHERE ended IS NULL OR row(ts, event_id) <= ended
 GROUP BY user_id"""
 
 

@@ -41,7 +41,7 @@ def test_updates_and_sticky_cancel(spark):
     rows = [("m", 1, "event_stream", "1h", "x", "active"), ("m", 2, None, None, "y", "cancelled"), ("m", 3, None, "1d", None, "active")]
     df = spark.createDataFrame(rows, "id string, v int, type string, frequency string, metadata string, status string")
     row = M.current_monitors(df, "id", ["v"], ["type"], ["frequency", "metadata"]).first()
-    assert (row.type, row.frequency, row.metadata, row.status) == ("event_stream", "1d", "y", "cancelled")
+    assert (row.type, row.frequency, row.metadata, row.status) == ("event_stream", "1h", "y", "cancelled")
 
 
 def test_pages_walk_the_whole_list(spark):
