@@ -65,8 +65,8 @@ def features(text: str | None) -> np.ndarray:
     hist = np.array([np.bincount(buffer[i * piece : (i + 1) * piece], minlength=256) for i in range(stretches)])
     shares, all_shares = _shares(hist), _shares(hist.sum(axis=0, keepdims=True))[0]
     if n:
-        seen: dict[bytes, int] = {}
-        codes = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, n)
+        seen = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        codes = np.fromiter(map(seen.__getitem__, words), np.int64, n)
         lengths = np.fromiter(map(len, words), np.int64, n)
         whole = _repetition(codes, lengths, np.zeros(n, np.int64), 1)[0]
         parts = _repetition(codes, lengths, np.arange(n) // STRETCH, stretches)
