@@ -43,7 +43,8 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for batch in batches:
             out = []
             for ids in coder.encode_batch(batch.column("text")):
-                df[np.flatnonzero(np.bincount(ids))] += 1
+                ordered = np.sort(ids, kind="stable")
+                df[ordered[np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1]])]] += 1
                 out.append(np.append(ids, np.uint16(end_id)))
             df[end_id] += len(out)
             n = len(out)

@@ -14,14 +14,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words an encoder remembers; beyond that it begins anew.
-MOST_WORDS = 600_000
+#: Words an encoder learns before it sets them aside; those of them that it meets again are kept.
+MOST_WORDS = 500_000
 #: Words encoded in one call.
 _CALL = 64
 #: Bytes of text handled at once.
 _STEP_CHARS = 1 << 22
 #: Put before words that follow no space. Texts that hold it are encoded whole.
 _FIRST = "\x01"
+#: Marks that are often behind a word.
+_MARKS = ".,!?;:"
 
 
 def default_path() -> str:
@@ -48,6 +50,8 @@ class Encoder:
             self.starts[i] = token.startswith("Ġ")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes | None] = {}
+        self.aside: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
@@ -72,19 +76,36 @@ class Encoder:
         known = self.words
         unseen = [w for w in words if w not in known]
         if len(known) + len(unseen) > MOST_WORDS:
-            known.clear()
-            unseen = words
-        spaced = []
+            self.aside, self.words = known, {}
+            known, unseen = self.words, words
+        aside = self.aside
+        spaced: dict[str, None] = {}
+        marked: list[tuple[str, str, str]] = []
         for w in unseen:
-            if w == "\n":
+            core = w.rstrip(_MARKS)
+            if w in aside:
+                known[w] = aside[w]
+            elif w == "\n":
                 known[w] = self._direct(w)
             elif w[:1] == _FIRST:
                 known[w] = self._direct(w[1:]) if w[1:] and not w[1].isspace() else None
             elif not w or w[0].isspace():
                 known[w] = None
+            elif len(core) < len(w) and core.isalpha():
+                # Marks behind letters are split off by the tokenizer as well.
+                marked.append((w, core, w[len(core) :]))
+                if core not in known:
+                    if core in aside:
+                        known[core] = aside[core]
+                    else:
+                        spaced[core] = None
             else:
-                spaced.append(w)
-        self._learn(spaced)
+                spaced[w] = None
+        self._learn(list(spaced))
+        for w, core, marks in marked:
+            if marks not in self.marks:
+                self.marks[marks] = self._direct(marks)
+            known[w] = known[core] + self.marks[marks]
         return [known[w] for w in words]
 
     def encode_batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
