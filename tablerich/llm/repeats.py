@@ -37,6 +37,7 @@ STEP = 1 << 20
 #: Hashes, and bytes of text, that a task holds before it sends them.
 FLUSH_HASHES = 1 << 21
 FLUSH_BYTES = 16 << 20
+FLUSH_RUNS = 32 << 20
 #: The order of a document without an identifier: after all others.
 NO_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 24) - 1)
@@ -56,7 +57,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _pack(*parts) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(parts, protocol=5))
 
 
 def _unpack(block: bytes):
@@ -343,8 +344,9 @@ def _send_runs(units: Units, parts: int) -> Callable:
         held: dict[tuple[int, int, bytes], list] = {}
         size = 0
         for block in blocks:
-            documents = [(i, *units.units(raw)) for i, (_, raw) in enumerate(_unpack(block)[0])]
-            names = [(doc, _text_id(raw)) for doc, raw in _unpack(block)[0]]
+            texts = _unpack(block)[0]
+            documents = [(i, *units.units(raw)) for i, (_, raw) in enumerate(texts)]
+            names = [(doc, _text_id(raw)) for doc, raw in texts]
             for pieces, owners, sizes, begins in _segments(units, documents):
                 found = runs_of(units, pieces, sizes)
                 key = _key(found.hash, parts)
@@ -361,7 +363,7 @@ def _send_runs(units: Units, parts: int) -> Callable:
                         size += len(text)
                     else:
                         rows.append((*names[owners[p]], int(begins[p]) + first, n))
-                if size >= FLUSH_BYTES:
+                if size >= FLUSH_RUNS:
                     yield from _flush_runs(held, parts)
                     held, size = {}, 0
         if held:
@@ -380,9 +382,8 @@ def _flush_runs(held: dict[tuple[int, int, bytes], list], parts: int) -> Iterato
         buckets.setdefault(key >> 40, []).append((key, place, text, [r for r in rows if r[0] == least]))
     yield from _results(settled, parts)
     out = []
-    for bucket, rows in buckets.items():
-        rows.sort(key=lambda r: r[:3])
-        out.append((RUNS, int(bucket), _pack(rows)))
+    for bucket, entries in buckets.items():
+        out.append((RUNS, int(bucket), _pack_runs(entries)))
         if len(out) >= 64:
             yield _rows(out)
             out = []
@@ -390,6 +391,32 @@ def _flush_runs(held: dict[tuple[int, int, bytes], list], parts: int) -> Iterato
         yield _rows(out)
 
 
+def _pack_runs(entries: list[tuple[int, int, bytes, list]]) -> bytes:
+    """Runs by column: neighbours in a column are alike and compress well."""
+    entries.sort(key=lambda e: e[0])
+    keys, places, texts, rows = zip(*entries)
+    flat = [r for own in rows for r in own]
+    owners = sorted({r[:2] for r in flat})
+    number = {o: i for i, o in enumerate(owners)}
+    return _pack(
+        np.diff(np.array(keys, np.uint64), prepend=np.uint64(0)), np.array(places, np.uint16),
+        np.array([len(t) for t in texts], np.uint32), np.array([len(own) for own in rows], np.uint32),
+        np.diff(np.array([o[0] for o in owners], np.int64), prepend=0), np.array([o[1] for o in owners], np.uint64),
+        np.array([number[r[:2]] for r in flat], np.uint32), np.array([r[2] for r in flat], np.int64),
+        np.array([r[3] for r in flat], np.uint32), b"".join(texts),
+    )
+
+
+def _unpack_runs(block: bytes) -> Iterator[tuple[int, int, bytes, list]]:
+    keys, places, sizes, counts, docs, ids, owner, first, windows, raw = _unpack(block)
+    owners = list(zip(np.cumsum(docs).tolist(), ids.tolist()))
+    rows = [(*owners[o], f, w) for o, f, w in zip(owner.tolist(), first.tolist(), windows.tolist())]
+    at = row = 0
+    for key, place, size, n in zip(np.cumsum(keys, dtype=np.uint64).tolist(), places.tolist(), sizes.tolist(), counts.tolist()):
+        yield key, place, raw[at : at + size], rows[row : row + n]
+        at, row = at + size, row + n
+
+
 def _results(rows: list[tuple[int, int, int, int]], parts: int) -> Iterator[pa.RecordBatch]:
     """Repeated windows ``(doc, text id, first, count)`` to the parts of their documents."""
     if rows:
@@ -421,7 +448,7 @@ def _settle_runs(units: Units, classify: Callable, parts: int) -> Callable:
 def _settle_bucket(units: Units, classify: Callable, parts: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
     groups: dict[int, dict[tuple[int, bytes], list]] = {}
     for block in blocks:
-        for key, place, text, rows in _unpack(block)[0]:
+        for key, place, text, rows in _unpack_runs(block):
             groups.setdefault(key, {}).setdefault((place, text), []).extend(rows)
     results: list[tuple[int, int, int, int]] = []
     texts, owners, size = [], [], 0
