@@ -1,9 +1,9 @@
 """Pack documents into sequences by lexical retrieval.
 
 Documents are dealt to shards of about ``shard_tokens`` tokens. A shard is an inverted index with BM25 weights over
-token ids, whose document frequencies are counted over the whole corpus. A document first fills windows of its
-own; what is left of it is a seed. The index returns the seed's nearest unused neighbours, by its
-``query_terms`` heaviest terms, and those that fit are taken whole, best first. If room is left, the best
+the ids of whole documents, whose document frequencies are counted over the whole corpus. A document first fills
+windows of its own; what is left of it is a seed. The index returns the seed's nearest unused neighbours, by all
+terms of its document, and those that fit are taken whole, best first. If room is left, the best
 remaining neighbour, or the next unused one if none shares a term, is cut to fill it. So every window is full
 until a shard runs out; its last, partly filled window is cut into sequences of powers of two, which need no
 padding. A shard is bounded, apart from a single document that is longer.
@@ -62,54 +62,70 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 
 class Index:
-    """A BM25 index over some runs of token ids."""
+    """A BM25 index over some runs of token ids, asked with all terms of one of them.
+
+    Terms of many runs hold a weight for each run, so that they are added as columns; the others have postings.
+    """
 
     def __init__(self, runs: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        terms, counts = zip(*(np.unique(r, return_counts=True) for r in runs))
-        sizes = np.array([len(t) for t in terms])
-        owner = np.repeat(np.arange(len(runs), dtype=np.int32), sizes)
-        term, tf = np.concatenate(terms), np.concatenate(counts).astype(np.float32)
-        length = np.array([len(r) for r in runs], np.float32)[owner]
-        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))).astype(np.float32)
-        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
-        self.term, self.own = term, idf[term] * tf
+        self.terms, self.weights, self.vocabulary = [], [], len(idf)
+        for run in runs:
+            term, tf = np.unique(run, return_counts=True)
+            self.terms.append(term)
+            self.weights.append(idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(run) / mean_length)))
+        self.keep(np.arange(len(runs)))
+
+    def keep(self, members: np.ndarray) -> None:
+        """Score the runs ``members`` only; terms that none of them has cost nothing."""
+        self.members = members
+        n = len(members)
+        term = np.concatenate([self.terms[m] for m in members])
+        owner = np.repeat(np.arange(n), [len(self.terms[m]) for m in members])
         order = np.argsort(term, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        self.n = len(runs)
-
-    def scores(self, run: int, query_terms: int) -> np.ndarray:
-        """Of every run, its weight for the heaviest terms of ``run``."""
-        a, b = self.bounds[run], self.bounds[run + 1]
-        terms, own = self.term[a:b], self.own[a:b]
-        if len(terms) > query_terms:
-            terms = terms[np.argpartition(-own, query_terms)[:query_terms]]
-        spans = [slice(self.first[t], self.first[t + 1]) for t in terms]
-        return np.bincount(
-            np.concatenate([self.owner[s] for s in spans]),
-            weights=np.concatenate([self.weight[s] for s in spans]), minlength=self.n,
-        )
+        self.owner, self.weight = owner[order], np.concatenate([self.weights[m] for m in members])[order]
+        self.first = np.searchsorted(term[order], np.arange(self.vocabulary + 1))
+        # At most four times the postings.
+        often = np.flatnonzero(np.diff(self.first) * 4 > n)
+        self.row = np.full(self.vocabulary, -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n))
+        for row, t in enumerate(often):
+            span = slice(self.first[t], self.first[t + 1])
+            self.dense[row, self.owner[span]] = self.weight[span]
+
+    def scores(self, run: int) -> np.ndarray:
+        """Of every member, its weight for the terms of ``run``."""
+        terms = self.terms[run]
+        rows = self.row[terms]
+        few = terms[rows < 0]
+        spans = [slice(a, b) for a, b in zip(self.first[few], self.first[few + 1]) if a < b]
+        found = np.zeros(len(self.members))
+        if spans:
+            found = np.bincount(
+                np.concatenate([self.owner[s] for s in spans]),
+                weights=np.concatenate([self.weight[s] for s in spans]), minlength=len(self.members),
+            )
+        for row in rows[rows >= 0]:
+            found += self.dense[row]
+        return found
 
 
 def pack_shard(
-    lengths: list[int], tails: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW, query_terms: int = 24
+    lengths: list[int], ids: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int = WINDOW
 ) -> list[tuple[int, int, int, int, int]]:
-    """Pieces ``(document, start, length, sequence, offset)`` of a shard.
-
-    ``tails`` holds of each document the ids after its last whole window.
-    """
+    """Pieces ``(document, start, length, sequence, offset)`` of a shard of documents with all their ``ids``."""
     pieces = []
     sequence = 0
     for d, n in enumerate(lengths):
         for start in range(0, n - n % window, window):
             pieces.append((d, start, window, sequence, 0))
             sequence += 1
-    left = [d for d, t in enumerate(tails) if len(t)]
+    left = [d for d, n in enumerate(lengths) if n % window]
     if not left:
         return pieces
-    index = Index([tails[d] for d in left], idf, mean_length)
-    begin = np.array([lengths[d] - len(tails[d]) for d in left])
-    rest = np.array([len(tails[d]) for d in left])
+    index = Index([ids[d] for d in left], idf, mean_length)
+    rest = np.array([lengths[d] % window for d in left])
+    begin = np.array([lengths[d] for d in left]) - rest
     unused = np.ones(len(left), bool)
     # Long seeds first: short documents are what fills their windows.
     queue = np.argsort(-rest, kind="stable")
@@ -127,23 +143,26 @@ def pack_shard(
         filled = int(rest[seed])
         take(seed, filled, 0)
         if filled < window:
-            scores = index.scores(int(seed), query_terms)
-            scores[~unused] = 0
-            found = np.flatnonzero(scores)
-            found = found[np.argsort(-scores[found], kind="stable")]
-            sizes = rest[found]
+            if 2 * int(unused.sum()) < len(index.members) and unused.any():
+                index.keep(np.flatnonzero(unused))
+            near = index.members
+            scores = index.scores(int(seed))
+            scores[~unused[near]] = 0
             while filled < window:
-                fits = np.flatnonzero(unused[found] & (sizes <= window - filled))
-                if not len(fits):
+                fits = np.where(rest[near] <= window - filled, scores, 0)
+                best = int(fits.argmax())
+                if not fits[best]:
                     break
-                i = int(found[fits[0]])
+                i = int(near[best])
                 size = int(rest[i])
                 take(i, size, filled)
+                scores[best] = 0
                 filled += size
-            open_ = found[unused[found]] if filled < window else found[:0]
             while filled < window:
-                if len(open_):
-                    i, open_ = int(open_[0]), open_[1:]
+                best = int(scores.argmax())
+                if scores[best]:
+                    i = int(near[best])
+                    scores[best] = 0
                 else:
                     while spare < len(queue) and not unused[queue[spare]]:
                         spare += 1
@@ -174,7 +193,7 @@ def pack_shard(
 
 def pack(
     docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, window: int = WINDOW, shard_tokens: int = 2 << 20,
-    query_terms: int = 24, with_ids: bool = True,
+    with_ids: bool = True,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece, and its ``ids``."""
     rows = cut_lineage(tokenised(docs, tokenizer or default_path(), end_id), "tokenised")
@@ -186,7 +205,7 @@ def pack(
     for r in per_id:
         df[r["pos"]] = r["df"]
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5)).astype(np.float32)
-    mean_length = min(float(window), n_tokens / max(1, n_docs))
+    mean_length = n_tokens / max(1, n_docs)
     shards = max(1, -(-n_tokens // shard_tokens))
 
     def fill(shard: pd.DataFrame) -> pd.DataFrame:
@@ -194,8 +213,7 @@ def pack(
         ids = [np.frombuffer(i, "<u2") for i in shard["ids"]]
         lengths = [len(i) for i in ids]
         names = pd.arrays.IntegerArray(shard["doc_id"].to_numpy("int64"), shard["unknown"].to_numpy(bool))
-        tails = [i[len(i) - len(i) % window :] for i in ids]
-        found = pack_shard(lengths, tails, idf, mean_length, window, query_terms)
+        found = pack_shard(lengths, ids, idf, mean_length, window)
         d, start, length, sequence, offset = map(np.array, zip(*found))
         parts = [ids[i][a : a + n].astype("<u4").tobytes() for i, a, n in zip(d, start, length)]
         out = pd.DataFrame(

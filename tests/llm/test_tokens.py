@@ -108,3 +108,40 @@ def test_neighbours_share_windows():
     for d, _, _, sequence, _ in pieces:
         groups.setdefault(sequence, set()).add(d % 5)
     assert sorted(map(len, groups.values())) == [1] * 10
+
+
+def brute_scores(runs, asked, idf, mean_length):
+    out = []
+    for run in runs:
+        score = 0.0
+        for t in set(asked.tolist()) & set(run.tolist()):
+            tf = run.tolist().count(t)
+            score += idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(run) / mean_length))
+        out.append(score)
+    return out
+
+
+def test_scores_against_brute_force():
+    rng = np.random.default_rng(4)
+    runs = [(300 * rng.random(rng.integers(1, 200)) ** 3).astype(np.uint16) for _ in range(40)]
+    idf = 0.1 + rng.random(300)
+    index = packing.Index(runs, idf, 100.0)
+    for members in (range(40), [3, 7, 11, 30]):
+        index.keep(np.array(members))
+        for i in (0, 7, 39):
+            assert index.scores(i) == pytest.approx(brute_scores([runs[m] for m in members], runs[i], idf, 100.0))
+
+
+def test_neighbours_by_light_terms_and_by_whole_windows():
+    # 30 heavy ids that no other document has, and light ones of the topic.
+    idf = np.concatenate([np.full(100, 0.5), np.full(2000, 8.0)]).astype(np.float32)
+    topics = [np.concatenate([np.arange(2) + 2 * (i % 5), 100 + 30 * i + np.arange(30)]) for i in range(40)]
+    # The topic is in the first window only.
+    heads = [np.concatenate([np.full(64, i % 5), 100 + 16 * i + np.arange(16)]) for i in range(40)]
+    for ids, each in ((topics, 2), (heads, 4)):
+        pieces = packing.pack_shard([len(x) for x in ids], ids, idf, 50.0, window=64)
+        groups = {}
+        for d, _, length, sequence, _ in pieces:
+            if length < 64:
+                groups.setdefault(sequence, []).append(d % 5)
+        assert {(len(g), len(set(g))) for g in groups.values()} == {(each, 1)}
