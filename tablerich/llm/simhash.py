@@ -117,18 +117,20 @@ def linked(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, fp, component_id`` (the smallest ``doc_id`` reachable)."""
+    """One row for each row of ``docs``: ``doc_id, fp, component_id`` (the smallest ``doc_id`` reachable, null if none is)."""
     rows = cut_lineage(fingerprints(docs, shingle), "fingerprints")
-    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    # Fingerprints are the nodes: one that only rows without a doc_id have still links others.
     links = linked(nodes.select("fp"))
-    at = lambda side: nodes.select(F.col("fp").alias(side), F.col("node").alias(f"{side}_node"))
-    by_node = links.join(at("a"), "a").join(at("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     # A repeated doc_id ties its fingerprints.
     repeated = rows.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high")
-    own = rows.join(cut_lineage(repeated.select("doc_id"), "repeated"), "doc_id")
-    own = own.join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    found = connected_components(by_node.unionByName(own))
-    reach = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    own = rows.join(cut_lineage(repeated.select("doc_id", "low"), "repeated"), "doc_id")
+    found = connected_components(links.unionByName(own.select(F.col("fp").alias("a"), F.col("low").alias("b"))))
+    found = found.select(F.col("node").alias("fp"), "component")
+    member = nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    member = cut_lineage(member, "members")
+    names = cut_lineage(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
+    reach = member.join(names, "component").select("fp", "component_id")
     reach = cut_lineage(reach, "reach")
     return rows.join(reach, "fp").select("doc_id", "fp", "component_id")
 

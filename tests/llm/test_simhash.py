@@ -107,3 +107,12 @@ def test_repeated_identifiers_are_one_document(make):
 def test_empty_table(make):
     assert simhash.near_duplicates(make([])).count() == 0
     assert simhash.representatives(make([])).count() == 0
+
+
+def test_rows_without_identifier_link_others(spark, make, monkeypatch):
+    # Two bits apart each: 1 and 2 only meet by way of rows without a doc_id; 3 is alone, as is one without any named neighbour.
+    rows = [(1, 0b000011), (None, 0b001111), (None, 0b001111), (2, 0b111111), (3, 0xFF << 40), (None, 0xFF << 20)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: spark.createDataFrame(rows, "doc_id long, fp long"))
+    found = sorted(((r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(None).collect()), key=repr)
+    component = {0b000011: 1, 0b001111: 1, 0b111111: 1, 0xFF << 40: 3, 0xFF << 20: None}
+    assert found == sorted(((d, fp, component[fp]) for d, fp in rows), key=repr)
