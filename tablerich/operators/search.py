@@ -160,6 +160,8 @@ def rank_keys(
     )
     rows = scored.select(*corpus.keys, F.expr(f"explode(filter(array({scores}), s -> s.score > 0))").alias("_q"))
     rows = rows.select("_q.query_no", *corpus.keys, "_q.score")
+    # Of documents that share their key the best one counts.
+    rows = rows.groupBy("query_no", *corpus.keys).agg(F.max("score").alias("score"))
     # Each task cuts its rows to ``limit`` per query before the shuffle.
     best = Window.partitionBy("query_no").orderBy(F.desc("score"), *corpus.keys)
     return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
@@ -170,9 +172,8 @@ def rank_documents(
 ) -> DataFrame:
     """``rank_keys`` with all corpus columns of the documents found."""
     top = rank_keys(corpus, queries, mode=mode, limit=limit)
-    # Of documents that share their key the best one counts, and one of them is returned.
+    # Of documents that share their key one is returned.
     best = Window.partitionBy("query_no", *corpus.keys)
-    top = top.withColumn("_n", F.row_number().over(best.orderBy("rank"))).filter("_n = 1").drop("_n")
     if len(queries) * limit <= BROADCAST_ROWS:
         top = F.broadcast(top)
     found = corpus.df.join(top, corpus.keys).withColumn("_n", F.row_number().over(best.orderBy(corpus.text)))

@@ -152,3 +152,10 @@ def test_plan_cuts_rows_before_the_shuffle(corpus):
     partial = plan.index("Partial")
     assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_repeated_keys_do_not_fill_the_limit(spark):
+    rows = [("u0", "fox fox fox")] * 10 + [(f"u{i}", "fox " + "and more words " * i) for i in range(1, 10)]
+    corpus = S.Corpus(spark.createDataFrame(rows, "url string, content string"), "url", "content")
+    found = S.rank_documents(corpus, ["fox"], limit=10).orderBy("rank").collect()
+    assert [(r.rank, r.url) for r in found] == [(i + 1, f"u{i}") for i in range(10)]
