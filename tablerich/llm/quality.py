@@ -82,15 +82,15 @@ def features(text: str | None) -> np.ndarray:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """``doc_id, x`` of every row; ``x`` holds the figures of its text."""
+    """``doc_id, place, x`` of every row with a ``place``; ``x`` holds the figures of its text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = pa.array([features(t.as_py()) for t in batch.column("text")], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), x], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("place"), x], ["doc_id", "place", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, x array<float>")
+    return docs.select("doc_id", "place", "text").mapInArrow(scan, f"doc_id {kind}, place bigint, x array<float>")
 
 
 @dataclass
@@ -153,29 +153,33 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def _matrix(rows: DataFrame) -> np.ndarray:
-    """The figures of a bounded sample, in an order of its own that no run changes."""
-    found = rows.orderBy("place", "x").select("x").toPandas()["x"].to_numpy()
+def _matrix(rows: DataFrame, most: int) -> np.ndarray:
+    """The figures of ``most`` rows at most, in an order of their own that no run changes."""
+    found = rows.orderBy("place", "x").limit(most).select("x").toPandas()["x"].to_numpy()
     return np.stack(found).astype(np.float64) if len(found) else np.zeros((0, 0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_positive: int = 20_000, most_unlabelled: int = 40_000, seed: int = 9) -> Model | None:
     """Train on the labels outside the held-out part; None without positives among ``docs``.
 
-    ``most_positive`` labels and about ``most_unlabelled`` documents are drawn by a hash of ``doc_id``.
+    At most ``most_positive`` rows with a label and ``most_unlabelled`` rows are drawn by a hash of ``doc_id`` and text,
+    whatever the identifiers are. Unlabelled rows are drawn by their number in the table too, so that equal rows are
+    drawn one by one.
     """
     place = F.xxhash64(F.lit(seed), "doc_id").alias("place")
+    row_place = F.xxhash64(F.lit(seed), "doc_id", "text").alias("place")
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "quality")
     prior = known.agg(F.avg("quality")).first()[0]
-    drawn = known.filter("quality = 1").select("doc_id", place).orderBy("place", "doc_id").limit(most_positive)
+    drawn = known.filter("quality = 1").select("doc_id", place).distinct().orderBy("place", "doc_id").limit(most_positive)
     # At most ``most_positive`` identifiers.
     trusted = docs.select("doc_id", "text").join(F.broadcast(drawn.drop("place")), "doc_id")
-    positive = _matrix(described(trusted).withColumn("place", place))
+    positive = _matrix(described(trusted.withColumn("place", row_place)), most_positive)
     if not len(positive):
         return None
     share = min(1.0, most_unlabelled / max(1, docs.count()))
-    below = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    unlabelled = _matrix(described(docs.select("doc_id", "text").filter(below)).withColumn("place", place))
+    ticket = F.xxhash64(F.lit(seed + 1), "doc_id", "text", F.monotonically_increasing_id())
+    numbered = docs.select("doc_id", "text", row_place, F.pmod(ticket, F.lit(1 << 30)).alias("ticket"))
+    unlabelled = _matrix(described(numbered.filter(F.col("ticket") < int(share * (1 << 30)))), most_unlabelled)
     if not len(unlabelled):
         unlabelled = positive
     return train(positive, unlabelled, min(float(prior), 0.98), seed=seed)

@@ -71,3 +71,14 @@ def test_hard_rows(spark, make, hard):
     assert {r.score for r in none} == {0.5}
     assert quality.score(make([]), labels).count() == 0
     assert quality.accepted(make([]), labels).count() == 0
+
+
+def test_sample_is_bounded_by_rows(spark, make, corpus, monkeypatch):
+    rows, labels = corpus
+    # Two thirds of the rows have no or the same identifier, some of them are equal.
+    rows = rows[:200] + [(None, f"{t} {i % 150}") for i, t in rows[:200]] + [(1, t) for _, t in rows[:100]] + [(None, "equal")] * 100
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda positive, unlabelled, *a, **k: seen.append((len(positive), len(unlabelled))))
+    quality.fit(make(rows), spark.createDataFrame(labels, LABELS), most_positive=30, most_unlabelled=120)
+    (positive, unlabelled), = seen
+    assert 0 < positive <= 30 and 60 < unlabelled <= 120
