@@ -1,13 +1,13 @@
 """Token ids in byte-aligned variable-length files.
 
-Ids are replaced by their frequency rank, so that frequent ones take one byte. Every four ranks share a control
+Ids are replaced by their frequency rank in the whole corpus, so that frequent ones take one byte. Every four ranks share a control
 byte, two bits each for the number of data bytes (1 to 4); control and data bytes are kept apart. A table of 256
 rows, looked up with a whole column of control bytes at once, says where data bytes belong.
 
 A file holds documents in ascending ``doc_id`` (null first, repeated ones by a hash of the text) as chunks of
-about ``chunk_ids`` ids, at least one document each: rank table, ``doc_id`` and number of ids of each document,
-control bytes, data bytes. Each chunk ranks its own ids, which takes one pass over the corpus and lets every chunk
-be written again, or read, by itself. The container is Parquet, which every store Spark writes to can hold.
+about ``chunk_ids`` ids, at least one document each: ``doc_id`` and number of ids of each document, control bytes,
+data bytes. Texts become ids once; every task counts its ids, and the counts are summed to one ranking of at most the
+vocabulary, stored once beside the chunks. The container is Parquet, which every store Spark writes to can hold.
 
 Null texts are empty: such a document has the end id only. Empty tables give no rows, extra columns are ignored.
 """
@@ -26,8 +26,10 @@ from tablerich.llm.tokens import default_path, encoder
 from tablerich.session import scratch_path
 
 SCHEMA = (
-    "part bigint, chunk bigint, n_ids bigint, ranked binary, doc_ids array<bigint>, counts array<bigint>, control binary, data binary"
+    "part bigint, chunk bigint, n_ids bigint, doc_ids array<bigint>, counts array<bigint>, control binary, data binary"
 )
+#: The ranking of the corpus, a row for each id that occurs.
+RANKS = "rank bigint, id bigint, n bigint"
 _CODES = np.array([[(c >> (2 * i)) & 3 for i in range(4)] for c in range(256)], np.uint8)
 #: For each control byte, which of the bytes of its four values are stored.
 _STORED = np.arange(4) <= _CODES[:, :, None]
@@ -49,13 +51,17 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1, 4).view("<u4").ravel()[:n]
 
 
-def pack_chunk(documents: list[np.ndarray]) -> tuple[bytes, bytes, bytes]:
-    """Rank table, control and data bytes of a chunk."""
+def ranking(counts: np.ndarray) -> np.ndarray:
+    """The ids that occur by frequency, ties by id."""
+    return np.argsort(-counts, kind="stable")[: int((counts > 0).sum())]
+
+
+def pack_chunk(documents: list[np.ndarray], ranked: np.ndarray | None = None) -> tuple[bytes, bytes, bytes]:
+    """Rank table, control and data bytes of a chunk; by its own ranks if none are given."""
     ids = np.concatenate(documents)
-    counts = np.bincount(ids)
-    # By frequency, ties by id.
-    ranked = np.argsort(-counts, kind="stable")[: int((counts > 0).sum())]
-    rank = np.zeros(len(counts), np.uint32)
+    if ranked is None:
+        ranked = ranking(np.bincount(ids))
+    rank = np.zeros(int(ranked.max()) + 1, np.uint32)
     rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
     return ranked.astype("<u4").tobytes(), *encode(rank[ids])
 
@@ -66,9 +72,43 @@ def unpack_chunk(ranked: bytes, control: bytes, data: bytes, counts: np.ndarray)
     return np.split(ids, np.cumsum(counts)[:-1])
 
 
+def _counted(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """``doc_id, place, ids`` of every row, ``ids`` as little-endian 16-bit, and rows with the ``counts`` of the ids of each task."""
+    kind = pa.list_(pa.int64())
+    names = ["doc_id", "place", "ids", "counts"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer)
+        counts = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            out = [np.append(ids, np.uint16(end_id)) for ids in coder.encode_batch(batch.column("text"))]
+            if out:
+                counts += np.bincount(np.concatenate(out), minlength=len(counts))
+            raw = pa.array([o.astype("<u2").tobytes() for o in out], pa.binary())
+            columns = [batch.column("doc_id"), batch.column("place"), raw, pa.nulls(len(out), kind)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        none = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], kind)]
+        yield pa.RecordBatch.from_arrays(none, names)
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("place"), "text")
+    return rows.mapInArrow(scan, "doc_id bigint, place bigint, ids binary, counts array<bigint>")
+
+
 def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 0, chunk_ids: int = 1 << 20) -> None:
     """Write the ids of ``docs`` (``doc_id, text``) below ``path``."""
     tokenizer = tokenizer or default_path()
+    staged = scratch_path(docs.sparkSession, "token-ids")
+    counted = _counted(docs, tokenizer, end_id)
+    counted.write.option("compression", "zstd").parquet(staged)
+    rows = docs.sparkSession.read.schema(counted.schema).parquet(staged)
+    # One number for each id of the vocabulary.
+    per_id = rows.filter("counts IS NOT NULL").select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col").alias("n"))
+    counts = np.zeros(1 << 16, np.int64)
+    for r in per_id.filter("n > 0").collect():
+        counts[r["pos"]] = r["n"]
+    ranked = ranking(counts)
+    ranks = [(rank, int(i), int(counts[i])) for rank, i in enumerate(ranked)]
+    docs.sparkSession.createDataFrame(ranks, RANKS).coalesce(1).write.parquet(f"{path}/ranks")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -78,15 +118,14 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            ranked, control, data = pack_chunk(held)
-            row = [[part], [chunk], [size], [ranked], [doc_ids], [[len(h) for h in held]], [control], [data]]
+            _, control, data = pack_chunk(held, ranked)
+            row = [[part], [chunk], [size], [doc_ids], [[len(h) for h in held]], [control], [data]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, _ARROW.types)], schema=_ARROW)
 
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            for name, ids in zip(names, encoder(tokenizer).encode_batch(batch.column("text"))):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 doc_ids.append(name)
-                held.append(np.append(ids, np.uint16(end_id)))
+                held.append(np.frombuffer(ids.as_py(), "<u2"))
                 size += len(held[-1])
                 if size >= chunk_ids:
                     yield flush()
@@ -94,14 +133,14 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         if held:
             yield flush()
 
-    order = ["doc_id", F.xxhash64("text")]
-    ranged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(*order)
+    order = ["doc_id", "place"]
+    ranged = rows.filter("ids IS NOT NULL").select("doc_id", "place", "ids").repartitionByRange(*order)
     # Chunks hardly compress further.
-    ranged.sortWithinPartitions(*order).mapInArrow(pack, SCHEMA).write.option("compression", "uncompressed").parquet(path)
+    ranged.sortWithinPartitions(*order).mapInArrow(pack, SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/chunks")
 
 
 _ARROW = pa.schema(
-    [("part", pa.int64()), ("chunk", pa.int64()), ("n_ids", pa.int64()), ("ranked", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+    [("part", pa.int64()), ("chunk", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
      ("counts", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]
 )
 
@@ -111,7 +150,10 @@ def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
 
     ``start`` counts the ids of all documents before it; ``ids_crc32`` is of the ids as little-endian 32-bit integers.
     """
-    files = spark.read.schema(SCHEMA).parquet(path)
+    files = spark.read.schema(SCHEMA).parquet(f"{path}/chunks")
+    # At most the vocabulary.
+    stored = spark.read.schema(RANKS).parquet(f"{path}/ranks").orderBy("rank").collect()
+    ranked = np.array([r["id"] for r in stored], "<u4").tobytes()
     sizes = files.groupBy("part", "chunk").agg(F.sum("n_ids").alias("n"))
     # One row for each part: a part is a partition of the writing job.
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n")).select(
@@ -126,7 +168,7 @@ def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFr
         for batch in batches:
             for r in batch.to_pylist():
                 counts = np.array(r["counts"], np.int64)
-                documents = unpack_chunk(r["ranked"], r["control"], r["data"], counts)
+                documents = unpack_chunk(ranked, r["control"], r["data"], counts)
                 columns = {
                     "part": pa.array([r["part"]] * len(counts), pa.int64()),
                     "chunk": pa.array([r["chunk"]] * len(counts), pa.int64()),

@@ -145,3 +145,15 @@ def test_neighbours_by_light_terms_and_by_whole_windows():
             if length < 64:
                 groups.setdefault(sequence, []).append(d % 5)
         assert {(len(g), len(set(g))) for g in groups.values()} == {(each, 1)}
+
+
+def test_one_ranking_for_all_chunks(spark, make, library, tmp_path):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    path = str(tmp_path / "files")
+    token_files.write_files(make(rows), path, chunk_ids=5)
+    counts = np.bincount([i for _, t in rows for i in [*library(t), 0]])
+    expected = sorted(((-n, i) for i, n in enumerate(counts.tolist()) if n))
+    ranks = spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()
+    assert [(r["rank"], r["id"], r["n"]) for r in ranks] == [(k, i, -n) for k, (n, i) in enumerate(expected)]
+    chunks = spark.read.parquet(f"{path}/chunks")
+    assert chunks.count() > 1 and "ranked" not in chunks.columns
