@@ -10,7 +10,8 @@ the same bucket at the same place, so
 1. every document sends the hashes of its buckets, once each, to be counted; a hash that only one document
    has cannot be part of a repeated window, and its windows are settled;
 2. for the other buckets the text of the run goes to the task that owns the bucket, where all windows of a
-   bucket meet and are told apart by their units (``classify``, the operator's own method);
+   bucket meet and are told apart by their units (``classify``, the operator's own method). A bucket with very
+   many runs is split: its windows go, each by itself, to the task that owns the hash of the whole window;
 3. what repeats goes back to its document, where covered units are removed.
 
 Hashes only choose what is compared; the comparison is of the units themselves. Copies met in one task are
@@ -38,6 +39,10 @@ STEP = 1 << 20
 FLUSH_HASHES = 1 << 21
 FLUSH_BYTES = 16 << 20
 FLUSH_RUNS = 32 << 20
+#: Runs of a bucket from which its windows are dealt out by their own hash.
+HOT_RUNS = 1 << 14
+#: Bytes of text for which there is a part at least.
+PART_BYTES = 32 << 20
 #: The order of a document without an identifier: after all others.
 NO_ID = (1 << 63) - 1
 _PLACE = np.uint64((1 << 24) - 1)
@@ -45,7 +50,7 @@ _RESIDUE = np.uint64((1 << 40) - 1)
 ROW = "kind int, key int, block binary"
 _ROW = pa.schema([("kind", pa.int32()), ("key", pa.int32()), ("block", pa.binary())])
 # What a row holds.
-HASHES, VERDICT, TEXTS, RUNS, RESULT = range(5)
+HASHES, VERDICT, TEXTS, RUNS, RESULT, HOT = range(6)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -223,6 +228,8 @@ def _send_hashes(units: Units, parts: int) -> Callable:
         hashes, docs = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((docs, hashes))
         hashes, docs = hashes[order], docs[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+        often = np.diff(np.append(first, len(hashes))).astype(np.uint32)
         once = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1])])[: len(hashes)]
         hashes, docs = hashes[once], docs[once]
         shared = _shared(hashes, docs, np.zeros(len(hashes), bool))
@@ -233,10 +240,10 @@ def _send_hashes(units: Units, parts: int) -> Callable:
         again = np.concatenate([[False], hashes[1:] == hashes[:-1]])[: len(hashes)]
         hashes, docs, shared = hashes[~again], docs[~again], shared[~again]
         order = np.argsort(docs, kind="stable")
-        hashes, docs, shared = hashes[order], docs[order], shared[order]
-        for bucket, h, d, s in _split(_bucket_of(hashes, parts), hashes, docs, shared):
+        hashes, docs, shared, often = hashes[order], docs[order], shared[order], often[order]
+        for bucket, h, d, s, n in _split(_bucket_of(hashes, parts), hashes, docs, shared, often):
             residue = (h & _RESIDUE).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].copy()
-            rows.append((HASHES, bucket, _pack(residue, np.diff(d, prepend=0), np.packbits(s))))
+            rows.append((HASHES, bucket, _pack(residue, np.diff(d, prepend=0), np.packbits(s), n)))
         return _rows(rows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +269,8 @@ def _key(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (_bucket_of(hashes, buckets).astype(np.uint64) << np.uint64(40)) | (hashes & _RESIDUE)
 
 
-def _find_shared(parts: int) -> Callable:
-    """Step 1, buckets: hashes of several documents back to the parts their documents are in."""
+def _find_shared(parts: int, hot_runs: int) -> Callable:
+    """Step 1, buckets: hashes of several documents back to the parts their documents are in; those of many runs to all parts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list[bytes]] = {}
@@ -276,24 +283,34 @@ def _find_shared(parts: int) -> Callable:
                     passed.append((kind, key, block))
             if passed:
                 yield _rows(passed)
+        hot = []
         for bucket, found in blocks.items():
-            hashes, docs, known = [], [], []
+            hashes, docs, known, often = [], [], [], []
             for block in found:
-                residue, delta, shared = _unpack(block)
+                residue, delta, shared, runs = _unpack(block)
                 wide = np.zeros((len(residue), 8), np.uint8)
                 wide[:, :5] = residue
                 hashes.append(wide.view("<u8").ravel())
                 docs.append(np.cumsum(delta))
                 known.append(np.unpackbits(shared, count=len(residue)).astype(bool))
-            hashes, docs, known = (np.concatenate(c) for c in (hashes, docs, known))
+                often.append(runs.astype(np.int64))
+            hashes, docs, known, often = (np.concatenate(c) for c in (hashes, docs, known, often))
             order = np.lexsort((docs, hashes))
-            hashes, docs, known = hashes[order], docs[order], known[order]
-            wanted = _shared(hashes, docs, known) & ~known
+            hashes, docs, known, often = hashes[order], docs[order], known[order], often[order]
+            shared = _shared(hashes, docs, known)
+            first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+            many = first[shared[first] & (np.add.reduceat(often, first) >= hot_runs)]
+            hot.append(hashes[many] | (np.uint64(bucket) << np.uint64(40)))
+            wanted = shared & ~known
             # One answer for each part.
             keys = hashes[wanted] | (np.uint64(bucket) << np.uint64(40))
             rows = [(VERDICT, part, _pack(np.unique(k))) for part, k in _split(_part_of(docs[wanted], parts), keys)]
             if rows:
                 yield _rows(rows)
+        # There are at most as many of them as runs / ``hot_runs``, which is no less than the parts.
+        if sum(map(len, hot)):
+            block = _pack(np.concatenate(hot))
+            yield _rows([(HOT, part, block) for part in range(parts)])
 
     return scan
 
@@ -330,11 +347,13 @@ def _send_runs(units: Units, parts: int) -> Callable:
     """Step 2, documents: the runs of shared hashes to their buckets, each text once; its copies are settled."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, blocks = [], []
+        wanted, blocks, hot = [], [], set()
         for batch in batches:
             for kind, block in zip(batch.column("kind").to_pylist(), batch.column("block")):
                 if kind == VERDICT:
                     wanted.append(_unpack(block.as_py())[0])
+                elif kind == HOT:
+                    hot.update(_unpack(block.as_py())[0].tolist())
                 else:
                     blocks.append(block.as_py())
         if not wanted:
@@ -364,22 +383,36 @@ def _send_runs(units: Units, parts: int) -> Callable:
                     else:
                         rows.append((*names[owners[p]], int(begins[p]) + first, n))
                 if size >= FLUSH_RUNS:
-                    yield from _flush_runs(held, parts)
+                    yield from _flush_runs(units, held, parts, hot)
                     held, size = {}, 0
         if held:
-            yield from _flush_runs(held, parts)
+            yield from _flush_runs(units, held, parts, hot)
 
     return scan
 
 
-def _flush_runs(held: dict[tuple[int, int, bytes], list], parts: int) -> Iterator[pa.RecordBatch]:
+def _flush_runs(units: Units, held: dict[tuple[int, int, bytes], list], parts: int, hot: set[int]) -> Iterator[pa.RecordBatch]:
     settled, buckets = [], {}
+    alone: dict[bytes, list] = {}
     for (key, place, text), rows in held.items():
         rows.sort()
         least = rows[0][0]
         # The first row speaks for rows of the same document, which may be a passage it repeats or a repeated row.
         settled.extend(r for r in rows if r[0] > least)
-        buckets.setdefault(key >> 40, []).append((key, place, text, [r for r in rows if r[0] == least]))
+        rows = [r for r in rows if r[0] == least]
+        if key not in hot:
+            buckets.setdefault(key >> 40, []).append((key, place, text, rows))
+            continue
+        run, _ = units.units(text)
+        for i in range(rows[0][3]):
+            window = units.piece(run, i, i + units.window)
+            alone.setdefault(window, []).extend((doc, name, first + i, 1) for doc, name, first, _ in rows)
+    keys = _key(np.array([_text_id(window) for window in alone], np.uint64), parts).tolist()
+    for key, (window, rows) in zip(keys, alone.items()):
+        rows.sort()
+        least = rows[0][0]
+        settled.extend(r for r in rows if r[0] > least)
+        buckets.setdefault(key >> 40, []).append((key, 0, window, [r for r in rows if r[0] == least]))
     yield from _results(settled, parts)
     out = []
     for bucket, entries in buckets.items():
@@ -529,7 +562,11 @@ def remove_repeats(docs: DataFrame, units: Units, classify: Callable, with_text:
     ``classify(texts, counts, window)`` gives a class to each of the ``counts`` windows of each text, equal for
     equal windows only.
     """
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(
+        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism,
+        -(-size // PART_BYTES),
+    )
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), "text")
 
     def to_key(*frames: DataFrame) -> DataFrame:
@@ -539,7 +576,7 @@ def remove_repeats(docs: DataFrame, units: Units, classify: Callable, with_text:
         return joined.repartition(parts, "key")
 
     texts = rows.mapInArrow(_send_texts(parts), ROW)
-    verdicts = to_key(rows.mapInArrow(_send_hashes(units, parts), ROW)).mapInArrow(_find_shared(parts), ROW)
+    verdicts = to_key(rows.mapInArrow(_send_hashes(units, parts), ROW)).mapInArrow(_find_shared(parts, max(HOT_RUNS, parts)), ROW)
     runs = to_key(verdicts, texts).mapInArrow(_send_runs(units, parts), ROW)
     results = to_key(runs).mapInArrow(_settle_runs(units, classify, parts), ROW)
     schema = "doc_id bigint, n_units bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablerich.llm import repeats, substrings, suffix_array
@@ -149,3 +150,41 @@ def test_prefix_groups_fit_and_are_whole():
     groups = list(substrings.prefix_groups(words, starts, 13, 40))
     assert sorted(np.concatenate(groups).tolist()) == list(range(480))
     assert max(map(len, groups)) <= 40
+
+
+def widest_bucket(units, rows, parts, hot_runs):
+    """The most texts of one key that step 2 sends to a task."""
+    batch = pa.RecordBatch.from_pydict({"doc": [d for d, _ in rows], "text": [t for _, t in rows]})
+    sent = lambda step, *given: [r for b in step(iter(given)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    verdicts = sent(repeats._find_shared(parts, hot_runs), repeats._rows(sent(repeats._send_hashes(units, parts), batch)))
+    blocks = verdicts + sent(repeats._send_texts(parts), batch)
+    found = {}
+    for part in range(parts):
+        own = [r for r in blocks if r[1] == part]
+        for kind, _, block in sent(repeats._send_runs(units, parts), repeats._rows(own)):
+            if kind == repeats.RUNS:
+                for key, *_ in repeats._unpack_runs(block):
+                    found[key] = found.get(key, 0) + 1
+    return max(found.values())
+
+
+def common_line(n):
+    rng = random.Random(8)
+    line = "licensed under the terms of a licence that everyone copies word by word into every file"
+    around = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(15))
+    return [(d, f"{around()} {line} {around()}") for d in range(n)]
+
+
+@pytest.mark.parametrize("units", [repeats.Bytes(50, 24), repeats.Words(13, 5)])
+def test_a_common_line_with_different_surroundings_is_split(units):
+    assert widest_bucket(units, common_line(400), 4, 50) <= 50
+
+
+def test_split_buckets_against_brute_force(make, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_RUNS", 4)
+    monkeypatch.setattr(repeats, "PART_BYTES", 2000)
+    for rows in (texts(3), common_line(60) + [(None, common_line(1)[0][1])]):
+        found = suffix_array.suffix_array_dedup(make(rows))
+        assert collected(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 50)
+        found = substrings.substring_dedup(make(rows))
+        assert collected(found, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, 13)
