@@ -27,8 +27,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 #: Shrunk failure rate above which a host is rejected.
 LIMIT = 0.5
-#: Prior strength, in documents, when hosts differ by no more than chance.
-STRONGEST = 1e6
+#: Least and greatest strength of the prior, in documents: no host is rejected for one document, and hosts that differ by no more
+#: than chance share one rate.
+WEAKEST, STRONGEST = 2.0, 1e6
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -106,14 +107,14 @@ def host_verdicts(figures: DataFrame, rules: dict[str, str] = RULES, limit: floa
 def prior(hosts: int, n: float, nn: float, k: float, q: float) -> tuple[float, float]:
     """Mean and strength of the beta prior from sums over hosts: documents, their squares, failures, failures² / documents."""
     if not n:
-        return 0.0, 1.0
+        return 0.0, WEAKEST
     mean = k / n
     chance = mean * (1 - mean)
     room = n - nn / n - (hosts - 1)
     if chance <= 0 or room <= 0:
-        return mean, 1.0
+        return mean, WEAKEST
     alike = ((q - k * k / n) / chance - (hosts - 1)) / room
-    return mean, STRONGEST if alike <= 1 / (STRONGEST + 1) else max(1 / alike - 1, 1e-6)
+    return mean, STRONGEST if alike <= 1 / (STRONGEST + 1) else max(1 / alike - 1, WEAKEST)
 
 
 def judged(docs: DataFrame, rules: dict[str, str] = RULES, base: tuple[str, ...] = BASE, limit: float = LIMIT) -> DataFrame:
@@ -131,8 +132,8 @@ def judged(docs: DataFrame, rules: dict[str, str] = RULES, base: tuple[str, ...]
 
 _RATE = """
   SELECT source, max((k + mean * strength) / (n + strength)) > 0.5 AS rejected FROM (
-    SELECT source, n, k, mean, CASE WHEN mean * (1 - mean) <= 0 OR room <= 0 THEN 1.0
-      WHEN alike <= 1.0 / 1000001 THEN 1e6 ELSE greatest(1 / alike - 1, 1e-6) END AS strength
+    SELECT source, n, k, mean, CASE WHEN mean * (1 - mean) <= 0 OR room <= 0 THEN 2.0
+      WHEN alike <= 1.0 / 1000001 THEN 1e6 ELSE greatest(1 / alike - 1, 2.0) END AS strength
     FROM (SELECT *, CASE WHEN mean * (1 - mean) > 0 AND room > 0
         THEN ((q - kk * kk / nn) / (mean * (1 - mean)) - (m - 1)) / room END AS alike
       FROM (SELECT source, n, k, rule, sum(k) OVER r / sum(n) OVER r AS mean, count(*) OVER r AS m,

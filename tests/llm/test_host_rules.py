@@ -63,9 +63,9 @@ def test_prior_recovers_a_beta():
     alike = rng.binomial(n, 0.25)
     sums = (len(n), float(n.sum()), float((n * n).sum()), float(alike.sum()), float((alike * alike / n).sum()))
     assert host_rules.prior(*sums)[1] > 300
-    assert host_rules.prior(0, 0.0, 0.0, 0.0, 0.0) == (0.0, 1.0)
-    assert host_rules.prior(1, 10.0, 100.0, 5.0, 2.5) == (0.5, 1.0)
-    assert host_rules.prior(2, 10.0, 52.0, 0.0, 0.0) == (0.0, 1.0)
+    assert host_rules.prior(0, 0.0, 0.0, 0.0, 0.0) == (0.0, 2.0)
+    assert host_rules.prior(1, 10.0, 100.0, 5.0, 2.5) == (0.5, 2.0)
+    assert host_rules.prior(2, 10.0, 52.0, 0.0, 0.0) == (0.0, 2.0)
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, GOOD), (None, GOOD)]])
