@@ -82,7 +82,7 @@ def _equal(a: pa.Array, b: pa.Array) -> pa.Array:
     return pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
 
 
-def _same_key(batch: pa.RecordBatch, last: pa.RecordBatch | None, keys: Sequence[str]) -> pa.Array:
+def same_key(batch: pa.RecordBatch, last: pa.RecordBatch | None, keys: Sequence[str]) -> pa.Array:
     """Whether each row has the key of the row before it."""
     same = None
     for k in keys:
@@ -113,7 +113,7 @@ def running_totals(df: DataFrame, key: Sequence[str], order: Sequence[str], valu
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            same = _same_key(batch, last, keys).to_numpy(zero_copy_only=False)
+            same = same_key(batch, last, keys).to_numpy(zero_copy_only=False)
             run = (~same).cumsum()
             out = batch
             for v in sums:
@@ -170,7 +170,7 @@ def with_previous(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            same = _same_key(batch, last, [key])
+            same = same_key(batch, last, [key])
             now, before = batch.column(state), _before(batch, last, state)
             previous = pc.if_else(same, before, pa.nulls(len(before), before.type))
             first = pc.invert(same)
