@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablerich.llm import chat, exact, host_rules, mixing, packing, pivots, quality, simhash, substrings, suffix_array, token_files  # noqa: F401
+from tablerich.llm import chat, collocations, exact, host_rules, mixing, packing, pivots, quality, repair, simhash, substrings, suffix_array, token_files  # noqa: F401
 from tablerich.llm.common import ORACLE, QUERIES, Query
 
 
