@@ -11,9 +11,10 @@ a variant by at most one flip are within 2 of each other, and any that reach it
 those; so each is tied to the smallest of the former, checked, and no pairs within a group are built.
 A group holds at most 1 + 64 + 2016 distinct fingerprints, whatever the data.
 
-Balls are large, so a first pass leaves out fingerprints that have no partner: of two linked ones, a half of
-32 bits differs in at most one bit, so a fingerprint stays if another one's half, or a variant of it with one
-flip, equals its own. The pass is exact in one direction (it never drops one that has a link).
+Balls are large, so a first pass leaves out fingerprints that have no partner: two linked ones differ in at most
+three of six blocks of bits, so a fingerprint stays if it agrees with another one on some three of them (20 keys of
+about 32 bits). The pass never drops one that has a link. Fingerprints are dealt out by their number before either
+step, as a few megabytes of them become very many rows.
 
 Null texts are empty. Rows with the same ``doc_id`` are one document in the graph and each has its own
 fingerprint; a null ``doc_id`` counts as larger than any. Empty tables give no rows; extra columns are ignored.
@@ -21,12 +22,13 @@ fingerprint; a null ``doc_id`` counts as larger than any. Empty tables give no r
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablerich.llm.common import query, table
 from tablerich.llm.components import connected_components
@@ -69,36 +71,48 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp bigint")
 
 
-def _bits(n: int) -> list[int]:
-    return [1 << b if b < 63 else -(1 << 63) for b in range(n)]
+#: Fingerprints of two that link agree on three of these six blocks of bits at least.
+BLOCKS = (11, 11, 11, 11, 10, 10)
+#: Rows a task makes of the fingerprints it is dealt.
+TASK_ROWS = 1 << 20
 
 
-def _partnered(distinct: DataFrame) -> DataFrame:
-    """Fingerprints whose 32-bit half is within one bit of another's."""
-    halves = F.array(F.struct(F.lit(0).alias("side"), F.col("fp").bitwiseAND(0xFFFFFFFF).alias("half")),
-                     F.struct(F.lit(1).alias("side"), F.shiftrightunsigned("fp", 32).alias("half")))
-    own = distinct.select("fp", F.inline(halves))
-    flips = F.array(*[F.lit(x) for x in [0, *_bits(32)]])
-    near = own.select("fp", "side", "half", F.explode(flips).alias("flip")).select(
-        "fp", "side", F.col("half").bitwiseXOR(F.col("flip")).alias("half")
-    )
-    met = near.groupBy("side", "half").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b")
-    met = cut_lineage(met.select(F.col("side").alias("s"), F.col("half").alias("h")), "halves")
-    return own.join(met, (F.col("side") == F.col("s")) & (F.col("half") == F.col("h")), "left_semi").select("fp").distinct()
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _variants(fps: DataFrame) -> DataFrame:
-    """``variant, fp, flips`` for the ball of every fingerprint."""
-    ones = _bits(64)
-    one = F.transform(F.array(*[F.lit(x) for x in ones]), lambda x: F.struct(x.alias("mask"), F.lit(1).alias("flips")))
-    two = np.array([a ^ b for i, a in enumerate(ones) for b in ones[i + 1 :]], np.int64)
+def _masks(masks: list[int]) -> Column:
+    return F.expr(f"array({', '.join(f'{_signed(m)}L' for m in masks)})")
+
+
+def _dealt(fps: DataFrame, rows: int, each: int) -> DataFrame:
+    """Fingerprints over as many tasks as the ``each`` rows they will make ask for: by bytes, Spark would take one."""
     spark = fps.sparkSession
-    masks = [(int(x), 2) for x in two]
-    # 2016 masks, a constant of the method.
-    pairs = spark.createDataFrame(masks, "mask bigint, flips int").agg(F.collect_list(F.struct("mask", "flips")).alias("two"))
-    near = fps.select("fp", F.inline(F.concat(F.array(F.struct(F.lit(0).cast("bigint").alias("mask"), F.lit(0).alias("flips"))), one)))
-    even = fps.filter(F.bit_count("fp") % 2 == 0)
-    far = even.crossJoin(F.broadcast(pairs)).select("fp", F.inline("two"))
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return fps.repartition(max(least, -(-rows * each // TASK_ROWS)), "fp")
+
+
+def _partnered(distinct: DataFrame) -> DataFrame:
+    """Fingerprints that agree with another one on three blocks."""
+    ends = np.cumsum(BLOCKS).tolist()
+    blocks = [((1 << n) - 1) << (end - n) for end, n in zip(ends, BLOCKS)]
+    masks = [a | b | c for a, b, c in itertools.combinations(blocks, 3)]
+    dealt = _dealt(distinct, distinct.count(), len(masks))
+    keys = dealt.select("fp", F.posexplode(_masks(masks)).alias("mask", "bits"))
+    keys = keys.select("fp", "mask", F.col("fp").bitwiseAND(F.col("bits")).alias("key"))
+    met = keys.groupBy("mask", "key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b")
+    met = cut_lineage(met.select(F.col("mask").alias("m"), F.col("key").alias("k")), "blocks")
+    return keys.join(met, (F.col("mask") == F.col("m")) & (F.col("key") == F.col("k")), "left_semi").select("fp").distinct()
+
+
+def _variants(fps: DataFrame, rows: int) -> DataFrame:
+    """``variant, fp, flips`` for the ball of every fingerprint."""
+    ones = [1 << b for b in range(64)]
+    pairs = [a | b for a, b in itertools.combinations(ones, 2)]
+    dealt = _dealt(fps, rows, 1 + len(ones) + len(pairs) // 2)
+    near = dealt.select("fp", F.explode(_masks([0, *ones])).alias("mask")).withColumn("flips", F.when(F.col("mask") == 0, 0).otherwise(1))
+    even = dealt.filter(F.bit_count("fp") % 2 == 0)
+    far = even.select("fp", F.explode(_masks(pairs)).alias("mask")).withColumn("flips", F.lit(2))
     return near.unionByName(far).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "fp", "flips")
 
 
@@ -109,15 +123,15 @@ def distance(a: Column, b: Column) -> Column:
 def linked(distinct: DataFrame) -> DataFrame:
     """Links ``(a, b)`` of fingerprints that connect all within ``RADIUS`` of each other."""
     fps = cut_lineage(_partnered(distinct), "partnered")
-    ball = _variants(fps)
+    ball = _variants(fps, fps.count())
     group = Window.partitionBy("variant")
     centre = F.min(F.when(F.col("flips") < 2, F.col("fp"))).over(group)
     met = ball.withColumn("centre", centre).filter("centre IS NOT NULL AND fp != centre")
     return met.select(F.col("centre").alias("a"), F.col("fp").alias("b")).distinct().filter(distance(F.col("a"), F.col("b")) <= RADIUS)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, fp, component_id`` (the smallest ``doc_id`` reachable, null if none is)."""
+def components(docs: DataFrame, shingle: int = 3) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every row, and ``fp, component, component_id`` of every fingerprint; ``component`` is the least of its fingerprints."""
     rows = cut_lineage(fingerprints(docs, shingle), "fingerprints")
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     # Fingerprints are the nodes: one that only rows without a doc_id have still links others.
@@ -130,24 +144,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     member = nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     member = cut_lineage(member, "members")
     names = cut_lineage(member.groupBy("component").agg(F.min("least").alias("component_id")), "names")
-    reach = member.join(names, "component").select("fp", "component_id")
-    reach = cut_lineage(reach, "reach")
+    return rows, cut_lineage(member.join(names, "component").select("fp", "component", "component_id"), "reach")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id, fp, component_id`` (the smallest ``doc_id`` reachable, null if none is)."""
+    rows, reach = components(docs, shingle)
     return rows.join(reach, "fp").select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One document of each component stays, the one that names it, with all its columns; of its rows the one of the smallest text.
+    """One document of each component stays, with all its columns.
 
-    Rows without a ``doc_id`` have no name and stay.
+    It is the one that names the component; of its rows the one of the smallest text. Of a component that only rows
+    without a ``doc_id`` are in, the row of the smallest fingerprint and text stays.
     """
-    kept = near_duplicates(docs, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    rows, reach = components(docs, shingle)
+    kept = rows.join(reach, "fp").filter("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
     kept = cut_lineage(kept, "representatives")
-    rows = docs.select(
+    whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("words")
     )
-    first = Window.partitionBy("id").orderBy("words")
-    named = rows.join(kept, F.col("id") == F.col("kept"), "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1")
-    return named.select("row.*").unionByName(rows.filter("id IS NULL").select("row.*"))
+    first = F.row_number().over(Window.partitionBy("id").orderBy("words"))
+    named = whole.join(kept, F.col("id") == F.col("kept"), "left_semi").withColumn("n", first).filter("n = 1")
+    return named.select("row.*").unionByName(_unnamed(whole.filter("id IS NULL").select("row", "words"), reach, shingle).select("row.*"))
+
+
+def _unnamed(rows: DataFrame, reach: DataFrame, shingle: int) -> DataFrame:
+    """One row of each component without a name; ``rows`` are ``row, words`` of rows without ``doc_id``."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([fingerprint(t.as_py(), shingle) for t in batch.column("words")], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "mark"])
+
+    marked = rows.mapInArrow(hashed, T.StructType([*rows.schema.fields, T.StructField("mark", T.LongType())]))
+    alone = reach.filter("component_id IS NULL AND fp = component").select(F.col("fp").alias("kept"))
+    first = F.row_number().over(Window.partitionBy("mark").orderBy("words"))
+    return marked.join(alone, F.col("mark") == F.col("kept"), "left_semi").withColumn("n", first).filter("n = 1")
 
 
 @query("op8_simhash_near_dedup")

@@ -93,8 +93,15 @@ def test_documents(make, hard):
     assert found[1] == found[2] == {1}
     assert found[None] == found[7] == {7}
     kept = [r.doc_id for r in simhash.representatives(make(hard)).collect()]
-    assert sorted(d for d in kept if d) == sorted({c for cs in found.values() for c in cs})
-    assert kept.count(None) == 1
+    # The row without a doc_id is a copy of document 7.
+    assert sorted(kept) == sorted({c for cs in found.values() for c in cs})
+
+
+def test_rows_without_identifier_are_deduplicated_too(make):
+    one, two = "some text of a few words that stands alone", "quite another one with different words in it altogether"
+    rows = [(None, one), (None, one), (None, one + "  "), (None, two), (5, two), (None, ""), (None, None)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.representatives(make(rows)).collect()), key=repr)
+    assert got == sorted([(5, two), (None, None), (None, one)], key=repr)
 
 
 def test_repeated_identifiers_are_one_document(make):
