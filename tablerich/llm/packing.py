@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablerich.llm.common import query, table
-from tablerich.llm.tokens import default_path, encoder
+from tablerich.llm.tokens import binaries, default_path, encoder
 from tablerich.session import cut_lineage
 
 WINDOW = 2048
@@ -41,17 +41,15 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         coder = encoder(tokenizer)
         df = np.zeros(max(coder.size, end_id + 1), np.int64)
         for batch in batches:
-            out = []
-            for ids in coder.encode_batch(batch.column("text")):
-                ordered = np.sort(ids, kind="stable")
-                df[ordered[np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1]])]] += 1
-                out.append(np.append(ids, np.uint16(end_id)))
-            df[end_id] += len(out)
-            n = len(out)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([o.tobytes() for o in out], pa.binary()),
-                 pa.array([len(o) for o in out], pa.int64()), pa.nulls(n, schema.field("df").type)], schema=schema,
-            )
+            at = 0
+            for ids, bounds in coder.encode_steps(batch.column("text"), end_id):
+                n = len(bounds) - 1
+                df += _frequencies(ids, bounds, len(df))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, n), binaries(ids, bounds), pa.array(np.diff(bounds)), pa.nulls(n, schema.field("df").type)],
+                    schema=schema,
+                )
+                at += n
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([df], schema.field("df").type)],
             schema=schema,
@@ -61,6 +59,18 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(scan, "doc_id bigint, ids binary, n bigint, df array<bigint>")
 
 
+def _frequencies(ids: np.ndarray, bounds: np.ndarray, size: int) -> np.ndarray:
+    """For each id the number of texts that have it."""
+    found = np.zeros(size, np.int64)
+    for i in range(0, len(bounds) - 1, 1 << 16):
+        some = bounds[i : i + (1 << 16) + 1]
+        text = np.repeat(np.arange(len(some) - 1, dtype=np.uint32), np.diff(some))
+        both = np.sort((text << np.uint32(16)) | ids[some[0] : some[-1]])
+        first = np.append(True, both[1:] != both[:-1])[: len(both)]
+        found += np.bincount(both[first] & np.uint32(0xFFFF), minlength=size)
+    return found
+
+
 class Index:
     """A BM25 index over some runs of token ids, asked with all terms of one of them.
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tablerich.llm.common import query, table
-from tablerich.llm.tokens import default_path, encoder
+from tablerich.llm.tokens import binaries, default_path, encoder
 from tablerich.session import scratch_path
 
 SCHEMA = (
@@ -81,12 +81,13 @@ def _counted(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         coder = encoder(tokenizer)
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            out = [np.append(ids, np.uint16(end_id)) for ids in coder.encode_batch(batch.column("text"))]
-            if out:
-                counts += np.bincount(np.concatenate(out), minlength=len(counts))
-            raw = pa.array([o.astype("<u2").tobytes() for o in out], pa.binary())
-            columns = [batch.column("doc_id"), batch.column("place"), raw, pa.nulls(len(out), kind)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            at = 0
+            for ids, bounds in coder.encode_steps(batch.column("text"), end_id):
+                n = len(bounds) - 1
+                counts += np.bincount(ids, minlength=len(counts))
+                columns = [batch.column(c).slice(at, n) for c in ("doc_id", "place")]
+                yield pa.RecordBatch.from_arrays([*columns, binaries(ids, bounds), pa.nulls(n, kind)], names)
+                at += n
         none = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts], kind)]
         yield pa.RecordBatch.from_arrays(none, names)
 
