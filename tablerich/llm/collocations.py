@@ -45,6 +45,8 @@ MOST = 2000
 BUCKETS = (1 << 23, 1 << 25)
 #: Buckets in a row of counts.
 BLOCK = 1 << 12
+#: Rows of phrases that a task adds up before it sends them.
+HELD = 1 << 20
 #: Bytes of text that are taken apart at once; a piece is never cut.
 STEP = 1 << 22
 
@@ -237,6 +239,12 @@ def _step_grams(words: _Words, bits: np.ndarray, names: dict[str, int], buckets:
             yield lang[rows], pc.binary_join_element_wise(*[texts.take(pa.array(c[rows])) for c in columns[:k]], " "), k, counts[rows]
 
 
+def _added(parts: list[pa.Table]) -> pa.Table:
+    """Equal phrases as one row."""
+    summed = pa.concat_tables(parts).group_by(["lang", "k", "gram"], use_threads=False).aggregate([("c", "sum")])
+    return summed.rename_columns({"c_sum": "c"}).select(["lang", "k", "gram", "c"])
+
+
 def edges(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] = BUCKETS, step: int = STEP) -> DataFrame:
     """``lang, k, gram, c``: edges (``k`` = 5), the ends of pieces (1 to 4), and the number of words of a language (0)."""
     bits = docs.sparkSession.sparkContext.broadcast(busy_buckets(docs, least, buckets, step))
@@ -244,17 +252,25 @@ def edges(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] = BUCKET
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
 
-        def batch(lang, gram, k, c):
+        def part(lang, gram, k, c):
             named = pa.array(list(names)).take(pa.array(lang))
-            return pa.RecordBatch.from_arrays([named, pa.array(np.full(len(c), k, np.int32)), gram, pa.array(c.astype(np.int64))], ["lang", "k", "gram", "c"])
+            return pa.Table.from_arrays([named, pa.array(np.full(len(c), k, np.int32)), gram, pa.array(c.astype(np.int64))], ["lang", "k", "gram", "c"])
 
+        held: list[pa.Table] = []
         for data, begins, langs in _steps(batches, step):
             words = _Words(data, begins, langs, names)
             if len(words.start):
                 lang, c = np.unique(words.lang, return_counts=True)
-                yield batch(lang, pa.array([""] * len(lang)), 0, c)
-                for found in _step_grams(words, bits.value, names, buckets):
-                    yield batch(*found)
+                held.append(part(lang, pa.array([""] * len(lang)), 0, c))
+                held += [part(*found) for found in _step_grams(words, bits.value, names, buckets)]
+            if sum(t.num_rows for t in held) >= HELD:
+                summed = _added(held)
+                held = [summed]
+                if summed.num_rows > HELD // 2:
+                    yield from summed.to_batches(1 << 16)
+                    held = []
+        if held:
+            yield from _added(held).to_batches(1 << 16)
 
     found = _read(docs).mapInArrow(grams, "lang string, k int, gram string, c bigint")
     return found.groupBy("lang", "k", "gram").agg(F.sum("c").alias("c"))
