@@ -38,7 +38,10 @@ STEP = 1 << 20
 #: Hashes, and bytes of text, that a task holds before it sends them.
 FLUSH_HASHES = 1 << 21
 FLUSH_BYTES = 16 << 20
-FLUSH_RUNS = 32 << 20
+FLUSH_RUNS = 64 << 20
+#: Bytes a run takes besides its text, and bytes of single windows at once.
+RUN_BYTES = 120
+WINDOWS = 16 << 20
 #: Runs of a bucket from which its windows are dealt out by their own hash.
 HOT_RUNS = 1 << 14
 #: Bytes of text for which there is a part at least.
@@ -84,8 +87,12 @@ class Bytes:
     def units(self, raw: bytes) -> tuple[bytes, int]:
         return raw, len(raw)
 
-    def piece(self, units: bytes, a: int, b: int) -> bytes:
-        return units[a:b]
+    def runs(self, pieces: list[bytes], piece: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        """The texts of units ``a`` to ``b`` of these pieces."""
+        return [pieces[p][i:j] for p, i, j in zip(piece.tolist(), a.tolist(), b.tolist())]
+
+    def windows(self, text: bytes, n: int) -> list[bytes]:
+        return [text[i : i + self.window] for i in range(n)]
 
     def buckets(self, pieces: list[bytes]) -> np.ndarray:
         """Hashes of the bucket that begins at each unit of the pieces in a row; those that cross a piece are void."""
@@ -115,8 +122,20 @@ class Words:
         words = raw.split()
         return words, len(words)
 
-    def piece(self, units: list[bytes], a: int, b: int) -> bytes:
-        return b" ".join(units[a:b])
+    def runs(self, pieces: list[list[bytes]], piece: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        """The texts of units ``a`` to ``b`` of these pieces."""
+        out: list[bytes] = []
+        cuts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1])[: len(piece)])
+        for i, j in zip(cuts.tolist(), np.append(cuts[1:], len(piece)).tolist()):
+            words = pieces[int(piece[i])]
+            raw = b" ".join(words)
+            at = np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1))
+            out += [raw[x:y] for x, y in zip(at[a[i:j]].tolist(), (at[b[i:j]] - 1).tolist())]
+        return out
+
+    def windows(self, text: bytes, n: int) -> list[bytes]:
+        words = text.split(b" ")
+        return [b" ".join(words[i : i + self.window]) for i in range(n)]
 
     def buckets(self, pieces: list[list[bytes]]) -> np.ndarray:
         digest = xxhash.xxh3_64_intdigest
@@ -343,80 +362,154 @@ def _text_id(raw: bytes) -> int:
     return xxhash.xxh3_64_intdigest(raw)
 
 
+#: What is known of a run: key of its bucket, place of the bucket in the first window, document, id of its text, first window, windows.
+_RUN = {"key": np.uint64, "place": np.int64, "doc": np.int64, "name": np.uint64, "first": np.int64, "windows": np.int64}
+
+
+class Table:
+    """Runs as columns, and the text of each."""
+
+    def __init__(self, columns: dict[str, np.ndarray], texts: list[bytes]):
+        self.columns, self.texts = columns, texts
+
+    @classmethod
+    def joined(cls, tables: list[Table]) -> Table:
+        columns = {c: np.concatenate([t.columns[c] for t in tables]) for c in _RUN}
+        return cls(columns, [text for t in tables for text in t.texts])
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return self.columns[name]
+
+    def take(self, rows: np.ndarray) -> Table:
+        return Table({c: v[rows] for c, v in self.columns.items()}, list(map(self.texts.__getitem__, rows.tolist())))
+
+    def results(self, rows: np.ndarray) -> list[np.ndarray]:
+        return [self[c][rows] for c in ("doc", "name", "first", "windows")]
+
+    def grouped(self) -> tuple[Table, np.ndarray]:
+        """Runs of equal key, place and text next to each other, each group by document; and where groups begin."""
+        mark = np.fromiter(map(_text_id, self.texts), np.uint64, len(self))
+        mark = _mix(mark ^ _mix(self["key"] + self["place"].astype(np.uint64)))
+        found = self.take(np.lexsort((self["doc"], mark)))
+        mark = np.sort(mark)
+        same = np.append(False, mark[1:] == mark[:-1])[: len(mark)]
+        at = np.flatnonzero(same)
+        # Texts of one mark are compared; a chance meeting begins a group of its own.
+        equal = np.fromiter((found.texts[i] == found.texts[i - 1] for i in at.tolist()), bool, len(at))
+        for c in ("key", "place"):
+            equal &= found[c][at] == found[c][at - 1]
+        same[at] = equal
+        return found, np.flatnonzero(~same)
+
+    def reduced(self) -> tuple[Table, np.ndarray, list[np.ndarray]]:
+        """Of equal runs those of the first document, where groups begin, and the results of all others."""
+        found, begin = self.grouped()
+        size = np.diff(np.append(begin, len(found)))
+        later = found["doc"] > np.repeat(found["doc"][begin], size)
+        settled = found.results(np.flatnonzero(later))
+        if later.any():
+            number = np.repeat(np.arange(len(begin)), size)[~later]
+            found = found.take(np.flatnonzero(~later))
+            begin = np.searchsorted(number, np.arange(len(begin)))
+        return found, begin, settled
+
+
 def _send_runs(units: Units, parts: int) -> Callable:
     """Step 2, documents: the runs of shared hashes to their buckets, each text once; its copies are settled."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, blocks, hot = [], [], set()
+        wanted, blocks, hot = [], [], [np.zeros(0, np.uint64)]
         for batch in batches:
             for kind, block in zip(batch.column("kind").to_pylist(), batch.column("block")):
                 if kind == VERDICT:
                     wanted.append(_unpack(block.as_py())[0])
                 elif kind == HOT:
-                    hot.update(_unpack(block.as_py())[0].tolist())
+                    hot.append(_unpack(block.as_py())[0])
                 else:
                     blocks.append(block.as_py())
         if not wanted:
             return
-        keys = np.unique(np.concatenate(wanted))
+        keys, hot = np.unique(np.concatenate(wanted)), np.unique(np.concatenate(hot))
         del wanted
-        held: dict[tuple[int, int, bytes], list] = {}
+        held: list[Table] = []
         size = 0
-        for block in blocks:
-            texts = _unpack(block)[0]
+        while blocks:
+            texts = _unpack(blocks.pop())[0]
             documents = [(i, *units.units(raw)) for i, (_, raw) in enumerate(texts)]
-            names = [(doc, _text_id(raw)) for doc, raw in texts]
+            docs = np.array([doc for doc, _ in texts], np.int64)
+            names = np.fromiter((_text_id(raw) for _, raw in texts), np.uint64, len(texts))
             for pieces, owners, sizes, begins in _segments(units, documents):
                 found = runs_of(units, pieces, sizes)
                 key = _key(found.hash, parts)
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 hit = np.flatnonzero(keys[at] == key)
-                for k, p, first, n, place in zip(
-                    key[hit].tolist(), found.piece[hit].tolist(), found.first[hit].tolist(),
-                    found.windows[hit].tolist(), found.place[hit].tolist(),
-                ):
-                    text = units.piece(pieces[p], first, first + n + units.window - 1)
-                    rows = held.get((k, place, text))
-                    if rows is None:
-                        held[k, place, text] = [(*names[owners[p]], int(begins[p]) + first, n)]
-                        size += len(text)
-                    else:
-                        rows.append((*names[owners[p]], int(begins[p]) + first, n))
+                piece, first, windows = found.piece[hit], found.first[hit], found.windows[hit]
+                owner = np.array(owners, np.int64)[piece]
+                columns = {"key": key[hit], "place": found.place[hit], "doc": docs[owner], "name": names[owner], "first": begins[piece] + first, "windows": windows}
+                run = units.runs(pieces, piece, first, first + windows + units.window - 1)
+                held.append(Table(columns, run))
+                size += sum(map(len, run)) + RUN_BYTES * len(run)
                 if size >= FLUSH_RUNS:
-                    yield from _flush_runs(units, held, parts, hot)
-                    held, size = {}, 0
+                    yield from _flush_runs(units, Table.joined(held), parts, hot)
+                    held, size = [], 0
         if held:
-            yield from _flush_runs(units, held, parts, hot)
+            yield from _flush_runs(units, Table.joined(held), parts, hot)
 
     return scan
 
 
-def _flush_runs(units: Units, held: dict[tuple[int, int, bytes], list], parts: int, hot: set[int]) -> Iterator[pa.RecordBatch]:
-    settled, buckets = [], {}
-    alone: dict[bytes, list] = {}
-    for (key, place, text), rows in held.items():
-        rows.sort()
-        least = rows[0][0]
-        # The first row speaks for rows of the same document, which may be a passage it repeats or a repeated row.
-        settled.extend(r for r in rows if r[0] > least)
-        rows = [r for r in rows if r[0] == least]
-        if key not in hot:
-            buckets.setdefault(key >> 40, []).append((key, place, text, rows))
-            continue
-        run, _ = units.units(text)
-        for i in range(rows[0][3]):
-            window = units.piece(run, i, i + units.window)
-            alone.setdefault(window, []).extend((doc, name, first + i, 1) for doc, name, first, _ in rows)
-    keys = _key(np.array([_text_id(window) for window in alone], np.uint64), parts).tolist()
-    for key, (window, rows) in zip(keys, alone.items()):
-        rows.sort()
-        least = rows[0][0]
-        settled.extend(r for r in rows if r[0] > least)
-        buckets.setdefault(key >> 40, []).append((key, 0, window, [r for r in rows if r[0] == least]))
+def _flush_runs(units: Units, runs: Table, parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    # The first document speaks for all of its rows: it may repeat a passage, or be a repeated row.
+    runs, begin, settled = runs.reduced()
     yield from _results(settled, parts)
+    split = np.isin(runs["key"], hot)
+    if split.any():
+        whole, runs = runs.take(np.flatnonzero(split)), runs.take(np.flatnonzero(~split))
+        group = np.cumsum(np.isin(np.arange(len(split)), begin))[~split]
+        begin = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+        step = max(1, WINDOWS // units.window)
+        # Windows of hot buckets by themselves, some runs at a time.
+        ends = np.cumsum(whole["windows"])
+        cuts = np.unique(np.append(np.searchsorted(ends, np.arange(step, int(ends[-1]), step)) + 1, len(whole)))
+        for a, b in zip(np.append(0, cuts[:-1]).tolist(), cuts.tolist()):
+            alone, first, results = _windows(units, whole.take(np.arange(a, b)), parts).reduced()
+            yield from _results(results, parts)
+            yield from _packed(alone, first)
+    yield from _packed(runs, begin)
+
+
+def _windows(units: Units, runs: Table, parts: int) -> Table:
+    """Each window of the runs as a run of its own, in the bucket of its whole text."""
+    n = runs["windows"]
+    texts = [w for text, k in zip(runs.texts, n.tolist()) for w in units.windows(text, k)]
+    row = np.repeat(np.arange(len(runs)), n)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    key = _key(np.fromiter(map(_text_id, texts), np.uint64, len(texts)), parts)
+    zero = np.zeros(len(row), np.int64)
+    return Table({"key": key, "place": zero, "doc": runs["doc"][row], "name": runs["name"][row], "first": runs["first"][row] + inside, "windows": zero + 1}, texts)
+
+
+def _packed(runs: Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs to their buckets by column, a text once for each group: neighbours in a column are alike and compress well."""
+    if not len(begin):
+        return
+    size = np.diff(np.append(begin, len(runs)))
+    bucket = (runs["key"][begin] >> np.uint64(40)).astype(np.int64)
     out = []
-    for bucket, entries in buckets.items():
-        out.append((RUNS, int(bucket), _pack_runs(entries)))
+    for part, groups in _split(bucket, np.arange(len(begin))):
+        groups = groups[np.argsort(runs["key"][begin[groups]], kind="stable")]
+        head, counts = begin[groups], size[groups]
+        rows = np.repeat(head - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        owner = np.unique(np.rec.fromarrays([runs["doc"][rows], runs["name"][rows]]), return_inverse=True)
+        texts = list(map(runs.texts.__getitem__, head.tolist()))
+        out.append((RUNS, part, _pack(
+            np.diff(runs["key"][head], prepend=np.uint64(0)), runs["place"][head].astype(np.uint16), np.fromiter(map(len, texts), np.uint32, len(texts)),
+            counts.astype(np.uint32), np.diff(owner[0].f0, prepend=0), np.ascontiguousarray(owner[0].f1), owner[1].astype(np.uint32), runs["first"][rows],
+            runs["windows"][head].astype(np.uint32), b"".join(texts),
+        )))
         if len(out) >= 64:
             yield _rows(out)
             out = []
@@ -424,37 +517,21 @@ def _flush_runs(units: Units, held: dict[tuple[int, int, bytes], list], parts: i
         yield _rows(out)
 
 
-def _pack_runs(entries: list[tuple[int, int, bytes, list]]) -> bytes:
-    """Runs by column: neighbours in a column are alike and compress well."""
-    entries.sort(key=lambda e: e[0])
-    keys, places, texts, rows = zip(*entries)
-    flat = [r for own in rows for r in own]
-    owners = sorted({r[:2] for r in flat})
-    number = {o: i for i, o in enumerate(owners)}
-    return _pack(
-        np.diff(np.array(keys, np.uint64), prepend=np.uint64(0)), np.array(places, np.uint16),
-        np.array([len(t) for t in texts], np.uint32), np.array([len(own) for own in rows], np.uint32),
-        np.diff(np.array([o[0] for o in owners], np.int64), prepend=0), np.array([o[1] for o in owners], np.uint64),
-        np.array([number[r[:2]] for r in flat], np.uint32), np.array([r[2] for r in flat], np.int64),
-        np.array([r[3] for r in flat], np.uint32), b"".join(texts),
-    )
-
-
-def _unpack_runs(block: bytes) -> Iterator[tuple[int, int, bytes, list]]:
-    keys, places, sizes, counts, docs, ids, owner, first, windows, raw = _unpack(block)
-    owners = list(zip(np.cumsum(docs).tolist(), ids.tolist()))
-    rows = [(*owners[o], f, w) for o, f, w in zip(owner.tolist(), first.tolist(), windows.tolist())]
-    at = row = 0
-    for key, place, size, n in zip(np.cumsum(keys, dtype=np.uint64).tolist(), places.tolist(), sizes.tolist(), counts.tolist()):
-        yield key, place, raw[at : at + size], rows[row : row + n]
-        at, row = at + size, row + n
+def _unpacked(block: bytes) -> Table:
+    """The rows of a block; those of a group share the object of their text."""
+    keys, places, sizes, counts, docs, names, owner, first, windows, raw = _unpack(block)
+    docs = np.cumsum(docs)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    texts = [raw[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+    group = np.repeat(np.arange(len(counts)), counts)
+    columns = {"key": np.cumsum(keys, dtype=np.uint64)[group], "place": places[group].astype(np.int64), "doc": docs[owner], "name": names[owner],
+               "first": first, "windows": windows[group].astype(np.int64)}
+    return Table(columns, list(map(texts.__getitem__, group.tolist())))
 
 
-def _results(rows: list[tuple[int, int, int, int]], parts: int) -> Iterator[pa.RecordBatch]:
-    """Repeated windows ``(doc, text id, first, count)`` to the parts of their documents."""
-    if rows:
-        doc, text, first, count = zip(*rows)
-        columns = np.array(doc, np.int64), np.array(text, np.uint64), np.array(first, np.int64), np.array(count, np.int64)
+def _results(columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """Repeated windows, by document, text id, first and count, to the parts of their documents."""
+    if len(columns[0]):
         yield _rows([(RESULT, part, _pack(*c)) for part, *c in _split(_part_of(columns[0], parts), *columns)])
 
 
@@ -472,54 +549,56 @@ def _settle_runs(units: Units, classify: Callable, parts: int) -> Callable:
                     passed.append((kind, key, block))
             if passed:
                 yield _rows(passed)
-        for found in blocks.values():
+        while blocks:
+            _, found = blocks.popitem()
             yield from _settle_bucket(units, classify, parts, found)
 
     return scan
 
 
 def _settle_bucket(units: Units, classify: Callable, parts: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
-    groups: dict[int, dict[tuple[int, bytes], list]] = {}
-    for block in blocks:
-        for key, place, text, rows in _unpack_runs(block):
-            groups.setdefault(key, {}).setdefault((place, text), []).extend(rows)
-    results: list[tuple[int, int, int, int]] = []
-    texts, owners, size = [], [], 0
-
-    def settle() -> None:
-        least = np.array([o[0][0] for o in owners], np.int64)
-        counts = np.array([o[0][3] for o in owners], np.int64)
-        classes = classify(texts, counts, units.window)
-        owner = np.repeat(least, counts)
+    runs, begin, settled = Table.joined([_unpacked(b) for b in blocks]).reduced()
+    yield from _results(settled, parts)
+    # Groups of one key next to each other.
+    order = np.argsort(runs["key"][begin], kind="stable")
+    size = np.diff(np.append(begin, len(runs)))[order]
+    head = begin[order]
+    key, least = runs["key"][head], runs["doc"][head]
+    cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    if not len(cut):
+        return
+    several = np.minimum.reduceat(least, cut) != np.maximum.reduceat(least, cut)
+    groups = np.flatnonzero(np.repeat(several, np.diff(np.append(cut, len(key)))))
+    if not len(groups):
+        return
+    head, size, key, least = head[groups], size[groups], key[groups], least[groups]
+    texts = list(map(runs.texts.__getitem__, head.tolist()))
+    length = np.fromiter(map(len, texts), np.int64, len(texts))
+    # Windows of one bucket meet in one step.
+    ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+    total = np.append(0, np.cumsum(length))
+    a = 0
+    while a < len(key):
+        b = int(ends[min(np.searchsorted(total[ends], total[a] + STEP), len(ends) - 1)])
+        counts = runs["windows"][head[a:b]]
+        classes = classify(texts[a:b], counts, units.window)
+        owner = np.repeat(least[a:b], counts)
         low = np.full(int(classes.max()) + 1, NO_ID)
         np.minimum.at(low, classes, owner)
         later = low[classes] < owner
-        begin = np.cumsum(counts) - counts
-        for i in np.flatnonzero(np.logical_or.reduceat(later, begin)):
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], later[begin[i] : begin[i] + counts[i]].astype(np.int8), [0]])))
-            for doc, text, first, _ in owners[i]:
-                results.extend((doc, text, first + a, b - a) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()))
-
-    for group in groups.values():
-        for (_, text), rows in group.items():
-            rows.sort()
-            least = rows[0][0]
-            results.extend(r for r in rows if r[0] > least)
-        if len(group) > 1 and len({rows[0][0] for rows in group.values()}) > 1:
-            # Windows of one bucket meet in one step.
-            for (_, text), rows in group.items():
-                texts.append(text)
-                owners.append([r for r in rows if r[0] == rows[0][0]])
-                size += len(text)
-            if size >= STEP:
-                settle()
-                texts, owners, size = [], [], 0
-        if len(results) >= FLUSH_HASHES:
-            yield from _results(results, parts)
-            results = []
-    if texts:
-        settle()
-    yield from _results(results, parts)
+        # Stretches of repeated windows within a run, for every row of the run.
+        start = np.cumsum(counts) - counts
+        run = np.repeat(np.arange(b - a), counts)
+        near = np.append(False, later[:-1] & (run[1:] == run[:-1]))
+        begins = np.flatnonzero(later & ~near)
+        behind = np.append(later[1:] & (run[1:] == run[:-1]), False)
+        stops = np.flatnonzero(later & ~behind) + 1
+        of = run[begins]
+        many = size[a:b][of]
+        row = np.repeat(head[a:b][of] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        at = np.repeat(begins - start[of], many)
+        yield from _results([runs["doc"][row], runs["name"][row], runs["first"][row] + at, np.repeat(stops - begins, many)], parts)
+        a = b
 
 
 def _remove(units: Units, with_text: bool) -> Callable:

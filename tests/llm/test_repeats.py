@@ -163,7 +163,8 @@ def widest_bucket(units, rows, parts, hot_runs):
         own = [r for r in blocks if r[1] == part]
         for kind, _, block in sent(repeats._send_runs(units, parts), repeats._rows(own)):
             if kind == repeats.RUNS:
-                for key, *_ in repeats._unpack_runs(block):
+                runs = repeats._unpacked(block)
+                for key, _, _ in set(zip(runs["key"].tolist(), runs["place"].tolist(), runs.texts)):
                     found[key] = found.get(key, 0) + 1
     return max(found.values())
 
