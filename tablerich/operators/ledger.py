@@ -74,16 +74,27 @@ def classify(ledger: DataFrame, now: Column, timeout_seconds: int) -> DataFrame:
 
 
 def latest(versions: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
-    """The newest version of each run; an aggregate, so a run with many versions is reduced map-side."""
+    """The newest version of each run; an aggregate, so a run with many versions is reduced map-side.
+
+    Of equal versions one that ends the run counts, if there is a ``status``; a result comes before a failure and a cancellation.
+    """
     rest = [c for c in versions.columns if c != key and c not in version]
-    newest = F.max(F.struct(*version, *rest)).alias("_v")
+    ended = F.lit(0)
+    if "status" in versions.columns:
+        for place, status in enumerate(reversed(TERMINAL), 1):
+            ended = F.when(F.col("status") == status, place).otherwise(ended)
+    newest = F.max(F.struct(*version, ended.alias("_ended"), *rest)).alias("_v")
     return versions.groupBy(key).agg(newest).select(key, *[f"_v.{c}" for c in [*version, *rest]])
 
 
-def cancel(current: DataFrame, wanted: DataFrame) -> DataFrame:
-    """New versions that cancel the wanted runs (``run_id``) which have not ended yet."""
-    running = current.filter(~is_terminal(F.col("status"))).join(wanted.select("run_id"), "run_id", "left_semi")
-    return running.withColumn("status", F.lit("cancelled")).select(*current.columns)
+def cancel(current: DataFrame, wanted: DataFrame, version: str, at: Column | None = None) -> DataFrame:
+    """New versions that cancel the wanted runs (``run_id``) which have not ended yet, to append to the ledger.
+
+    ``current`` has the latest version of each run; the new one is ``at``, or the next number.
+    """
+    running = current.filter(~F.coalesce(is_terminal(F.col("status")), F.lit(False))).join(wanted.select("run_id"), "run_id", "left_semi")
+    moved = (F.col(version) + 1 if at is None else at).cast(current.schema[version].dataType)
+    return running.withColumns({version: moved, "status": F.lit("cancelled")}).select(*current.columns)
 
 
 def progress(ledger: DataFrame, by: Sequence[str], step: Column) -> DataFrame:

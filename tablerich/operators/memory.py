@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablerich.operators.index import StoredIndex
 from tablerich.operators.search import Corpus, rank_documents
 
 # Fixed values.
@@ -78,6 +80,41 @@ def relevant(entries: DataFrame, query: str, text: str, limit: int = 10) -> Data
     return rank_documents(corpus, [query], limit=_check_limit(limit)).drop("query_no")
 
 
+@dataclass(frozen=True)
+class MemoryIndex:
+    """Entries in a stored index, for memories that are searched often: no call reads their texts again.
+
+    New entries add a segment, evicted and cleared ones are marked; results are those of ``relevant`` on what is left.
+    """
+
+    index: StoredIndex
+
+    @classmethod
+    def build(cls, entries: DataFrame, text: str, path: str, updated: str = "updated_at", unique: bool = False) -> MemoryIndex:
+        return cls(StoredIndex.build(Corpus(entries, ("scope", "kind", "id"), text, unique=unique), path, kept=(updated,)))
+
+    def add(self, entries: DataFrame, text: str) -> None:
+        self.index.add(entries, text)
+
+    def relevant(self, query: str, limit: int = 10) -> DataFrame:
+        if len(query) > MAX_QUERY_CHARS:
+            raise ValueError(f"query must have at most {MAX_QUERY_CHARS} characters")
+        return self.index.rank_keys([query], limit=_check_limit(limit)).drop("query_no")
+
+    def evict(self, evicted: DataFrame) -> None:
+        """Entries named by ``(scope, kind, id)``."""
+        self.index.remove(evicted)
+
+    def clear(self, cleared: DataFrame) -> None:
+        """Entries that are not newer than the last clearing of their scope (``scope, cleared_at``)."""
+        (updated,) = self.index.kept
+        last = cleared.groupBy("scope").agg(F.max("cleared_at").alias("_at")).hint("rebalance")
+        self.index.remove_rows(self.index.documents().join(last, "scope").filter(F.col(updated) <= F.col("_at")))
+
+    def compact(self) -> None:
+        self.index.compact()
+
+
 def evict(entries: DataFrame, evicted: DataFrame) -> DataFrame:
     """Entries not named by a ``(scope, kind, id)`` tombstone."""
     return entries.join(evicted.select("scope", "kind", "id"), ["scope", "kind", "id"], "left_anti")

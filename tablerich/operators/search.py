@@ -1,18 +1,19 @@
 """Ranked text search over a corpus table: BM25, domain, date, location and excerpt policies.
 
 A request holds a few queries typed by a user, so their terms are literals in the plan. Each document
-is scored from its own row: there is no posting table, and only the best rows of each task are shuffled.
+is scored from its own row: there is no posting table, and only the best rows of each task are shuffled. ``index`` is for
+many queries at once, and for a corpus that is searched again and again.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablerich.operators.inputs import moment
 from tablerich.session import cut_lineage
@@ -42,7 +43,10 @@ SEARCH_MODES = {
 
 @dataclass(frozen=True)
 class Corpus:
-    """A table of documents and the columns that play each part; ``id`` names one column or several."""
+    """A table of documents and the columns that play each part; ``id`` names one column or several.
+
+    ``unique`` promises that no two rows share their ``id``.
+    """
 
     df: DataFrame
     id: str | tuple[str, ...]
@@ -51,6 +55,7 @@ class Corpus:
     title: str | None = None
     date: str | None = None
     location: str | None = None
+    unique: bool = False
 
     @property
     def keys(self) -> list[str]:
@@ -160,13 +165,31 @@ def rank_keys(
     )
     rows = scored.select(*corpus.keys, F.expr(f"explode(filter(array({scores}), s -> s.score > 0))").alias("_q"))
     rows = rows.select("_q.query_no", *corpus.keys, "_q.score")
-    # Of documents that share their key the best one counts.
-    rows = rows.groupBy("query_no", *corpus.keys).agg(F.max("score").alias("score"))
+    if not corpus.unique:
+        # Of documents that share their key the best one counts.
+        best = _best_of_task(rows, corpus.keys, limit)
+        rows = best.groupBy("query_no", *corpus.keys).agg(F.max("score").alias("score"))
     # Each task cuts its rows to ``limit`` per query before the shuffle.
     best = Window.partitionBy("query_no").orderBy(F.desc("score"), *corpus.keys)
     return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
 
 
+def _best_of_task(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Of the rows of each task the best ``limit`` keys of every query, each with its best score."""
+    columns, by = rows.columns, ["query_no", *keys]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pd.concat([held, batch])
+            order = held.sort_values(["score", *keys], ascending=[False] + [True] * len(keys), na_position="first")
+            held = order.drop_duplicates(by).groupby("query_no").head(limit)
+        if held is not None:
+            yield held[columns]
+
+    return rows.mapInPandas(cut, rows.schema)
+
+
 def rank_documents(
     corpus: Corpus, queries: Sequence[str], *, mode: str = "basic", limit: int = DEFAULT_RESULTS
 ) -> DataFrame:
@@ -176,66 +199,12 @@ def rank_documents(
     best = Window.partitionBy("query_no", *corpus.keys)
     if len(queries) * limit <= BROADCAST_ROWS:
         top = F.broadcast(top)
+    if corpus.unique:
+        return corpus.df.join(top, corpus.keys)
     found = corpus.df.join(top, corpus.keys).withColumn("_n", F.row_number().over(best.orderBy(corpus.text)))
     return found.filter("_n = 1").drop("_n")
 
 
-@dataclass(frozen=True)
-class StoredIndex:
-    """The words of a corpus as a table, for corpora that are searched more than once.
-
-    A row per document and word, in folders by a hash of the word and sorted by it, so that a search reads the rows of
-    its words and no text. The corpus statistics are stored beside them.
-    """
-
-    spark: SparkSession
-    path: str
-    keys: tuple[str, ...]
-    buckets: int
-
-    @classmethod
-    def build(cls, corpus: Corpus, path: str, buckets: int = 256) -> StoredIndex:
-        """Write the index of a corpus. The rows of a frequent word are spread over many files."""
-        words = corpus.df.select(*corpus.keys, tokens(F.coalesce(corpus.text, F.lit(""))).alias("_w"))
-        lengths = words.select(*corpus.keys, F.size("_w").alias("len"))
-        lengths.agg(F.count(F.lit(1)).alias("docs"), F.avg("len").alias("avg_len")).write.parquet(f"{path}/statistics")
-        counted = (
-            words.select(*corpus.keys, F.size("_w").alias("len"), F.explode("_w").alias("term"))
-            .groupBy(*corpus.keys, "len", "term").agg(F.count(F.lit(1)).alias("tf"))
-            .withColumn("bucket", (F.crc32(F.col("term").cast("binary")) % buckets).cast("int"))
-        )
-        order = ["bucket", "term", *corpus.keys]
-        rows = counted.repartitionByRange(*order).sortWithinPartitions(*order)
-        rows.write.partitionBy("bucket").parquet(f"{path}/words")
-        return cls(corpus.df.sparkSession, path, tuple(corpus.keys), buckets)
-
-    def rank_keys(self, queries: Sequence[str], *, limit: int = DEFAULT_RESULTS) -> DataFrame:
-        """As the function of that name in mode ``basic``, from the stored words."""
-        if not 1 <= limit <= MAX_RESULTS:
-            raise ValueError(f"limit must be from 1 to {MAX_RESULTS}")
-        terms = request_terms(queries)
-        folders = sorted({zlib.crc32(t.encode()) % self.buckets for t in terms})
-        words = self.spark.read.parquet(f"{self.path}/words")
-        hits = words.filter(F.col("bucket").isin(folders) & F.col("term").isin(terms))
-        numbers = {t: [n for n, q in enumerate(queries, 1) if t in query_terms(q)] for t in terms}
-        asked = F.create_map(*[x for t, n in numbers.items() for x in (F.lit(t), F.array(*map(F.lit, n)))])
-        # At most a row per word of the request.
-        known = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(F.col("term").alias("_t"), "df")
-        totals = self.spark.read.parquet(f"{self.path}/statistics")
-        rows = hits.join(F.broadcast(known), F.col("term") == F.col("_t")).withColumn(
-            "_s", totals.select(F.struct("docs", "avg_len")).scalar()
-        )
-        idf = F.ln(1 + (F.col("_s.docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        norm = K1 * (1 - B + B * F.col("len") / F.col("_s.avg_len"))
-        part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-        scores = (
-            rows.select(F.explode(asked[F.col("term")]).alias("query_no"), *self.keys, part.alias("_p"))
-            .groupBy("query_no", *self.keys).agg(F.round(F.sum("_p"), 6).alias("score")).filter("score > 0")
-        )
-        best = Window.partitionBy("query_no").orderBy(F.desc("score"), *self.keys)
-        return scores.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= limit)
-
-
 def host(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablerich.operators import ledger as L
 from tablerich.operators import memory as M
 from tablerich.plans.catalog import query, table
+from tablerich.session import scratch_path
 
 # Orders stand in for runs: F is completed, O running, P failed.
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END"
@@ -100,6 +101,20 @@ def ledger_latest(spark, sf):
     return L.latest(versions, "run_id", ["l_shipdate", "l_linenumber"])
 
 
+@query(
+    "ledger_cancel",
+    f"""
+SELECT o_orderkey AS run_id, CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version,
+  CASE WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN 'cancelled' ELSE {_STATUS} END AS status, o_orderpriority AS input
+FROM orders""",
+)
+def ledger_cancel(spark, sf):
+    """Urgent runs are cancelled; those that have ended already stay as they are."""
+    versions = order_ledger(spark, sf).select("run_id", F.lit(1).alias("version"), "status", "input")
+    wanted = versions.filter(F.col("input") == "1-URGENT")
+    return L.latest(versions.unionByName(L.cancel(L.latest(versions, "run_id", ["version"]), wanted, "version")), "run_id", ["version"])
+
+
 @query(
     "run_progress",
     """
@@ -172,6 +187,29 @@ def memory_relevant(spark, sf):
     return M.relevant(entries(spark, sf), _MEMORY_QUERY, "text", 25).select("scope", "kind", "id", "score")
 
 
+_LIVE = """(SELECT c.* FROM conversations c LEFT JOIN (
+  SELECT conv_id, max(turn) AS cleared FROM conversations WHERE length(text) < 100 GROUP BY 1) x ON c.conv_id = x.conv_id
+  WHERE role <> 'system' AND (cleared IS NULL OR turn > cleared))"""
+
+
+@query(
+    "memory_indexed",
+    f"""
+WITH {bm25_sql(_LIVE, '(conv_id, turn)', 'text', [_MEMORY_QUERY])},
+m AS (SELECT conv_id, turn, {_KIND} AS kind, score FROM scored JOIN conversations ON id = (conv_id, turn))
+SELECT conv_id AS scope, kind, turn AS id, score FROM m ORDER BY score DESC, conv_id, kind, turn LIMIT 25""",
+)
+def memory_indexed(spark, sf):
+    """Memory kept in an index: turns of assistants come later, system turns are evicted, scopes are cleared."""
+    kept = entries(spark, sf)
+    memory = M.MemoryIndex.build(kept.filter("kind <> 'monitor'"), "text", scratch_path(spark, "memory"), unique=True)
+    memory.add(kept.filter("kind = 'monitor'"), "text")
+    memory.evict(kept.filter("kind = 'discovery'"))
+    short = kept.filter(F.length("text") < 100)
+    memory.clear(short.select("scope", F.col("updated_at").alias("cleared_at")))
+    return memory.relevant(_MEMORY_QUERY, 25).select("scope", "kind", "id", "score")
+
+
 @query(
     "memory_evict",
     f"SELECT conv_id AS scope, {_KIND} AS kind, turn AS id FROM conversations WHERE length(text) >= 100",

@@ -8,6 +8,7 @@ from tablerich.operators import extract as X
 from tablerich.operators import ordering as O
 from tablerich.operators import report as R
 from tablerich.operators import search as S
+from tablerich.operators.index import StoredIndex
 from tablerich.plans.catalog import query, table
 from tablerich.session import scratch_path
 from tablerich.plans.queries_ledger import bm25_sql
@@ -17,7 +18,7 @@ SEARCHES = ["the thion heres and", "nicht aulich sch", "que eau des", "und estio
 
 def documents(spark, sf):
     df = table(spark, sf, "documents").withColumn("title", F.split("text", "\n", 2)[0])
-    return S.Corpus(df.select("doc_id", "text", "title", "lang"), id="doc_id", text="text", title="title", location="lang")
+    return S.Corpus(df.select("doc_id", "text", "title", "lang"), id="doc_id", text="text", title="title", location="lang", unique=True)
 
 
 def _top(score: str, limit: int) -> str:
@@ -36,10 +37,33 @@ def search_bm25(spark, sf):
 @query("search_stored", f"WITH {bm25_sql('documents', 'doc_id', 'text', SEARCHES)} {_top('score', 10)}")
 def search_stored(spark, sf):
     """The same request to an index that is built once and read by every search."""
-    index = S.StoredIndex.build(documents(spark, sf), scratch_path(spark, "index"), buckets=64)
+    index = StoredIndex.build(documents(spark, sf), scratch_path(spark, "index"))
     return index.rank_keys(S.resolve_queries(None, SEARCHES))
 
 
+_TABLE_SQL = r"""
+WITH q AS (SELECT item_id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> ''))) AS term
+  FROM benchmark),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents),
+st AS (SELECT count(*) AS n, avg(len(w)) AS a FROM d),
+tf AS (SELECT doc_id, t AS term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) WHERE t IN (SELECT term FROM q) GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+scored AS (SELECT item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / a))), 6) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN d USING (doc_id) CROSS JOIN st GROUP BY 1, 2)
+SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank, left(text, 200) AS excerpt FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored) JOIN documents USING (doc_id) WHERE rank <= 10"""
+
+
+@query("search_table", _TABLE_SQL)
+def search_table(spark, sf):
+    """Every row of a table of queries against all documents; text is read for the results only."""
+    corpus = documents(spark, sf)
+    index = StoredIndex.build(corpus, scratch_path(spark, "index"))
+    found = index.rank_table(table(spark, sf, "benchmark"), "item_id", "text")
+    texts = corpus.df.select("doc_id", F.left("text", F.lit(200)).alias("excerpt"))
+    return texts.join(found, "doc_id").select("item_id", "doc_id", "score", "rank", "excerpt")
+
+
 _TITLE_BONUS = r"""
 , tt AS (SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(string_split(text, chr(10))[1]),
            '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM documents),

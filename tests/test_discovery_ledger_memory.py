@@ -122,8 +122,26 @@ def test_ledger(ledger):
 
 
 def test_cancel(ledger):
-    wanted = ledger.filter("run_id IN ('a', 'd')").select("run_id")
-    assert [(r.run_id, r.status) for r in L.cancel(ledger, wanted).collect()] == [("d", "cancelled")]
+    versions = ledger.withColumn("version", F.lit(2))
+    older = versions.withColumns({"version": F.lit(1), "status": F.lit("queued")})
+    versions = versions.unionByName(older)
+    current = L.latest(versions, "run_id", ["version"])
+    wanted = ledger.filter("run_id IN ('a', 'd', 'd')").select("run_id").unionByName(ledger.filter("run_id = 'd'").select("run_id"))
+    more = L.cancel(current, wanted, "version")
+    assert [(r.run_id, r.version, r.status) for r in more.collect()] == [("d", 3, "cancelled")]
+    after = L.latest(versions.unionByName(more), "run_id", ["version"])
+    found = {r.run_id: (r.version, r.status) for r in after.collect()}
+    assert found["d"] == (3, "cancelled") and found["a"] == (2, "completed") and found["e"] == (2, "queued")
+    # Cancelling again changes nothing, a version of the caller's choice may be given.
+    assert L.cancel(after, wanted, "version").count() == 0
+    (row,) = L.cancel(current, wanted, "created_at", F.lit(datetime(2030, 1, 1))).collect()
+    assert row.created_at == datetime(2030, 1, 1) and row.version == 2
+
+
+def test_states_that_end_a_run_win_ties(spark):
+    rows = [("a", 1, "running"), ("a", 1, "cancelled"), ("b", 1, "zzz"), ("b", 1, "completed"), ("b", 1, "failed"), ("c", 1, "failed"), ("c", 2, "running")]
+    df = spark.createDataFrame(rows, "run_id string, v int, status string")
+    assert {r.run_id: r.status for r in L.latest(df, "run_id", ["v"]).collect()} == {"a": "cancelled", "b": "completed", "c": "running"}
 
 
 def test_submit(ledger):

@@ -112,20 +112,3 @@ def test_objectives_without_a_match_have_an_empty_list(spark):
     candidates = candidates.withColumn("output", F.when(F.col("id") != 2, F.col("output")))
     got = {r.o: r.candidates for r in D.as_json(candidates, "o", [F.desc("s")]).collect()}
     assert got["b"] == "[]" and '"id":"2"' in got["a"] and '"id":"1"' in got["a"]
-
-
-def test_a_stored_index_is_searched_without_the_corpus(spark, tmp_path):
-    from tablerich.operators import search as S
-
-    rows = [(i, " ".join(w for w, n in (("red", 2), ("fox", 3), ("dog", 5), ("the", 1)) if i % n == 0)) for i in range(60)] + [(60, None)]
-    df = spark.createDataFrame(rows, "id int, text string")
-    df.write.parquet(str(tmp_path / "corpus"))
-    corpus = S.Corpus(spark.read.parquet(str(tmp_path / "corpus")), "id", "text")
-    index = S.StoredIndex.build(corpus, str(tmp_path / "index"), buckets=8)
-    queries = ["red fox", "the dog", "nothing"]
-    found = index.rank_keys(queries, limit=7)
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, S.rank_keys(corpus, queries, limit=7).collect()))
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan" in line]
-    assert scans and all("corpus" not in line for line in scans)
-    assert any("PartitionFilters: [bucket" in line for line in scans)
