@@ -45,6 +45,15 @@ def build_session(master: str = "local[8]", app: str = "tablerich", **conf: str)
     return builder.getOrCreate()
 
 
+def separate_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """Another session of the application: the settings of ``spark`` and, on top, these, which ``spark`` does not see."""
+    other = spark.newSession()
+    known = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.") and other.conf.isModifiable(k)}
+    for key, value in (known | settings).items():
+        other.conf.set(key, value)
+    return other
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
