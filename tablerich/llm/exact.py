@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tablerich.llm.common import query, table, text_of, without_spaces
-from tablerich.session import cut_lineage, scratch_path
+from tablerich.session import cut_lineage, scratch_path, separate_session
 
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -57,22 +57,15 @@ def run_state(spark: SparkSession, log_path: str, schema: str, checkpoint: str,
     The checkpoint holds the state and the files that were read, so a later call goes on from there, and a
     batch that is run again replaces its own output.
     """
-    before = {k: spark.conf.get(k, None) for k in STATE}
-    for k, v in STATE.items():
-        spark.conf.set(k, v)
-    try:
-        stream = holders(spark.readStream.schema(schema).parquet(log_path))
-        (
-            stream.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}"))
-            .start()
-            .awaitTermination()
-        )
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    stream = holders(separate_session(spark, STATE).readStream.schema(schema).parquet(log_path))
+    (
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+        .start()
+        .awaitTermination()
+    )
 
 
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = _sha256) -> DataFrame:
@@ -97,7 +90,8 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = _sha256) -
         .withColumnRenamed("doc_id", "keep_id"),
         "held",
     )
-    marked = log.join(held, "digest")
+    # Written, so that what follows is not dealt by the digest alone: one may have a third of all rows.
+    marked = cut_lineage(log.join(held, "digest"), "marked")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
     columns = ["doc_id", "keep_id", "group_size", kept, "n_points", "digest"]
     wrong = cut_lineage(_collisions(docs, marked, digest), "collisions")
@@ -116,14 +110,13 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = _sha256) -
 def _collisions(docs: DataFrame, marked: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests under which a row's bytes differ from its holder's."""
     held = marked.filter("group_size > 1")
-    keepers = held.select("keep_id", "digest").distinct()
-    hits = held.select("doc_id", "digest").distinct()
-    text = docs.select("doc_id", without_spaces(text_of()).alias("bytes"))
-    mine = cut_lineage(
-        text.withColumn("digest", digest(F.col("bytes"))).join(hits, ["doc_id", "digest"]).select("doc_id", "digest", "bytes"),
-        "hits",
-    )
-    theirs = mine.join(keepers, (F.col("doc_id") == F.col("keep_id")) & (mine["digest"] == keepers["digest"]), "left_semi")
+    keepers = held.select("keep_id", F.col("digest").alias("of")).distinct()
+    hits = held.select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("of")).distinct()
+    text = docs.select("doc_id", without_spaces(text_of()).alias("bytes")).withColumn("digest", digest(F.col("bytes")))
+    # Rows without a doc_id are one name: all of them under a digest are compared.
+    mine = text.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("digest") == F.col("of")), "left_semi")
+    mine = cut_lineage(mine, "hits")
+    theirs = mine.join(keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("of")), "left_semi")
     theirs = cut_lineage(theirs.select("digest", F.col("bytes").alias("held")), "held_bytes")
     return mine.join(theirs, "digest").filter("bytes != held").select("digest").distinct()
 

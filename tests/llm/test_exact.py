@@ -35,6 +35,10 @@ def test_texts_under_one_digest_are_told_apart_by_their_bytes(make):
     rows = [r for r in ROWS if r[0]] + [(20, "a b")]
     found = exact.exact_dedup(make(rows), digest=lambda t: F.length(t).cast("string"))
     assert [r[:4] for r in result(found)] == [r[:4] for r in brute(rows)]
+    # Rows without a doc_id too, as holders and as hits.
+    for rows in ([(1, "aa"), (None, "bb"), (2, "cc")], [(None, "aa"), (None, "bb")], [(None, "bb "), (3, "aa"), (3, "bb"), (4, "aa")]):
+        found = exact.exact_dedup(make(rows), digest=lambda t: F.lit("same"))
+        assert [r[:4] for r in result(found)] == [r[:4] for r in brute(rows)]
 
 
 def test_state_goes_on_between_calls(spark, make, tmp_path):
