@@ -9,12 +9,13 @@ permutation of its own for each pass over the source, and slots and blocks are j
 slot of a source is trimmed, so a source gives its target to the word.
 
 Null texts and texts without words are of size 0 and are never taken. Null sources are one source, the last
-in order. Repeated rows are documents of their own. An empty table gives no rows, and extra columns are ignored. The list of
-sources is as long as the list of weights and is handled on the driver; rows of documents never are.
+in order. Repeated rows are documents of their own. An empty table gives no rows, and extra columns are ignored. One
+number for each source is handled on the driver, rows of documents never are.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -27,9 +28,6 @@ from tablerich.llm.common import WORD, query, table, text_of
 from tablerich.operators.ordering import running_totals
 from tablerich.session import cut_lineage
 
-#: Above this many slots a node of the tree is halved exactly: the draws' noise is far below one in a thousand.
-EXACT_ABOVE = 500_000_000
-
 
 def targets(sizes: dict[str | None, int], weights: Sequence[float], cap: float = 3.0) -> dict[str | None, float]:
     """Words of each source: shares of the total by weight, none above ``cap`` times its size.
@@ -132,16 +130,55 @@ class Source:
         return epoch, index, np.where(epoch < passes, words, np.minimum(words, rest - begun))
 
 
+def _log_ratio(a: int, b: int) -> float:
+    """``ln(a! / b!)``; by Stirling's series where the factorials themselves would lose the difference."""
+    if min(a, b) < 1000:
+        return math.lgamma(a + 1) - math.lgamma(b + 1)
+    return (b + 0.5) * math.log1p((a - b) / b) + (a - b) * math.log(a) - (a - b) + (1 / a - 1 / b) / 12
+
+
+def hypergeometric(good: int, bad: int, n: int, rng: np.random.Generator) -> int:
+    """How many of ``n`` drawn without replacement are good; one rule whatever the numbers.
+
+    The ratio of uniforms with the table-free hat of Stadlober; the few draws of a small sample are made one by one.
+    """
+    total = good + bad
+    m = min(n, total - n)
+    if m <= 10:
+        left, found = good, 0
+        for i in range(m):
+            hit = int(rng.integers(total - i)) < left
+            left, found = left - hit, found + hit
+        return found if m == n else good - found
+    few, many = min(good, bad), max(good, bad)
+    share = few / total
+    mean = m * share + 0.5
+    deviation = math.sqrt((total - m) / (total - 1) * m * share * (1 - share) + 0.5)
+    hat = math.sqrt(8 / math.e) * deviation + (3 - 2 * math.sqrt(3 / math.e))
+    mode = (m + 1) * (few + 1) // (total + 2)
+    end = min(min(m, few) + 1, math.floor(mean + 16 * deviation))
+    while True:
+        u, v = 1.0 - rng.random(), rng.random()
+        w = mean + hat * (v - 0.5) / u
+        if not 0 <= w < end:
+            continue
+        k = int(w)
+        t = _log_ratio(mode, k) + _log_ratio(few - mode, few - k) + _log_ratio(m - mode, m - k) + _log_ratio(many - m + mode, many - m + k)
+        if 2 * math.log(u) <= t:
+            break
+    if good > bad:
+        k = m - k
+    return k if m == n else good - k
+
+
 def _split(quotas: list[int], n: int, rng: np.random.Generator) -> list[int]:
-    """Of ``sum(quotas)`` slots the counts of the first ``n``."""
-    total = sum(quotas)
-    if total > EXACT_ABOVE:
-        counts = [q * n // total for q in quotas]
-        for i in range(n - sum(counts)):
-            j = next(j for j in range(i, i + len(quotas)) if counts[j % len(quotas)] < quotas[j % len(quotas)])
-            counts[j % len(quotas)] += 1
-        return counts
-    return [int(c) for c in rng.multivariate_hypergeometric(quotas, n)]
+    """Of ``sum(quotas)`` slots the counts of the first ``n``: a multivariate hypergeometric draw, source by source."""
+    rest, counts = sum(quotas), []
+    for quota in quotas:
+        rest -= quota
+        counts.append(hypergeometric(quota, rest, n, rng))
+        n -= counts[-1]
+    return counts
 
 
 def shard_counts(quotas: list[int], shard_slots: int, shard: int, seed: int) -> tuple[list[int], list[int]]:
@@ -256,7 +293,7 @@ class Mix:
         same = (F.col("size") > 0) & (F.col("start") == F.col("_start")) & F.col("source").eqNullSafe(F.col("_source"))
         rows = self.rows.join(taken, same, "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
         plan = self.plan.withColumnRenamed("source", "_s")
-        return rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("_s"))).select(
+        return rows.join(plan, F.col("source").eqNullSafe(F.col("_s"))).select(
             "doc_id", "size", "source_size", "target", "taken"
         )
 
