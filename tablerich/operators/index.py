@@ -112,7 +112,7 @@ class StoredIndex:
         segment = self._next()
         named = [*self.keys, *self.kept]
         rows = df.select(*named, tokens(F.coalesce(text, F.lit(""))).alias("_w"))
-        fields = T.StructType([T.StructField("row", T.LongType()), *[rows.schema[c] for c in named], T.StructField("words", T.IntegerType())])
+        fields = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(c, rows.schema[c].dataType) for c in named], T.StructField("words", T.IntegerType())])
         schema = T.StructType([*fields.fields, *T._parse_datatype_string(_BLOCKS).fields])
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,6 +62,6 @@ def stream_windowed(spark, sf):
 @query("stream_changes", CHANGES_SQL)
 def stream_changes(spark, sf):
     path = scratch_path(spark, "stream-changes")
-    stream = event_stream(spark, sf).withColumnRenamed("event_type", "state")
-    run_to_end(stream, path, C.change_writer(path, "user_id", ["ts", "event_id"], "state"))
-    return C.read_changes(spark, path).select("event_id", "user_id", "ts", "state", "previous")
+    stream = event_stream(C.state_session(spark), sf).withColumnRenamed("event_type", "state")
+    run_to_end(C.detect_changes(stream, "user_id", ["ts", "event_id"], "state"), path)
+    return C.read_changes(spark, f"{path}/out").select("event_id", "user_id", "ts", "state", "previous")

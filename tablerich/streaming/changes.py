@@ -1,92 +1,149 @@
-"""Change detection on a stream.
+"""Change detection on a stream, with the state that the engine keeps.
 
-Each micro-batch runs the batch operator over its rows and the last known row of every key it
-touches, so a hot key is cut between tasks there too. The last rows are kept in a shared folder, dealt to buckets by
-a hash of the key. A batch reads the buckets of its own keys, writes a new version of those, and notes in an index
-which version of each bucket holds; all other buckets stay as they are. It reads the index of the batch before it,
-so it can be run again after a failure.
+Per key the stream state holds the last row that counted (its place in the order, and its text), in RocksDB, so a batch
+reads and writes the keys it has rows of and no others. A timer in event time forgets a key that has had no row for a
+while. Output is append-only and goes to any sink of the engine; a failed batch is run again from its checkpoint.
+
+Rows of a key are ordered inside a batch. A row that is not newer than the last one of its key, from an earlier batch,
+changes nothing and is reported as ``late``. The rows a key has in one batch meet in one task, without other columns;
+what a batch takes from its source bounds them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from tablerich.operators.monitor import change_events
-
-# Buckets of last rows: the finer, the less a batch of few keys reads and writes.
-BUCKETS = 256
-
-
-def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, int]:
-    """The version of each bucket after a batch; at most a row per bucket."""
-    if batch_id < 0:
-        return {}
-    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{path}/index/batch={batch_id}").collect()}
-
-
-def _drop(spark: SparkSession, paths: Sequence[str]) -> None:
-    for p in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(p)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def change_writer(
-    path: str, key: str, order: Sequence[str], state: str, *, backfill: bool = False, completions: bool = False,
-    buckets: int = BUCKETS,
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink writing change events below ``path/events``.
-
-    Rows are ordered inside a batch; a row that is not newer than the last one of its key, from an earlier batch,
-    changes nothing and goes to ``path/late``.
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor
+
+from tablerich.session import separate_session
+from tablerich.streaming.enrichment import with_event_time
+
+#: What stateful processing in Python needs.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+LATE = "late"
+#: Stands for null in whole numbers of the order, below all of the type's other values.
+NONE = {T.ByteType: -(1 << 7), T.ShortType: -(1 << 15), T.IntegerType: -(1 << 31), T.LongType: -(1 << 63)}
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session to read the stream with; the settings of ``spark`` stay as they are."""
+    return separate_session(spark, STATE)
+
+
+def _plain(value):
+    """A value as state holds it."""
+    if value is None or (not isinstance(value, str) and pd.isna(value)):
+        return None
+    if isinstance(value, pd.Timestamp):
+        return value.to_pydatetime()
+    return value.item() if hasattr(value, "item") else value
+
+
+class LastRow(StatefulProcessor):
+    """Compares the rows of a key with the one before."""
+
+    def __init__(self, columns: Sequence[str], order: Sequence[str], state: str, kinds: T.StructType, backfill: bool, completions: bool, expire_ms: int | None):
+        self.columns, self.order, self.state, self.kinds = list(columns), list(order), state, kinds
+        self.backfill, self.completions, self.expire_ms = backfill, completions, expire_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", self.kinds)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows), ignore_index=True)
+        found = found.sort_values([*self.order, self.state], kind="stable", na_position="first", ignore_index=True)
+        known = self.last.get() if self.last.exists() else None
+        late = found.iloc[:0]
+        if known is not None:
+            place = tuple(known[: len(self.order)])
+            newer = [_after(tuple(map(_plain, r)), place) for r in found[self.order].itertuples(index=False, name=None)]
+            late, found = found[[not n for n in newer]], found[newer].reset_index(drop=True)
+        parts = [late.assign(previous=None, event_type=LATE)]
+        if len(found):
+            previous = found[self.state].shift(1)
+            first = pd.Series(False, found.index)
+            if known is None:
+                first.iloc[0] = True
+            else:
+                previous.iloc[0] = known[len(self.order)]
+            now = found[self.state]
+            same = (now == previous) | (now.isna() & previous.isna())
+            changed = (first & self.backfill) | (~first & ~same)
+            parts.append(found.assign(previous=previous.astype(object).where(previous.notna(), None), event_type=changed.map({True: "event_stream", False: "completion"})))
+            if not self.completions:
+                parts[-1] = parts[-1][changed]
+            newest = found.iloc[-1]
+            self.last.update(tuple(_plain(newest[c]) for c in [*self.order, self.state]))
+        if self.expire_ms is not None and len(found):
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            moment = found["change_moment"].max()
+            self.handle.registerTimer(int(moment) + self.expire_ms)
+        out = pd.concat([p for p in parts if len(p)] or parts[:1], ignore_index=True)
+        yield out.assign(change_key=key[0])[["change_key", *self.columns, "previous", "event_type"]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def _after(a: tuple, b: tuple) -> bool:
+    """Whether ``a`` comes after ``b``; null comes first."""
+    for x, y in zip(a, b):
+        if x != y:
+            return y is None if x is None or y is None else x > y
+    return False
+
+
+def detect_changes(
+    df: DataFrame, key: str, order: Sequence[str], state: str, *, backfill: bool = False, completions: bool = False,
+    event_time: str | None = None, delay: str = "10 seconds", expire_after: int | None = None,
+) -> DataFrame:
+    """A stream of ``key, order…, state, previous, event_type``; ``late`` rows included.
+
+    As ``monitor.change_events``: an event for each change, for first rows with ``backfill``, ``completion`` for all
+    others if asked for. With ``expire_after`` seconds a key without rows for so long, by ``event_time`` and its
+    watermark ``delay``, is forgotten, and its next row is a first one. ``df`` is read with ``state_session``.
     """
-    columns = [key, *order, state]
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Read several times below; a lost part is read from the source again.
-        taken = batch.select(*columns).persist()
-        versions = _versions(spark, path, batch_id - 1)
-        touched = [r[0] for r in taken.select(bucket).distinct().collect()]
-        held = [f"{path}/last/version={versions[b]}/bucket={b}" for b in touched if b in versions]
-        rows = stream = taken
-        late = taken.limit(0)
-        if held:
-            last = spark.read.schema(taken.schema).parquet(*held)
-            known = last.select(F.col(key).alias("_key"), F.struct(*order).alias("_at"))
-            met = taken.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
-            newer = F.col("_at").isNull() | (F.struct(*order) > F.col("_at"))
-            rows, late = met.filter(newer).select(*columns), met.filter(~newer).select(*columns)
-            # Where a key has no newer row its last one is compared with nothing.
-            stream = rows.unionByName(last)
-        found = change_events(stream, key, list(order), state, backfill=backfill, completions=completions)
-        if held and (backfill or completions):
-            # A last row is the only one of its key and moment, so this drops last rows and nothing else.
-            seeds = last.select(*[F.col(c).alias(f"_{c}") for c in (key, *order)])
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (key, *order)]
-            found = found.join(seeds, same, "left_anti")
-        found.write.mode("overwrite").parquet(f"{path}/events/batch_id={batch_id}")
-        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
-        newest = F.max_by(F.struct(*order, state), F.struct(*order)).alias("_n")
-        kept = stream.groupBy(key).agg(newest).select(key, "_n.*").withColumn("bucket", bucket)
-        kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/last/version={batch_id}")
-        now = versions | dict.fromkeys(touched, batch_id)
-        index = spark.createDataFrame(sorted(now.items()), "bucket int, version bigint")
-        index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index/batch={batch_id}")
-        # What the batch before has replaced is not needed to run this one again.
-        gone = _versions(spark, path, batch_id - 2).items() - versions.items()
-        _drop(spark, [f"{path}/last/version={v}/bucket={b}" for b, v in gone])
-        taken.unpersist()
-
-    return write
+    columns = list(dict.fromkeys([key, *order, state]))
+    types = {c: df.schema[c].dataType for c in columns} | {state: T.StringType()}
+    # A null key is a key, and whole numbers stay whole: pandas knows no null among them.
+    rows = df.withColumns(
+        {"change_key": F.to_json(F.struct(key)), state: F.col(state).cast("string")}
+        | {c: F.coalesce(F.col(c), F.lit(NONE[type(types[c])]).cast(types[c])) for c in order if isinstance(types[c], T.IntegralType)}
+    )
+    passed = ["change_key", *[c for c in columns if c != key or c in order]]
+    if expire_after is None:
+        rows, mode = rows.select(*passed, F.lit(0).cast("bigint").alias("change_moment")), "none"
+    else:
+        if event_time is None:
+            raise ValueError("expire_after needs event_time")
+        timed = with_event_time(rows.withColumn("change_time", F.col(event_time)), "change_time", delay)
+        rows, mode = timed.select(*passed, "change_time", F.unix_millis("change_time").alias("change_moment")), "eventTime"
+    held = T.StructType([*[rows.schema[c] for c in order], T.StructField("state", T.StringType())])
+    out = T.StructType([*[rows.schema[c] for c in passed], T.StructField("previous", T.StringType()), T.StructField("event_type", T.StringType())])
+    processor = LastRow(passed[1:], order, state, held, backfill, completions, None if expire_after is None else expire_after * 1000)
+    found = rows.groupBy("change_key").transformWithStateInPandas(processor, out, "append", mode)
+    named = T.StructType([T.StructField(key, types[key])])
+    back = {c: F.nullif(F.col(c), F.lit(NONE[type(types[c])]).cast(types[c])) for c in order if isinstance(types[c], T.IntegralType)}
+    back = {key: F.from_json("change_key", named)[key]} | back
+    return found.withColumns(back).select(*columns, "previous", "event_type")
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/events").drop("batch_id")
+    return spark.read.parquet(path).filter(F.col("event_type") != LATE)
 
 
 def read_late(spark: SparkSession, path: str) -> DataFrame:
-    """Rows that came after a newer one of their key, with the batch they came in."""
-    return spark.read.parquet(f"{path}/late")
+    """Rows that came after a newer one of their key."""
+    return spark.read.parquet(path).filter(F.col("event_type") == LATE).drop("previous", "event_type")

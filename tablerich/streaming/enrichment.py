@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import TimestampNTZType
 
 from tablerich.operators.enrich import Outputs, enrich
@@ -47,6 +47,18 @@ def batch_writer(
     return write
 
 
+def start_stream(df: DataFrame, path: str, checkpoint: str, *, every: str | None = None, once: bool = False) -> StreamingQuery:
+    """Write a stream as Parquet: a batch ``every`` span of time, or what is there at ``once``; without either, batch after batch."""
+    if every is not None and once:
+        raise ValueError("a stream runs at intervals or once")
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if every is not None:
+        writer = writer.trigger(processingTime=every)
+    elif once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(path)
+
+
 def with_event_time(df: DataFrame, ts: str, delay: str = "10 seconds") -> DataFrame:
     """Set the watermark; stateful operators downstream drop rows later than ``delay``.
 

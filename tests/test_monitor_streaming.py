@@ -97,42 +97,85 @@ def test_backfill_and_completions(spark):
     assert every.filter("event_type = 'completion'").count() == 400 - changes
 
 
+def run_changes(spark, source, path, schema, **options):
+    stream = C.state_session(spark).readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    found = C.detect_changes(stream, "k", ["ts", "id"], "state", **options)
+    query = (
+        found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/cp")
+        .trigger(availableNow=True).start(f"{path}/out")
+    )
+    query.awaitTermination()
+    return query
+
+
 @pytest.mark.parametrize("options", [{}, {"backfill": True}, {"completions": True}])
 def test_stream_of_many_batches_equals_batch(spark, tmp_path, options):
     df = events(spark)
-    source = str(tmp_path / "in")
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
     for part in range(4):
         df.filter(F.col("id").between(part * 100, part * 100 + 99)).coalesce(1).write.mode("append").parquet(source)
-    path = str(tmp_path / "out")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    query = (
-        stream.writeStream.foreachBatch(C.change_writer(path, "k", ["ts", "id"], "state", **options))
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    run_changes(spark, source, path, df.schema, **options)
     columns = ["id", "k", "state", "previous", "event_type"]
-    got = sorted(map(str, C.read_changes(spark, path).select(*columns).collect()))
+    got = sorted(map(str, C.read_changes(spark, f"{path}/out").select(*columns).collect()))
     want = sorted(map(str, M.change_events(df, "k", ["ts", "id"], "state", **options).select(*columns).collect()))
     assert got == want
+    # The session of the caller is as it was.
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+
+
+def test_late_rows_change_nothing_and_state_is_written_for_touched_keys(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id long, k long, ts long, state string"
+    rows = lambda *r: spark.createDataFrame(list(r), schema).coalesce(1).write.mode("append").parquet(source)
+    rows(*[(i, i, 0, "a") for i in range(500)], (999, None, 0, "n"))
+    run_changes(spark, source, path, schema)
+    rows((1000, 7, 1, "b"), (1001, 7, -1, "late"), (1002, 900, 1, "new"), (1003, None, 2, None))
+    query = run_changes(spark, source, path, schema)
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]][-1]
+    # Of 502 keys those of the batch are written.
+    assert 0 < state["numRowsUpdated"] <= 4
+    rows((2000, 7, 2, "c"))
+    run_changes(spark, source, path, schema)
+    got = sorted((r.id, r.state, r.previous) for r in C.read_changes(spark, f"{path}/out").collect())
+    assert got == [(1000, "b", "a"), (1003, None, "n"), (2000, "c", "b")]
+    assert [r.id for r in C.read_late(spark, f"{path}/out").collect()] == [1001]
+
+
+def test_keys_expire_in_event_time(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id long, k long, ts timestamp_ntz, state string"
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    options = {"backfill": True, "event_time": "ts", "delay": "1 minute", "expire_after": 600}
+    for batch in ([(1, 1, at(0), "a"), (2, 2, at(0), "a")], [(3, 2, at(5), "b")], [(4, 3, at(14), "x")], [(5, 1, at(15), "a"), (6, 2, at(15), "b")]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        run_changes(spark, source, path, schema, **options)
+    found = {r.id: r.event_type for r in C.read_changes(spark, f"{path}/out").collect()}
+    # Key 1 was silent for more than ten minutes and begins anew; key 2 was not and has not changed.
+    assert found == {1: "event_stream", 2: "event_stream", 3: "event_stream", 4: "event_stream", 5: "event_stream"}
+    with pytest.raises(ValueError):
+        C.detect_changes(spark.createDataFrame([], schema), "k", ["ts"], "state", expire_after=5)
 
 
-def test_state_of_other_keys_is_left_alone(spark, tmp_path):
-    import os
+def test_processing_time_trigger(spark, tmp_path):
+    import time
 
-    path = str(tmp_path / "out")
-    write = C.change_writer(path, "k", ["ts", "id"], "state", buckets=64)
-    rows = lambda *r: spark.createDataFrame(list(r), "id long, k long, ts long, state string")
-    write(rows(*[(i, i, 0, "a") for i in range(500)]), 0)
-    for _ in range(2):
-        write(rows((1000, 7, 1, "b"), (1001, 7, -1, "late"), (1002, 900, 1, "new")), 1)
-    assert len([d for d in os.listdir(f"{path}/last/version=1") if d.startswith("bucket")]) <= 2
-    write(rows((2000, 7, 2, "c")), 2)
-    got = sorted((r.id, r.state, r.previous) for r in C.read_changes(spark, path).collect())
-    assert got == [(1000, "b", "a"), (2000, "c", "b")]
-    assert [(r.id, r.batch_id) for r in C.read_late(spark, path).collect()] == [(1001, 1)]
-    # Two versions ago is gone where it was replaced, and only there.
-    left = [d for d in os.listdir(f"{path}/last/version=0") if d.startswith("bucket")]
-    assert 60 <= len(left) < 64
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    df = events(spark, 40)
+    df.limit(20).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    stamp = lambda rows, n: [{"upper": r["s"].upper()} for r in rows]
+    found = ST.enrich_stream(stream, {"s": "state"}, ["Upper"], CallableResolver(stamp))
+    query = ST.start_stream(found, f"{path}/out", f"{path}/cp", every="1 second")
+    try:
+        df.subtract(spark.read.parquet(source)).coalesce(1).write.mode("append").parquet(source)
+        deadline = time.time() + 60
+        while time.time() < deadline and sum(p["numInputRows"] for p in query.recentProgress) < 40:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{path}/out").count() == 40
+    with pytest.raises(ValueError):
+        ST.start_stream(found, path, path, every="1 second", once=True)
 
 
 def test_batch_sink_can_run_again(spark, tmp_path):
