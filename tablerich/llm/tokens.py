@@ -16,11 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words an encoder learns before it starts anew with those it needs.
-MOST_WORDS = 1_000_000
-#: Words encoded in one call.
+MOST_WORDS = 700_000
+#: Words encoded as one text, and texts in one call: what the tokenizer returns for a word is large.
 _CALL = 64
 #: Bytes of text handled at once.
-_STEP_CHARS = 1 << 23
+_STEP_CHARS = 3 << 20
 #: Put before words that follow no space, and before marks. Texts that hold either are encoded whole.
 _FIRST, _MARK = "\x01", "\x02"
 #: Marks that are often behind a word.
@@ -65,8 +65,11 @@ class Encoder:
         self.first = self.lengths = np.zeros(0, np.int64)
 
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
-        return [np.array(f.ids, np.uint16) for f in found]
+        out: list[np.ndarray] = []
+        for i in range(0, len(texts), _CALL):
+            found = self.tokenizer.encode_batch_fast(texts[i : i + _CALL], add_special_tokens=False)
+            out += [np.array(f.ids, np.uint16) for f in found]
+        return out
 
     def _spaced(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids in a row, and their number for each word; a word that follows a space begins with a token that holds it."""
