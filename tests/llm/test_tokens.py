@@ -157,3 +157,45 @@ def test_one_ranking_for_all_chunks(spark, make, library, tmp_path):
     assert [(r["rank"], r["id"], r["n"]) for r in ranks] == [(k, i, -n) for k, (n, i) in enumerate(expected)]
     chunks = spark.read.parquet(f"{path}/chunks")
     assert chunks.count() > 1 and "ranked" not in chunks.columns
+
+
+def test_neighbours_of_all_shards_against_brute_force(make, library):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(40)] + ["the", "of", "and"]
+    rows = [(i, " ".join(rng.choices(words, range(1, 44), k=rng.randrange(1, 40)))) for i in range(60)] + [(None, None), (None, "the"), (3, "w1 w2")]
+    found, places = {}, set()
+    for shard in (100, 1 << 21):
+        got = packing.neighbours(make(rows).coalesce(1), 5, shard_tokens=shard).collect()
+        near = {}
+        for r in got:
+            near.setdefault(r.place, []).append((-r.score, r.near))
+            places |= {r.place, r.near}
+        found[shard] = {p: [pytest.approx(s, rel=1e-5) for s, _ in sorted(v)] for p, v in near.items()}
+    assert found[100] == {p: [x.expected for x in v] for p, v in found[1 << 21].items()}
+    ids = [np.array([*library(t), 1]) for _, t in rows]
+    df = np.bincount(np.concatenate([np.unique(i) for i in ids]), minlength=60_000)
+    idf = np.log1p((len(ids) - df + 0.5) / (df + 0.5))
+    mean = float(np.mean([len(i) for i in ids]))
+    best = []
+    for i, asked in enumerate(ids):
+        scores = [s for j, s in enumerate(brute_scores(ids, asked, idf, mean)) if j != i]
+        best.append(sorted(round(-s, 4) for s in scores if s > 0)[:5])
+    got = [sorted(x.expected for x in found[1 << 21].get(p, [])) for p in sorted(places)]
+    assert len(got) == len(best)
+    for a, b in zip(sorted(got), sorted(best)):
+        assert a == pytest.approx(b, abs=1e-3)
+
+
+def test_shards_by_heaviest_term():
+    # Copies meet, light terms share a shard, a heavy one has several.
+    assert packing.dealt_terms([(1, 5), (3, 5), (7, 25), (8, 2), (9, 9)], 10) == [(1, 0, 1), (3, 0, 1), (7, 1, 3), (8, 4, 1), (9, 5, 1)]
+    ids, bounds = np.array([5, 5, 9, 1, 1, 100, 2, 2, 2, 1], np.uint16), np.array([0, 4, 5, 10])
+    df, heavy = packing._terms(ids, bounds, 200)
+    assert heavy.tolist() == [5, 1, 100] and df[1] == 3 and df[2] == 1 and df.sum() == 7
+
+
+def test_repeated_rows_are_spread_over_shards(make, library):
+    rows = [(None, "same text of some words " * 5)] * 40 + [(7, "another")]
+    pieces = packing.pack(make(rows), window=64, shard_tokens=200).collect()
+    assert len({p.sequence_id >> 32 for p in pieces}) > 5
+    assert sum(p.length for p in pieces) == sum(len(library(t)) + 1 for _, t in rows)
