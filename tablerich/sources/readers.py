@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablerich.operators.inputs import parse_inline_rows
+from tablerich.session import scratch_path
+from tablerich.sources.split import csv_records, json_objects
 
 
 def quote_name(name: str) -> str:
@@ -31,13 +33,17 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header; every column is text. Give ``columns`` to skip reading the header first.
 
-    A file is split between tasks. With ``line_breaks`` quoted fields may hold line breaks, and then a file is
-    one unit of work; without it such a row raises.
+    A file is split between tasks. With ``line_breaks`` quoted fields may hold line breaks, and files are read twice to find
+    where records end (see ``split``); without it such a row raises.
     """
     options = {"header": True, "multiLine": line_breaks, "escape": '"'}
     if columns is None:
         columns = spark.read.csv(path, **options).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if line_breaks:
+        read = F.from_csv("record", F.lit(schema.toDDL()), {"mode": "FAILFAST", "escape": '"'})
+        # ``explode`` of one element: the record is parsed once and whole, whichever columns are asked for.
+        return csv_records(spark, path).select(F.explode(F.array(read)).alias("row")).select("row.*")
     # All columns are parsed, whichever are asked for: otherwise a broken row could pass unseen.
     return spark.read.option("columnPruning", False).csv(path, schema=schema, mode="FAILFAST", **options)
 
@@ -45,19 +51,19 @@ def read_csv(
 def read_json(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, lines: bool | None = None
 ) -> DataFrame:
-    """JSON lines (split between tasks) or files that each hold one array. Bad JSON raises.
+    """JSON lines, or files that each hold one array of objects; both are split between tasks. Bad JSON raises.
 
     ``lines=None`` reads lines, unless the first file begins with a line that opens an array and does not close
-    it. ``lines=False`` refuses files that hold anything but an array, of which Spark would read the first row only.
+    it. ``lines=False`` refuses files that hold anything but an array.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if lines is None:
         lines = not _opens_array(spark, path)
-    if not lines:
-        whole = spark.read.text(path, wholetext=True).filter(~F.ltrim(F.regexp_replace("value", r"^\s+", "")).startswith("["))
-        if not whole.isEmpty():
-            raise ValueError(f"not every file of {path} is a JSON array; read it as lines")
-    return reader.json(path, multiLine=not lines, mode="FAILFAST")
+    if lines:
+        return reader.json(path, mode="FAILFAST")
+    objects = scratch_path(spark, "objects")
+    json_objects(spark, path).write.text(objects)
+    return reader.json(objects, mode="FAILFAST")
 
 
 def _opens_array(spark: SparkSession, path: str) -> bool:
