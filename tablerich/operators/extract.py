@@ -6,46 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablerich.operators.markup import to_markdown
 from tablerich.operators.naming import keep_if, strip
 from tablerich.operators.search import check_objective, query_terms
 
 # Limits of a request.
 MAX_URLS = 20
-# Entities decoded; the ampersand is last so nothing is decoded twice.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-# (pattern, replacement), applied in order. Patterns are common to Java and RE2; ``$1`` is the group.
-# A heading first becomes a mark with its level, which plain replacement turns into ``#`` signs.
-_TO_MARKDOWN = (
-    (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>|<!--.*?-->", " "),
-    (r"<[hH]([1-6])\b[^>]*>", "\n\x01$1 "),
-    (r"<(?:li|LI)\b[^>]*>", "\n- "),
-    (r"(?i)</?(?:p|div|br|tr|ul|ol|table|article|section|nav|header|footer|h[1-6])\b[^>]*>", "\n"),
-    (r"<[^>]+>", ""),
-)
-_HEADINGS = {f"\x01{level} ": "#" * level + " " for level in range(1, 7)}
-_TIDY = ((r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"))
-
-
-def decode_entities(c: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
-
-
-def to_markdown(html: Column) -> Column:
-    c = html
-    for pattern, replacement in _TO_MARKDOWN:
-        c = F.regexp_replace(c, pattern, replacement)
-    for mark, signs in _HEADINGS.items():
-        c = F.replace(c, F.lit(mark), F.lit(signs))
-    c = decode_entities(c)
-    for pattern, replacement in _TIDY:
-        c = F.regexp_replace(c, pattern, replacement)
-    return strip(c)
-
-
 def title_of(html: Column) -> Column:
-    found = strip(decode_entities(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
+    # The title is text only; it is read like the text of a page.
+    found = strip(to_markdown(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
     return keep_if(found, lambda t: t != "")
 
 
@@ -87,13 +56,14 @@ def extract(
     requests: DataFrame, pages: DataFrame, *, objective: str | None = None, keywords: Sequence[str] = (),
     excerpts: bool = True,
     full_content: bool | int = False, url: str = "url", html: str = "html", version: str | None = None,
-    most_urls: int | None = None,
+    most_urls: int | None = None, unique: bool = False, main: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Results ``(url, title, publish_date, excerpts[, full_content])`` and errors of the requested URLs.
 
     A URL that is not in ``pages`` is ``not_found`` (404); a page without text is ``empty_content``.
     ``version`` names a column of ``pages`` that tells the newest page of a URL; ``most_urls`` (20 for an interactive
-    request) limits the URLs that are asked for. Keywords, or the words of the objective, choose the excerpts; with neither they are the whole text.
+    request) limits the URLs that are asked for. ``unique`` promises one page for each URL: then no page is moved to find
+    the newest. ``main`` keeps the main text only. Keywords, or the words of the objective, choose the excerpts; with neither they are the whole text.
     """
     keywords = keywords or (query_terms(check_objective(objective)) if objective else ())
     # Blank words would be found everywhere.
@@ -103,15 +73,13 @@ def extract(
         raise ValueError(f"at most {most_urls} URLs in one request")
     # One page for each URL: the newest by ``version``, of equal ones the longest text of the page.
     newest = F.struct(F.lit(0) if version is None else F.col(version), F.length(html), F.col(html).alias("html"))
-    known = (
-        pages.select(F.col(url).alias("_u"), newest.alias("_v")).join(wanted, F.col("_u") == F.col(url), "left_semi")
-        .groupBy("_u").agg(F.max("_v").alias("_v")).select("_u", F.col("_v.html").alias("_h"))
-    )
-    # An inner join lets Spark send a small request list to the pages instead of moving the pages.
-    # ``explode`` of one element keeps the test for empty text from being pushed below and run again there.
-    found = known.withColumnRenamed("_u", url).select(
-        "*", F.explode(F.array(to_markdown(F.col("_h")))).alias("_text")
-    )
+    # A semi join lets Spark send a small request list to the pages instead of moving the pages.
+    known = pages.select(F.col(url).alias("_u"), F.col(html).alias("_h"), newest.alias("_v")).join(wanted, F.col("_u") == F.col(url), "left_semi")
+    if unique:
+        known = known.select("_u", "_h")
+    else:
+        known = known.groupBy("_u").agg(F.max("_v").alias("_v")).select("_u", F.col("_v.html").alias("_h"))
+    found = known.withColumnRenamed("_u", url).withColumn("_text", F.coalesce(to_markdown(F.col("_h"), main), F.lit("")))
     columns = [F.col(url), title_of(F.col("_h")).alias("title"), publish_date_of(F.col("_h")).alias("publish_date")]
     if excerpts:
         columns.append(

@@ -82,7 +82,10 @@ def keep_if(c: Column, test) -> Column:
 
 def name_of(description: Column) -> Column:
     """Column name derived from a free-text description."""
-    base = strip(F.regexp_replace(description, r"(?s)[(\[{].*$", ""))
+    base = description
+    for mark in "([{":
+        base = F.substring_index(base, mark, 1)
+    base = strip(base)
     kept = F.regexp_replace(F.translate(F.lower(base), " -", "__"), r"[^\p{L}\p{N}_]+", "")
     named = F.regexp_replace(kept, r"^$", "column")
     return F.regexp_replace(named, r"^(?=[^\p{L}])", "col_")

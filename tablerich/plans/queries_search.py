@@ -184,19 +184,33 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# What the parser does to the markup these pages have, as replacements in order; ``$1`` is a group.
+_TO_MARKDOWN = (
+    (r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>|<!--.*?-->", " "),
+    (r"(?is)<a\b[^>]*?\shref=\"([^\"]*)\"[^>]*>\s*(.*?)\s*</a\s*>", "[$2]($1)"),
+    (r"<[hH]([1-6])\b[^>]*>", "\n\x01$1 "),
+    (r"<(?:li|LI)\b[^>]*>", "\n- "),
+    (r"(?i)</?(?:p|div|br|tr|ul|ol|table|article|section|nav|header|footer|h[1-6])\b[^>]*>", "\n"),
+    (r"<[^>]+>", ""),
+)
+_HEADINGS = {f"\x01{level} ": "#" * level + " " for level in range(1, 7)}
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "\xa9", "&middot;": "\xb7", "&amp;": "&"}
+_TIDY = ((r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"))
+
+
 def markdown_sql(c: str) -> str:
-    for pattern, replacement in X._TO_MARKDOWN:
-        c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement.replace('$1', chr(92) + '1'))}, 'g')"
-    for plain, char in {**X._HEADINGS, **X.ENTITIES}.items():
+    for pattern, replacement in _TO_MARKDOWN:
+        c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement.replace('$', chr(92)))}, 'g')"
+    for plain, char in {**_HEADINGS, **_ENTITIES}.items():
         c = f"replace({c}, {quoted(plain)}, {quoted(char)})"
-    for pattern, replacement in X._TIDY:
+    for pattern, replacement in _TIDY:
         c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
     return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 
 
 def title_sql() -> str:
     c = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
-    for entity, char in X.ENTITIES.items():
+    for entity, char in _ENTITIES.items():
         c = f"replace({c}, {quoted(entity)}, {quoted(char)})"
     return rf"nullif(regexp_replace({c}, '^\s+|\s+$', '', 'g'), '')"
 
@@ -209,7 +223,7 @@ SELECT url, title, content FROM p WHERE content <> ''""",
 )
 def extract_text(spark, sf):
     pages = table(spark, sf, "pages")
-    results, _ = X.extract(pages.select("url"), pages, excerpts=False, full_content=True)
+    results, _ = X.extract(pages.select("url"), pages, excerpts=False, full_content=True, unique=True)
     return results.select("url", "title", F.col("full_content").alias("content"))
 
 
@@ -225,7 +239,7 @@ FROM pages WHERE {_SECURE} NOT IN (SELECT url FROM pages)""",
 def extract_errors(spark, sf):
     pages = table(spark, sf, "pages")
     requests = pages.select(F.expr(_SECURE).alias("url"))
-    return X.extract(requests, pages)[1]
+    return X.extract(requests, pages, unique=True)[1]
 
 
 @query(
@@ -238,7 +252,7 @@ SELECT p.url, left(content, 1000) AS full_content, request FROM p JOIN b ON p.ur
 def extract_full(spark, sf):
     pages = table(spark, sf, "pages")
     requests = O.batch_ids(pages.select("url"), ["url"], X.MAX_URLS).withColumnRenamed("batch_id", "request")
-    results, _ = X.extract(requests, pages, excerpts=False, full_content=1000)
+    results, _ = X.extract(requests, pages, excerpts=False, full_content=1000, unique=True)
     return results.join(requests, "url").select("url", "full_content", "request")
 
 
@@ -267,7 +281,7 @@ SELECT url, coalesce(excerpts, '') AS excerpts FROM p LEFT JOIN quoted ON url =
 )
 def extract_excerpts(spark, sf):
     pages = table(spark, sf, "pages")
-    results, _ = X.extract(pages.select("url"), pages, keywords=FOCUS)
+    results, _ = X.extract(pages.select("url"), pages, keywords=FOCUS, unique=True)
     return results.select("url", F.array_join("excerpts", " | ").alias("excerpts"))
 
 
