@@ -8,6 +8,9 @@ the answers gives them. ``error`` is null on success. No row is added or lost.
 from __future__ import annotations
 
 import json
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -109,6 +112,36 @@ def call_in_chunks(fn: RowFunction, rows: Rows, names: list[str], size: int = CA
     return out
 
 
+def call_in_time(
+    fn: RowFunction, rows: Rows, names: list[str], size: int, parallel: int, until: float | None, late: str
+) -> Rows:
+    """As ``call_in_chunks`` with ``parallel`` calls at a time; rows of calls that are not back by ``until`` get the error ``late``."""
+    starts = range(0, len(rows), size)
+    out: list[Rows | None] = [None] * len(starts)
+    waiting = deque(enumerate(starts))
+    # Set whenever a thread ends.
+    ended = threading.Semaphore(0)
+
+    def work() -> None:
+        while until is None or time.monotonic() < until:
+            try:
+                place, start = waiting.popleft()
+            except IndexError:
+                break
+            out[place] = call_in_chunks(fn, rows[start : start + size], names, size)
+        ended.release()
+
+    # A thread whose call hangs is left behind; it ends with the process.
+    threads = [threading.Thread(target=work, daemon=True) for _ in range(min(parallel, len(starts)))]
+    for thread in threads:
+        thread.start()
+    for _ in threads:
+        if not ended.acquire(timeout=None if until is None else max(0.0, until - time.monotonic())):
+            break
+    found = list(out)
+    return [r for got, start in zip(found, starts) for r in (got if got is not None else [{"error": late}] * len(rows[start : start + size]))]
+
+
 def as_text(value) -> str | None:
     if value is None or isinstance(value, str):
         return value
@@ -122,21 +155,35 @@ class CallableResolver:
     The function gets a list of input dicts and the output names, and returns one dict per input:
     the outputs, optionally ``basis``, or ``error``. Spark may run a task again, so calls happen at
     least once. ``dedupe`` asks for each distinct input only once; ``partitions`` deals the rows out
-    before the calls, for slow calls on few rows.
+    before the calls, for slow calls on few rows. ``parallel`` calls run at a time in each task. With ``deadline``
+    seconds, counted in each task from its first call, answers that are back in time are kept and the rows of all
+    other calls get an error; a call that hangs takes the rows of its own chunk with it.
     """
 
     fn: RowFunction
     chunk: int = CALL_ROWS
     dedupe: bool = False
     partitions: int | None = None
+    parallel: int = 1
+    deadline: float | None = None
+
+    def __post_init__(self):
+        if self.parallel < 1 or self.chunk < 1 or (self.deadline is not None and self.deadline <= 0):
+            raise ValueError("chunk, parallel and deadline must be positive")
 
     def attach(self, df: DataFrame, inputs: Inputs, outputs: Sequence[OutputColumn]) -> DataFrame:
         names = [o.name for o in outputs]
-        fn, size = self.fn, self.chunk
+        fn, size, parallel, deadline = self.fn, self.chunk, self.parallel, self.deadline
+        late = "" if deadline is None else f"timed out after {deadline:g}s"
 
         def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            until = None if deadline is None else time.monotonic() + deadline
             for batch in batches:
-                results = call_in_chunks(fn, [json.loads(x) for x in batch], names, size)
+                rows = [json.loads(x) for x in batch]
+                if parallel == 1 and deadline is None:
+                    results = call_in_chunks(fn, rows, names, size)
+                else:
+                    results = call_in_time(fn, rows, names, size, parallel, until, late)
                 yield pd.Series([_result_text(r, names) for r in results], dtype="object")
 
         udf = F.pandas_udf(call, T.StringType()).asNondeterministic()

@@ -229,3 +229,30 @@ def test_hot_key_of_a_lookup_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_a_call_that_hangs_leaves_the_other_answers(spark):
+    def slow(rows, names):
+        import time
+
+        if rows[0]["n"] == "500":
+            time.sleep(600)
+        return [{"double": 2 * int(r["n"])} for r in rows]
+
+    df = spark.range(1000).selectExpr("cast(id AS string) AS n").coalesce(1)
+    resolver = CallableResolver(slow, chunk=1, parallel=8, deadline=8)
+    done = E.enrich(df, {"n": "n"}, ["Double"], resolver)
+    assert done.metrics().first().asDict() == {"total_count": 1000, "success_count": 999, "error_count": 1}
+    assert [(r.n, r.error) for r in done.errors().collect()] == [("500", "timed out after 8s")]
+    good, bad = E.typed_job(df, {"n": "n"}, [OutputColumn("double", "Double", "int")], resolver, stamp=False)
+    assert good.agg(F.sum("double")).first()[0] == 2 * (sum(range(1000)) - 500)
+    assert [r.error for r in bad.collect()] == ["timed out after 8s"]
+
+
+def test_calls_at_a_time_keep_their_order(spark):
+    df = spark.range(300).selectExpr("cast(id AS string) AS n")
+    answers = lambda rows, names: [{"same": r["n"]} for r in rows]
+    done = E.enrich(df, {"n": "n"}, ["Same"], CallableResolver(answers, chunk=7, parallel=3)).table()
+    assert done.filter("n != same OR same IS NULL").count() == 0 and done.count() == 300
+    with pytest.raises(ValueError):
+        CallableResolver(answers, deadline=0)
