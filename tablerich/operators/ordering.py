@@ -11,6 +11,7 @@ ranges would need a second shuffle of everything.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -55,8 +56,51 @@ def batch_ids(df: DataFrame, order: Sequence[str | Column], size: int = 100) ->
 
 
 def batch_slice(df: DataFrame, order: Sequence[str | Column], batch: int, size: int = 100) -> DataFrame:
-    """The rows of one batch."""
-    return batch_ids(df, order, size).filter(F.col("batch_id") == batch).drop("batch_id")
+    """The rows of one batch, by their rank: of the table only the range of values that holds the batch is sorted."""
+    first, last = (batch - 1) * int(size), batch * int(size)
+    near, before = _around(df, order[0], first, last)
+    rank = F.col("_rn") + before
+    return number_rows(near, order, "_rn").filter((rank > first) & (rank <= last)).drop("_rn")
+
+
+#: Ranges of equal counts whose bounds are estimated, and the accuracy of the estimate.
+_RANGES, _ACCURACY = 500, 10_000
+
+
+def _around(df: DataFrame, column: str | Column, first: int, last: int) -> tuple[DataFrame, int]:
+    """Rows around the ranks ``first`` to ``last`` by the first column of the order, and how many rows come before them.
+
+    Bounds of ranges are estimated in one pass, and the rows before and inside the chosen ones are counted in a second,
+    so an estimate that is off only makes the range wider. Columns whose values cannot be estimated are taken whole.
+    """
+    name, falling = _direction(column)
+    if name not in df.columns or not isinstance(df.schema[name].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return df, 0
+    c = F.col(f"`{name}`")
+    bounds = F.percentile_approx(c, [i / _RANGES for i in range(_RANGES + 1)], _ACCURACY)
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.count(c).alias("known"), bounds.alias("bounds")).first()
+    n, known = found["n"], found["known"]
+    if not known:
+        return df, 0
+    # Ranks of the rising order, in which nulls come first; the falling one is its reverse.
+    begin, end = (max(0, n - last), max(0, n - first)) if falling else (first, min(last, n))
+    nulls, per = n - known, known / _RANGES
+    low, high = int((begin - nulls) // per) - 1, int(-((nulls - end) // per)) + 1
+    after = F.lit(True) if low < 0 else c >= F.lit(found["bounds"][min(low, _RANGES)])
+    until = F.lit(True) if high > _RANGES else c.isNull() | (c <= F.lit(found["bounds"][high])) if high >= 0 else c.isNull()
+    inside, earlier = F.coalesce(after & until, F.lit(False)), ~F.coalesce(after, F.lit(False))
+    counted = df.agg(F.count_if(earlier).alias("earlier"), F.count_if(inside).alias("inside")).first()
+    if counted["earlier"] > begin or counted["earlier"] + counted["inside"] < end:
+        return df, 0
+    return df.filter(inside), n - counted["earlier"] - counted["inside"] if falling else counted["earlier"]
+
+
+def _direction(column: str | Column) -> tuple[str | None, bool]:
+    """Name of a plain column of an order and whether it falls; no name for any other expression."""
+    if isinstance(column, str):
+        return column, False
+    found = re.fullmatch(r"Column<'(.+?)( ASC NULLS FIRST| DESC NULLS LAST)?'>", str(column))
+    return (found[1], (found[2] or "").startswith(" DESC")) if found else (None, False)
 
 
 def chunk_sizes(df: DataFrame, by: Sequence[str], size: int = 1000) -> DataFrame:

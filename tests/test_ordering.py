@@ -103,3 +103,23 @@ def test_scratch_tables_can_be_cleared(spark):
     kept = cut_lineage(spark.range(10))
     assert kept.count() == 10
     assert clear_scratch(spark) == 1 and clear_scratch(spark) == 0
+
+
+@pytest.mark.parametrize("kind", ["id", "cast(id % 7 AS int)", "CASE WHEN id % 3 > 0 THEN id * 0.5D END", "date_add(DATE '2024-01-01', cast(id % 40 AS int))",
+                                  "concat('k', id % 11)", "timestamp_ntz'2024-01-01 00:00:00'", "cast(NULL AS bigint)", "IF(id % 5 = 0, double('NaN'), -id)"])
+def test_a_batch_by_rank(spark, kind):
+    df = spark.range(3000).selectExpr(f"{kind} AS a", "hash(id) AS b", "id").repartition(5)
+    whole = [r.id for r in df.orderBy("a", "b", "id").collect()]
+    for batch, size in ((1, 100), (15, 100), (31, 100)):
+        found = O.batch_slice(df, ["a", "b", "id"], batch, size).orderBy("a", "b", "id").collect()
+        assert [r.id for r in found] == whole[(batch - 1) * size : batch * size]
+    falling = [F.desc("a"), F.desc("b"), "id"]
+    whole = [r.id for r in df.orderBy(*falling).collect()]
+    for batch, size in ((29, 100),):
+        found = O.batch_slice(df, falling, batch, size).orderBy(*falling).collect()
+        assert [r.id for r in found] == whole[(batch - 1) * size : batch * size]
+
+
+def test_a_batch_sorts_a_part_of_the_table(spark):
+    near, before = O._around(spark.range(100_000).repartition(4), "id", 40_000, 40_100)
+    assert before <= 40_000 and near.count() < 2000
