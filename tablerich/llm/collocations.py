@@ -8,9 +8,9 @@ or end a piece, and so on: every shorter count is a sum over the next longer one
 
 Only phrases of ``least`` occurrences or more are looked for, which two steps use without changing any count of them:
 
-- A first pass counts words and pairs of neighbours in a table of buckets of fixed size, whatever the size of the
-  corpus. A word or a pair whose whole bucket has fewer than ``least`` is in no such phrase, so pieces are cut there.
-  Buckets only choose where to cut; phrases are counted as texts.
+- A first pass counts pairs of neighbours in a table of buckets of fixed size, whatever the size of the corpus. A pair
+  whose whole bucket has fewer than ``least`` is in no such phrase, so pieces are cut there. Buckets only choose where
+  to cut; phrases are counted as texts, and every word is counted.
 - Edges lighter than ``least`` become corrections of the node they leave. Of the rest, paths whose inner nodes have
   one edge in and one of the same weight out, and no correction, are compacted to one row (``compact``): pointers to
   the predecessor are doubled until they reach the head of a path. Inner nodes weigh what their path does.
@@ -41,8 +41,8 @@ LONGEST = 5
 #: Occurrences of a phrase.
 LEAST = 100
 MOST = 2000
-#: Buckets for words and for pairs of neighbours: 8 Mi and 32 Mi, 5 MB of bits.
-BUCKETS = (1 << 23, 1 << 25)
+#: Buckets for pairs of neighbours: 4 MB of bits.
+BUCKETS = 1 << 25
 #: Buckets in a row of counts.
 BLOCK = 1 << 12
 #: Rows of phrases that a task adds up before it sends them.
@@ -106,16 +106,15 @@ class _Words:
         self.lang = code[np.searchsorted(begins, self.start, "right") - 1]
         self.joined = np.append(piece[1:] == piece[:-1], False) if len(piece) else np.zeros(0, bool)
 
-    def buckets(self, seeds: np.ndarray, sizes: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Of every word, and of every word with the next one of its piece; the latter only means something where ``joined``."""
+    def buckets(self, seeds: np.ndarray, n: int) -> np.ndarray:
+        """Of every word with the next one of its piece; only means something where ``joined``."""
         _Words._grow(len(self.bytes))
         terms = self.bytes.astype(np.uint64) * _Words._powers[: len(self.bytes)]
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
         # Divided by the power at its begin, a word's sum does not depend on its place.
         word = (sums[self.end] - sums[self.start]) * _Words._inverse[self.start]
         word = _mixed(word + seeds[self.lang] + (self.end - self.start).astype(np.uint64))
-        pair = _mixed(word * np.uint64(3) + _mixed(np.roll(word, -1)))
-        return (word % np.uint64(sizes[0])).astype(np.int64), (pair % np.uint64(sizes[1])).astype(np.int64) + sizes[0]
+        return (_mixed(word * np.uint64(3) + _mixed(np.roll(word, -1))) % np.uint64(n)).astype(np.int64)
 
     @classmethod
     def _grow(cls, size: int) -> None:
@@ -141,8 +140,8 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(text_of().alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
 
 
-def busy_buckets(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] = BUCKETS, step: int = STEP) -> np.ndarray:
-    """One bit for each bucket: whether its words or pairs occur ``least`` times or more together."""
+def busy_buckets(docs: DataFrame, least: int = LEAST, buckets: int = BUCKETS, step: int = STEP) -> np.ndarray:
+    """One bit for each bucket: whether its pairs occur ``least`` times or more together."""
     kind = np.uint8 if least <= 255 else np.uint32
     top = np.iinfo(kind).max
 
@@ -152,12 +151,10 @@ def busy_buckets(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] =
         counts[at] = np.minimum(counts[at].astype(np.int64) + n, top)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(sum(buckets), kind), {}
+        counts, names = np.zeros(buckets, kind), {}
         for data, begins, langs in _steps(batches, step):
             words = _Words(data, begins, langs, names)
-            word, pair = words.buckets(_seeds(names), buckets)
-            add(counts, word)
-            add(counts, pair[words.joined])
+            add(counts, words.buckets(_seeds(names), buckets)[words.joined])
         blocks = counts.reshape(-1, BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         for i in range(0, len(used), 512):
@@ -183,38 +180,33 @@ def busy_buckets(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] =
 
     counted = _read(docs).mapInArrow(count, "block bigint, counts binary")
     found = counted.repartition("block").sortWithinPartitions("block").mapInArrow(total, "block bigint, bits binary")
-    bits = np.zeros(sum(buckets) // 8, np.uint8)
+    bits = np.zeros(buckets // 8, np.uint8)
     # A bit for each bucket, whatever the corpus.
     for row in found.toLocalIterator():
         bits[row.block * BLOCK // 8 : (row.block + 1) * BLOCK // 8] = np.frombuffer(row.bits, np.uint8)
     return bits
 
 
-def _kept_words(words: _Words, kept: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Numbers of the kept words, from 1 on, and the texts by number."""
-    start, size = words.start[kept], (words.end - words.start)[kept]
+def _numbered(words: _Words) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the words, from 1 on, and the texts by number."""
+    size = words.end - words.start
     offsets = np.concatenate([[0], np.cumsum(size)])
-    data = words.bytes[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+    data = words.bytes[np.repeat(words.start - offsets[:-1], size) + np.arange(offsets[-1])]
     texts = pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
     coded = texts.dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1, pa.concat_arrays([pa.array([""]), coded.dictionary])
 
 
-def _step_grams(words: _Words, bits: np.ndarray, names: dict[str, int], buckets: tuple[int, int]) -> Iterator[tuple[np.ndarray, pa.Array, int, np.ndarray]]:
+def _step_grams(words: _Words, bits: np.ndarray, names: dict[str, int], buckets: int) -> Iterator[tuple[np.ndarray, pa.Array, int, np.ndarray]]:
     """From every word on, the next ``LONGEST`` words or what is left of its run: languages, texts, words of a text, counts."""
-    word, pair = words.buckets(_seeds(names), buckets)
-    busy = lambda at: (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-    kept = busy(word)
-    joined = words.joined & kept
-    joined[joined] = busy(pair[joined])
-    joined[:-1] &= kept[1:]
-    at = np.flatnonzero(kept)
-    if not len(at):
+    if not len(words.start):
         return
-    number, texts = _kept_words(words, at)
-    lang, link = words.lang[at], joined[at]
-    n, v = len(at), len(texts)
-    # What follows a joined word is kept, so it is the next one here.
+    pair = words.buckets(_seeds(names), buckets)
+    link = words.joined.copy()
+    at = pair[link]
+    link[link] = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    number, texts = _numbered(words)
+    lang, n, v = words.lang, len(number), len(texts)
     columns, on = [number], np.ones(n, bool)
     for k in range(1, LONGEST):
         on = on & np.append(link[k - 1 :], np.zeros(k - 1, bool))[:n]
@@ -245,7 +237,7 @@ def _added(parts: list[pa.Table]) -> pa.Table:
     return summed.rename_columns({"c_sum": "c"}).select(["lang", "k", "gram", "c"])
 
 
-def edges(docs: DataFrame, least: int = LEAST, buckets: tuple[int, int] = BUCKETS, step: int = STEP) -> DataFrame:
+def edges(docs: DataFrame, least: int = LEAST, buckets: int = BUCKETS, step: int = STEP) -> DataFrame:
     """``lang, k, gram, c``: edges (``k`` = 5), the ends of pieces (1 to 4), and the number of words of a language (0)."""
     bits = docs.sparkSession.sparkContext.broadcast(busy_buckets(docs, least, buckets, step))
 
@@ -390,11 +382,11 @@ def covered(counts: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, least: int = LEAST, most: int = MOST, buckets: tuple[int, int] = BUCKETS, step: int = STEP
+    docs: DataFrame, least: int = LEAST, most: int = MOST, buckets: int = BUCKETS, step: int = STEP
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``most`` best phrases of every language.
 
-    ``buckets`` (multiples of ``BLOCK``) and ``step`` choose how much memory a task takes, not what is found.
+    ``buckets`` (a multiple of ``BLOCK``) and ``step`` choose how much memory a task takes, not what is found.
     """
     grams = cut_lineage(edges(docs, least, buckets, step), "grams")
     counts = cut_lineage(phrase_counts(grams, least), "counts")
