@@ -150,22 +150,25 @@ def parse(rendered: DataFrame) -> DataFrame:
 
 
 def turn_events(turns: DataFrame) -> DataFrame:
-    """A table of turns (``conv_id, turn, role, text``) as a log: user turns arrive whole, others are streamed.
+    """A table of turns (``conv_id, turn, role, text``) as the log of a chat service.
 
-    Repeated ``(conv_id, turn)`` rows are messages of their own, ordered by role and text.
+    Turns of assistants are streamed: a draft, which is generated anew, then the text in parts. Others arrive whole and
+    are edited once. Repeated ``(conv_id, turn)`` rows are messages of their own, ordered by role and text.
     """
     same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    kind_text = F.when(
-        F.col("role") == "assistant",
-        F.array(
-            F.struct(F.lit(0).alias("step"), F.lit("message").alias("kind"), F.lit("").alias("text")),
-            F.struct(F.lit(1).alias("step"), F.lit("delta").alias("kind"), F.col("text")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit(0).alias("step"), F.lit("message").alias("kind"), F.col("text"))))
+    text = F.col("text")
+    half = F.floor(F.length(text) / 2).cast("int")
+
+    def log(*steps: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(i).alias("step"), F.lit(kind).alias("kind"), part.alias("text")) for i, (kind, part) in enumerate(steps)])
+
+    none, draft = F.lit(None).cast("string"), F.substring(text, 1, 8)
+    streamed = log(("message", F.lit("")), ("delta", draft), ("regenerate", none), ("delta", F.left(text, half)), ("delta", F.substring(text, half + 1, F.length(text))))
+    whole = log(("message", draft), ("edit", text))
     return (
         turns.select("conv_id", "turn", "role", "text")
         .withColumn("n", F.row_number().over(same))
-        .withColumn("e", F.explode(kind_text))
+        .withColumn("e", F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(whole)))
         .select(
             "conv_id",
             F.struct("turn", "n", "e.step").alias("seq"),

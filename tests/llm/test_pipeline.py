@@ -71,3 +71,25 @@ def test_run_is_the_stages_in_order(spark, folder):
     rows = [tuple(r) for r in corpus_pipeline.run(spark, folder).drop("ids").collect()]
     again = [tuple(r) for r in corpus_pipeline.run(spark, folder).drop("ids").collect()]
     assert sorted(rows) == sorted(again) and rows
+
+
+@pytest.mark.parametrize("documents", [0, 1, 400])
+def test_run_on_hard_rows_and_empty_tables(spark, make, hard, tmp_path, documents):
+    rows = []
+    if documents > 1:
+        rng = random.Random(5)
+        words = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(300)]
+        rows = [(i, ". ".join(" ".join(rng.choices(words, k=12)) for _ in range(6)), f"src{i % 3}") for i in range(20, 200)]
+        rows += [(None, t, None) for _, t, _ in rows[:3]] + [(None, None, None), (None, "", "src1"), (21, rows[1][1], "src1")] + hard
+    elif documents:
+        rows = [(None, None, None)]
+    path = str(tmp_path)
+    make(rows, clash=False).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, int(i % 4 > 0), 0) for i in range(20, 120) if documents > 1]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    pieces = corpus_pipeline.run(spark, path).collect()
+    sizes = collections.Counter()
+    for p in pieces:
+        sizes[p.sequence_id] += p.length
+    assert all(n & (n - 1) == 0 and n <= 2048 for n in sizes.values())
+    assert bool(pieces) or documents < 2
