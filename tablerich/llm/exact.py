@@ -118,7 +118,8 @@ def _collisions(docs: DataFrame, marked: DataFrame, digest: Callable[[Column], C
     mine = cut_lineage(mine, "hits")
     theirs = mine.join(keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("of")), "left_semi")
     theirs = cut_lineage(theirs.select("digest", F.col("bytes").alias("held")), "held_bytes")
-    return mine.join(theirs, "digest").filter("bytes != held").select("digest").distinct()
+    # Written before it is reduced, so that a digest with very many hits can be split.
+    return cut_lineage(mine.join(theirs, "digest").filter("bytes != held").select("digest"), "differing").distinct()
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
