@@ -46,9 +46,9 @@ BUCKETS = 1 << 25
 #: Buckets in a row of counts.
 BLOCK = 1 << 12
 #: Rows of phrases that a task adds up before it sends them.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Bytes of text that are taken apart at once; a piece is never cut.
-STEP = 1 << 22
+STEP = 1 << 20
 
 _BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _LOWER = np.arange(256, dtype=np.uint8)

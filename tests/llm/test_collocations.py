@@ -111,3 +111,21 @@ def test_hash_does_not_depend_on_the_place():
     pair = a.buckets(np.zeros(1, np.uint64), collocations.BUCKETS)
     assert pair[1] == pair[3] != pair[0]
     assert a.joined.tolist() == [True, True, False, True, False]
+
+
+def test_a_step_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = " ".join(f"w{i * i % 997} x{i}" for i in range(600_000)).replace("7 ", "7. ")
+    batch = pa.RecordBatch.from_pydict({"text": [text], "lang": ["en"]})
+    bits, names, words = np.full(collocations.BUCKETS // 8, 255, np.uint8), {}, 0
+    tracemalloc.start()
+    for data, begins, langs in collocations._steps([batch], collocations.STEP):
+        step = collocations._Words(data, begins, langs, names)
+        words += len(step.start)
+        assert sum(int((k * c).sum()) for _, _, k, c in collocations._step_grams(step, bits, names, collocations.BUCKETS)) >= len(step.start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert words == 1_200_000 and peak < 150 << 20
