@@ -31,6 +31,8 @@ from tablerich.session import cut_lineage
 
 #: Documents of a block; places within it fit a few bits.
 BLOCK = 64
+#: Words that a task takes at once when documents are added; a block is never cut.
+STEP = 1 << 18
 #: Blocks of a query up to which each wave scores; a last one takes all that can still matter.
 WAVES = (32,)
 #: More than sums of the same numbers in another order can differ.
@@ -55,6 +57,17 @@ def _term_counts(words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return both // n, both % n, tf, flat.dictionary
 
 
+def _steps(batch: pa.RecordBatch, column: str, step: int) -> Iterator[pa.RecordBatch]:
+    """Whole blocks of the rows of a batch, of about ``step`` words or of one block with more."""
+    n, offsets = batch.num_rows, batch.column(column).offsets.to_numpy()
+    at = 0
+    for end in [*range(BLOCK, n, BLOCK), n]:
+        # The block after this one would go beyond the step.
+        if end == n or offsets[min(end + BLOCK, n)] - offsets[at] > step:
+            yield batch.slice(at, end - at)
+            at = end
+
+
 @dataclass(frozen=True)
 class StoredIndex:
     """The words of a corpus below ``path``; ``keys`` name a document, ``kept`` are columns stored beside them."""
@@ -117,10 +130,8 @@ class StoredIndex:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = ((segment << _TASK_BITS) + TaskContext.get().partitionId()) << _ROW_BITS
-            for batch in batches:
+            for batch in (part for whole in batches if whole.num_rows for part in _steps(whole, "_w", STEP)):
                 n = batch.num_rows
-                if not n:
-                    continue
                 words = batch.column("_w")
                 lengths = np.diff(words.offsets.to_numpy())
                 yield _record(schema, {"row": pa.array(np.arange(begin, begin + n)), **{c: batch.column(c) for c in named}, "words": pa.array(lengths.astype(np.int32))}, n)
@@ -137,7 +148,7 @@ class StoredIndex:
                         "least_len": pa.array(np.minimum.reduceat(lengths[doc], cut).astype(np.int32)),
                     }
                     yield _record(schema, columns, len(cut))
-                # Blocks end with their batch.
+                # Blocks end with their step.
                 begin += -(-n // BLOCK) * BLOCK
 
         # Numbers are given once, to documents and words alike.

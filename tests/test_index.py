@@ -132,3 +132,26 @@ def test_empty_corpus(spark, tmp_path):
     assert index.rank_keys(["fox"]).count() == 0
     with pytest.raises(ValueError):
         index.rank_keys(["fox"], limit=0)
+
+
+def test_steps_are_whole_blocks_of_few_words(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    sizes = [rng.randrange(40) for _ in range(1000)]
+    sizes[300] = 5000
+    whole = pa.RecordBatch.from_pydict({"id": list(range(1000)), "_w": [["w"] * n for n in sizes]}).slice(7)
+    parts = list(I._steps(whole, "_w", 4000))
+    assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(7, 1000))
+    assert all(p.num_rows % I.BLOCK == 0 for p in parts[:-1])
+    assert all(len(p.column("_w").flatten()) <= 4000 or p.num_rows <= I.BLOCK for p in parts) and 4 < len(parts) < 10
+    # The index is the same, whatever the step.
+    of = corpus(spark, texts(1, 900), unique=True)
+    columns = ["term", "block", "place", "tf", "len", "n", "most_tf", "least_len"]
+    stored = []
+    for step in (I.STEP, 100):
+        monkeypatch.setattr(I, "STEP", step)
+        index = I.StoredIndex.build(of, str(tmp_path / f"index{step}"))
+        stored.append([sorted(map(repr, spark.read.parquet(f"{index.path}/{t}").select(*c).collect())) for t, c in (("blocks", columns), ("documents", ["row", "id", "words"]))])
+        same(index, of, 7)
+    assert stored[0] == stored[1] and len(stored[0][1]) == 903
